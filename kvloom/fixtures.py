@@ -115,3 +115,11 @@ def telemetry_source(
         ),
     }
     return FrameSource(spark, {k: v for k, v in frames.items() if k not in absent})
+
+
+def only_completed(source: FrameSource, completed: DataFrame) -> FrameSource:
+    """The source as it was when only the completed entities had rows."""
+    return source.replacing(
+        ts_kv=source.history().join(completed, "entity_id", "left_semi"),
+        ts_kv_latest=source.latest().join(completed, "entity_id", "left_semi"),
+    )

@@ -24,38 +24,52 @@ def lookup_join(
 ) -> DataFrame:
     """Equi-join ``rows`` with a lookup table that is unique on ``on``.
 
-    The lookup table is broadcast where its measured size allows it, so that
-    the rows stay where they are. A larger one is joined by shuffle, with the
-    rows of hot keys spread over several tasks. ``how`` is one of inner, left,
-    left_semi and left_anti.
+    ``how`` is one of inner, left, left_semi and left_anti. Three ways, by
+    measured sizes:
+
+    * the lookup table is within the broadcast bounds: broadcast it, the rows
+      stay where they are;
+    * the keys that occur in the rows are within the bounds, as in a small
+      batch: filter the lookup table by them, then broadcast what is left,
+      which is no more than one row per key;
+    * neither: shuffle both sides, the rows of hot keys over several tasks.
     """
     if lookup.fits_broadcast(options):
         return rows.join(F.broadcast(lookup.df), on, how)
+    present = rows.filter(F.col(on).isNotNull()).select(on).distinct()
+    keys = Dimension.measure(present)
+    if keys.fits_broadcast(options):
+        used = lookup.df.join(F.broadcast(present), on, "left_semi")
+        return rows.join(F.broadcast(used), on, how)
     return spread_join(rows, lookup, on, how)
 
 
 def hot_keys(rows: DataFrame, on: str) -> list[tuple[object, int]]:
-    """Keys that alone exceed one task's share of the rows, with their share.
+    """Keys that alone exceed one task's share of the rows, with the number of
+    shares they fill.
 
     With n tasks a key is hot if it holds more than one n-th of the rows, so
     there are fewer than n of them. The counts are combined before the shuffle.
     """
     tasks = min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_HOT_KEYS)
-    total = rows.count()
-    share = max(total / tasks, 1.0)
+    share = max(rows.count() / tasks, 1.0)
     found = (
-        rows.groupBy(on)
+        rows.filter(F.col(on).isNotNull())
+        .groupBy(on)
         .count()
-        .filter((F.col("count") > F.lit(share)) & F.col(on).isNotNull())
+        .filter(F.col("count") > F.lit(share))
         .collect()
     )
     return [(r[on], math.ceil(r["count"] / share)) for r in found]
 
 
 def spread_join(rows: DataFrame, lookup: Dimension, on: str, how: str) -> DataFrame:
-    """Shuffle join in which each hot key is split into as many parts as it
-    has tasks' shares, on the side of the rows, and repeated that often on the
-    side of the lookup table. The repeats are at most twice the task count.
+    """Shuffle join that splits hot keys.
+
+    A hot key is split into as many parts as it fills tasks' shares on the side
+    of the rows, and repeated that often on the side of the lookup table. The
+    repeats are at most twice the task count. Rows without a key are spread,
+    too: they match nothing.
     """
     spark = rows.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -63,8 +77,6 @@ def spread_join(rows: DataFrame, lookup: Dimension, on: str, how: str) -> DataFr
     # above that bound Spark sorts and merges.
     hint = "shuffle_hash" if lookup.bytes / tasks <= MAX_HASH_TABLE_BYTES else "merge"
     hot = hot_keys(rows, on)
-    if not hot:
-        return rows.join(lookup.df.hint(hint), on, how)
     schema = T.StructType(
         [T.StructField(on, rows.schema[on].dataType), T.StructField(_PARTS, T.IntegerType())]
     )
@@ -72,8 +84,12 @@ def spread_join(rows: DataFrame, lookup: Dimension, on: str, how: str) -> DataFr
     others = [c for c in rows.columns if c != on]
     # A hash of the row, not a random number: a task that runs again after the
     # loss of an executor must send every row to the same place.
-    spread = F.pmod(F.xxhash64(*others), F.coalesce(_PARTS, F.lit(1))).cast("int")
-    salted_rows = rows.join(parts, on, "left").withColumn(_SALT, spread).drop(_PARTS)
+    width = F.when(F.col(on).isNull(), F.lit(tasks)).otherwise(F.coalesce(_PARTS, F.lit(1)))
+    salted_rows = (
+        rows.join(parts, on, "left")
+        .withColumn(_SALT, F.pmod(F.xxhash64(*others), width).cast("int"))
+        .drop(_PARTS)
+    )
     repeats = F.sequence(F.lit(0), F.coalesce(_PARTS, F.lit(1)) - 1)
     salted_lookup = (
         lookup.df.join(parts, on, "left").withColumn(_SALT, F.explode(repeats)).drop(_PARTS)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import DataFrame
@@ -12,8 +13,8 @@ from kvloom.model import LIVE_START_MARGIN_MS, RunOptions
 from kvloom.operators.aggregates import latest_from_history
 from kvloom.operators.enrich import history_rows, latest_rows, shape_history, with_entity_types
 from kvloom.operators.joins import lookup_join
-from kvloom.plans.progress import Progress, ProgressLog
-from kvloom.plans.target import HISTORY, INDEX, Batch, Slice, Target
+from kvloom.plans.progress import Progress, ProgressLog, Slice
+from kvloom.plans.target import HISTORY, Batch, Target
 from kvloom.sources.dimensions import Dimension, Dimensions, load_dimensions
 from kvloom.sources.queries import changed_since
 from kvloom.sources.tables import SourceTables
@@ -23,16 +24,16 @@ def now_millis() -> int:
     return int(time.time() * 1000)
 
 
-def cut_slices(rows: DataFrame, count: int) -> list[Slice]:
+def cut_slices(rows: DataFrame, count: int) -> tuple[Slice, ...]:
     """Ranges of equal length over the ts found; the outer two are open."""
     if count == 1:
-        return [Slice(0)]
+        return (Slice(0),)
     low, high = rows.agg(F.min("ts"), F.max("ts")).first()
     if low is None:
-        return [Slice(0)]
+        return (Slice(0),)
     count = min(count, high - low + 1)
     edges = [low + (high - low + 1) * i // count for i in range(1, count)]
-    return [Slice(i, a, b) for i, (a, b) in enumerate(zip([None, *edges], [*edges, None]))]
+    return tuple(Slice(i, a, b) for i, (a, b) in enumerate(zip([None, *edges], [*edges, None])))
 
 
 def within(rows: DataFrame, part: Slice) -> DataFrame:
@@ -70,49 +71,55 @@ def run_historical(
             cast_strings=options.cast_strings,
         )
         log.save(state)
-    target.init_schema()
+    dims = load_dimensions(source, keep=True)
+    try:
+        return _write_historical(source, target, options, log, state, dims, now)
+    finally:
+        dims.release()
 
-    dims = load_dimensions(source)
+
+def _write_historical(
+    source: SourceTables,
+    target: Target,
+    options: RunOptions,
+    log: ProgressLog,
+    state: Progress,
+    dims: Dimensions,
+    now: Callable[[], int],
+) -> Progress:
     rows = source.history()
     state = state.next(
         phase="phase1",
         phase1_start_ts=state.phase1_start_ts or now(),
         total_rows=rows.count(),
+        slices=state.slices or cut_slices(rows, options.slices),
         saved_ms=now(),
     )
     log.save(state)
 
-    run = state.run
-    completed = Dimension.measure(target.completed(run))
-    slices = target.planned_slices(run)
-    if not slices:
-        slices = cut_slices(rows, options.slices)
-        target.plan_slices(run, slices)
-    finished = target.finished_slices(run)
-    todo = [s for s in slices if s.slice not in finished]
+    completed = None
+    if any(s.done for s in state.slices):
+        completed = Dimension.measure(target.completed(state))
+    todo = [s for s in state.slices if not s.done]
     if not todo and _new_entities(rows, dims, completed, options):
-        todo = [Slice(max(finished) + 1)]
+        todo = [Slice(len(state.slices), planned=False)]
     for part in todo:
         shaped = shape_history(within(rows, part), dims, options)
-        if completed.rows:
+        if completed is not None and completed.rows:
             shaped = lookup_join(shaped, completed, "entity_id", "left_anti", options)
-        batch = Batch("history", run, part.slice)
+        batch = Batch("history", state.run, part.slice)
         target.write_history(shaped, batch, options.partitioning)
         target.write_index(batch)
-        target.finish_slice(run, part)
-        state = log.save(_counted(target, state, now()))
-
-    target.write_latest(latest_rows(source.latest(), dims, options), Batch("history", run, 0))
-    if todo:
-        stored = target.stored(INDEX).filter((F.col("stage") == "history") & (F.col("run") == run))
-        target.complete(stored.select("entity_id").distinct(), run, todo[-1].slice)
-    done = target.completed(run).agg(F.count("*").alias("n"), F.max("entity_id").alias("last"))
-    done = done.first()
-    state = _counted(target, state, now())
-    state = replace(
-        state, phase="live_sync", completed_entities=done["n"], last_entity_id=done["last"]
+        state = state.next(saved_ms=now()).with_slice(replace(part, done=True))
+        if part is not todo[-1]:
+            log.save(replace(state, **_counted(target, state)))
+
+    target.write_latest(
+        latest_rows(source.latest(), dims, options), Batch("history", state.run, 0)
+    )
+    return log.save(
+        replace(state.next(phase="live_sync", saved_ms=now()), **_counted(target, state))
     )
-    return log.save(state)
 
 
 def _new_entities(
@@ -124,27 +131,42 @@ def _new_entities(
     return not lookup_join(known, completed, "entity_id", "left_anti", options).isEmpty()
 
 
-def _counted(target: Target, state: Progress, saved_ms: int) -> Progress:
-    """The record with the counts found in the stored history of its run.
+def _counted(target: Target, state: Progress) -> dict[str, object]:
+    """Counts found in the stored tables of a run, in one job.
 
     They are counted anew, never summed up: a step that ran twice counts once.
     """
     mine = (F.col("stage") == "history") & (F.col("run") == state.run)
     stored = target.stored(HISTORY).filter(mine)
-    migrated = stored.filter(F.col("outcome") == "accepted").count()
+    none = F.lit(None).cast("string")
+    accepted = stored.filter(F.col("outcome") == "accepted").agg(
+        F.lit("accepted").alias("what"),
+        F.count("*").alias("rows"),
+        F.lit(0).cast("long").alias("entities"),
+        none.alias("last"),
+    )
     refused = (
         stored.filter(F.col("outcome") == "rejected")
         .groupBy("entity_id")
         .count()
-        .agg(F.count("*").alias("entities"), F.coalesce(F.sum("count"), F.lit(0)).alias("rows"))
-        .first()
+        .agg(
+            F.lit("rejected"),
+            F.coalesce(F.sum("count"), F.lit(0)),
+            F.count("*"),
+            none,
+        )
     )
-    return state.next(
-        migrated_rows=migrated,
-        skipped_rows=refused["rows"],
-        skipped_entities=refused["entities"],
-        saved_ms=saved_ms,
+    complete = target.completed(state).agg(
+        F.lit("complete"), F.lit(0).cast("long"), F.count("*"), F.max("entity_id")
     )
+    found = {r["what"]: r for r in accepted.union(refused).union(complete).collect()}
+    return {
+        "migrated_rows": found["accepted"]["rows"],
+        "skipped_rows": found["rejected"]["rows"],
+        "skipped_entities": found["rejected"]["entities"],
+        "completed_entities": found["complete"]["entities"],
+        "last_entity_id": found["complete"]["last"],
+    }
 
 
 # -- live phase ----------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import asdict, dataclass, fields, replace
+from dataclasses import asdict, astuple, dataclass, fields, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +15,15 @@ from kvloom.functions import utc_text
 # that a repeated step starts from.
 _SLOTS = 4
 
+_SLICE = T.StructType(
+    [
+        T.StructField("slice", T.LongType()),
+        T.StructField("low", T.LongType()),
+        T.StructField("high", T.LongType()),
+        T.StructField("planned", T.BooleanType()),
+        T.StructField("done", T.BooleanType()),
+    ]
+)
 SCHEMA = T.StructType(
     [
         T.StructField("step", T.LongType()),
@@ -34,6 +43,7 @@ SCHEMA = T.StructType(
         T.StructField("partitioning", T.StringType()),
         T.StructField("cast_strings", T.BooleanType()),
         T.StructField("checkpoint", T.StringType()),
+        T.StructField("slices", T.ArrayType(_SLICE)),
     ]
 )
 _STORED = T.StructType(
@@ -46,11 +56,26 @@ _STORED = T.StructType(
 )
 
 
+@dataclass(frozen=True)
+class Slice:
+    """One ts range of the historical phase, ``low <= ts < high``; None is open.
+
+    A slice that is not planned was added for entities that came later.
+    """
+
+    slice: int
+    low: int | None = None
+    high: int | None = None
+    planned: bool = True
+    done: bool = False
+
+
 @dataclass(frozen=True)
 class Progress:
     """One record. ``stage`` and ``run`` name the run, ``step`` counts in it.
 
-    The set of completed entities is a table of its own; here is its size.
+    Which entities are complete follows from the bucket index and the slices
+    that are done; the record has their number only.
     """
 
     stage: str = "history"
@@ -72,6 +97,16 @@ class Progress:
     partitioning: str = "MONTHS"
     cast_strings: bool = False
     checkpoint: str | None = None
+    slices: tuple[Slice, ...] = ()
+
+    def slices_left(self) -> bool:
+        """Whether the planned part of the historical phase is unfinished."""
+        return any(s.planned and not s.done for s in self.slices)
+
+    def with_slice(self, done: Slice) -> Progress:
+        """The record with one slice added or changed."""
+        kept = [s for s in self.slices if s.slice != done.slice]
+        return replace(self, slices=tuple(sorted([*kept, done], key=lambda s: s.slice)))
 
     def next(self, **changes) -> Progress:
         return replace(self, step=self.step + 1, **changes)
@@ -95,6 +130,7 @@ class ProgressLog:
 
     def save(self, record: Progress) -> Progress:
         values = asdict(record)
+        values["slices"] = [astuple(s) for s in record.slices]
         row = tuple(values[name] for name in SCHEMA.fieldNames())
         directory = f"stage={record.stage}/run={record.run}/slot={record.step % _SLOTS}"
         self.spark.createDataFrame([row], SCHEMA).coalesce(1).write.mode("overwrite").parquet(
@@ -108,7 +144,14 @@ class ProgressLog:
         newest = rows.orderBy(F.desc("saved_ms"), F.desc("run"), F.desc("step")).first()
         if newest is None:
             return None
-        return Progress(**{f.name: newest[f.name] for f in fields(Progress)})
+        values = {f.name: newest[f.name] for f in fields(Progress)}
+        values["slices"] = tuple(Slice(**s.asDict()) for s in newest["slices"] or ())
+        return Progress(**values)
+
+    def runs(self, stage: str) -> list[int]:
+        """Runs of a stage that left a record."""
+        found = self.table().filter(F.col("stage") == stage).select("run").distinct().collect()
+        return sorted(r["run"] for r in found)
 
     def last_run(self) -> int:
         return self.table().agg(F.max("run")).first()[0] or 0

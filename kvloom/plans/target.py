@@ -14,7 +14,7 @@ directories ``outcome=accepted`` and ``outcome=rejected`` of the same tree.
 
 from __future__ import annotations
 
-from dataclasses import astuple, dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -33,6 +33,7 @@ from kvloom.model import (
     LATEST_SCHEMA,
 )
 from kvloom.operators.enrich import index_rows
+from kvloom.plans.progress import Progress, ProgressLog, Slice
 
 HISTORY = "ts_kv_cf"
 INDEX = "ts_kv_partitions_cf"
@@ -61,34 +62,6 @@ _HISTORY_DIRECTORIES = ["outcome", "entity_type", "bucket"]
 _SPREAD = 64
 
 
-@dataclass(frozen=True)
-class Slice:
-    """One ts range of the historical phase, ``low <= ts < high``; None is open."""
-
-    slice: int
-    low: int | None = None
-    high: int | None = None
-
-
-_SLICES = T.StructType(
-    [
-        T.StructField("slice", T.LongType()),
-        T.StructField("low", T.LongType()),
-        T.StructField("high", T.LongType()),
-    ]
-)
-_SLICES_DONE = T.StructType(
-    [*_SLICES, T.StructField("run", T.IntegerType()), T.StructField("step", T.LongType())]
-)
-_COMPLETED = T.StructType(
-    [
-        T.StructField("entity_id", T.StringType()),
-        T.StructField("run", T.IntegerType()),
-        T.StructField("part", T.LongType()),
-    ]
-)
-
-
 @dataclass(frozen=True)
 class Batch:
     """Address of one write."""
@@ -208,48 +181,18 @@ class Target:
         key = columns[:3]
         return rows.groupBy(*key).agg(newest.alias("_row")).select(*key, "_row.*")
 
-    # -- steps of the historical phase ---------------------------------------
-
-    def plan_slices(self, run: int, slices: list[Slice]) -> None:
-        self.spark.createDataFrame([astuple(s) for s in slices], _SLICES).coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(f"{self.root}/slice_plan/run={run}")
-
-    def planned_slices(self, run: int) -> list[Slice]:
-        rows = self._read(f"slice_plan/run={run}", _SLICES)
-        return sorted((Slice(*r) for r in rows.collect()), key=lambda s: s.slice)
-
-    def finish_slice(self, run: int, done: Slice) -> None:
-        """Note that all tables have the rows of a slice."""
-        self.spark.createDataFrame([astuple(done)], _SLICES).write.mode("overwrite").parquet(
-            f"{self.root}/slice_done/run={run}/step={done.slice}"
-        )
-
-    def finished_slices(self, run: int) -> set[int]:
-        done = self._read("slice_done", _SLICES_DONE).filter(F.col("run") == run)
-        return {r["slice"] for r in done.select("slice").collect()}
-
-    def history_runs(self) -> list[int]:
-        runs = self._read("slice_done", _SLICES_DONE).select("run").distinct()
-        return sorted(r["run"] for r in runs.collect())
-
-    def complete(self, entities: DataFrame, run: int, part: int) -> None:
-        """Note entities all of whose rows are written."""
-        entities.select("entity_id").write.mode("overwrite").parquet(
-            f"{self.root}/completed/run={run}/part={part}"
-        )
-
-    def completed(self, run: int) -> DataFrame:
-        rows = self._read("completed", _COMPLETED).filter(F.col("run") == run)
-        return rows.select("entity_id").distinct()
+    def completed(self, state: Progress) -> DataFrame:
+        """Entities all of whose rows a historical run has written.
 
-    def _read(self, path: str, schema: T.StructType) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{path}")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema)
+        Slices cut by ts, so an entity is complete once all planned slices are.
+        The entities of a later slice, cut out for entities that came after,
+        are complete with that slice.
+        """
+        done = [s.slice for s in state.slices if s.done]
+        rows = self.stored(INDEX).filter((F.col("stage") == "history") & (F.col("run") == state.run))
+        if state.slices_left():
+            rows = rows.filter(F.lit(False))
+        return rows.filter(F.col("batch").isin(done)).select("entity_id").distinct()
 
     # -- current views -------------------------------------------------------
 
@@ -262,7 +205,7 @@ class Target:
         """
         rows = self.stored(HISTORY).filter(F.col("outcome") == "accepted")
         columns = [*HISTORY_COLUMNS]
-        if len(self.history_runs()) != 1:
+        if len(ProgressLog(self.spark, self.root).runs("history")) != 1:
             return _last_written(rows).select(*columns)
         lowest = rows.filter(F.col("stage") == "live").agg(F.min("ts")).first()[0]
         if lowest is None:
@@ -317,7 +260,10 @@ class Target:
             f"{destination.root}/{INDEX}/{batch.path()}"
         )
         destination.write_latest(self.latest(), batch)
-        destination.finish_slice(run, Slice(0))
+        last = ProgressLog(self.spark, self.root).find() or Progress()
+        ProgressLog(self.spark, destination.root).save(
+            replace(last, stage="history", run=run, step=0, slices=(Slice(0, done=True),))
+        )
 
 
 def _last_written(rows: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from kvloom.operators import aggregates as agg
 from kvloom.operators import enrich
 from kvloom.plans import jobs
 from kvloom.plans.progress import ProgressLog, status_report
-from kvloom.plans.target import Target
+from kvloom.plans.target import Batch, Target
 from kvloom.scratch import scratch_folder
 from kvloom.sources import Dimension, entity_map, key_map, load_dimensions
 from kvloom.sources import queries as sq
@@ -166,13 +166,13 @@ def compacted_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resume_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a resumed run adds where some entities are complete."""
+    """What a resumed run adds to one that has completed some entities."""
     target = Target(spark, scratch_folder(spark, "resume"))
-    log = ProgressLog(spark, target.root)
-    log.save(jobs.Progress(phase="phase1", phase1_start_ts=fx.PHASE1_START))
-    target.complete(fx.completed_entities(spark, sf_dir), 1, -1)
-    jobs.run_historical(_source(spark, sf_dir), target, _OPTIONS, resume=True)
-    return target.history()
+    source = _source(spark, sf_dir)
+    before = fx.only_completed(source, fx.completed_entities(spark, sf_dir))
+    jobs.run_historical(before, target, _OPTIONS)
+    state = jobs.run_historical(source, target, _OPTIONS, resume=True)
+    return target.written_history(Batch("history", state.run, state.slices[-1].slice))
 
 
 def _target_columns(target: Target) -> DataFrame:

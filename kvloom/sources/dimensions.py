@@ -37,6 +37,16 @@ class Dimension:
     @staticmethod
     def measure(df: DataFrame) -> Dimension:
         """Count the rows and the bytes of all columns in one distributed pass."""
+        return measure_all([df])[0]
+
+    def fits_broadcast(self, options: RunOptions) -> bool:
+        return self.rows <= options.broadcast_max_rows and self.bytes <= options.broadcast_max_bytes
+
+
+def measure_all(frames: list[DataFrame]) -> list[Dimension]:
+    """Measure several tables in one job."""
+    sizes = []
+    for position, df in enumerate(frames):
         width = reduce(
             lambda a, b: a + b,
             [
@@ -46,14 +56,15 @@ class Dimension:
                 for f in df.schema.fields
             ],
         )
-        size = df.agg(
-            F.count("*").alias("rows"),
-            F.coalesce(F.sum(width + F.lit(ROW_OVERHEAD_BYTES)), F.lit(0)).alias("bytes"),
-        ).first()
-        return Dimension(df, size["rows"], size["bytes"])
-
-    def fits_broadcast(self, options: RunOptions) -> bool:
-        return self.rows <= options.broadcast_max_rows and self.bytes <= options.broadcast_max_bytes
+        sizes.append(
+            df.agg(
+                F.lit(position).alias("position"),
+                F.count("*").alias("rows"),
+                F.coalesce(F.sum(width + F.lit(ROW_OVERHEAD_BYTES)), F.lit(0)).alias("bytes"),
+            )
+        )
+    found = {r["position"]: r for r in reduce(DataFrame.union, sizes).collect()}
+    return [Dimension(df, found[i]["rows"], found[i]["bytes"]) for i, df in enumerate(frames)]
 
 
 @dataclass(frozen=True)
@@ -65,6 +76,11 @@ class Dimensions:
     # Key names that more than one source key ends up with; mostly empty.
     shared_names: Dimension
 
+    def release(self) -> None:
+        """Give up what ``load_dimensions(keep=True)`` holds."""
+        for part in (self.entities, self.keys, self.shared_names):
+            part.df.unpersist()
+
 
 def entity_map(source: SourceTables) -> DataFrame:
     """(entity_id, entity_type) over all entity tables that exist.
@@ -127,11 +143,14 @@ def shared_key_names(keys: DataFrame) -> DataFrame:
     return repeated.union(id_like).distinct()
 
 
-def load_dimensions(source: SourceTables) -> Dimensions:
-    """Read and measure the lookup tables."""
-    keys = key_map(source)
-    return Dimensions(
-        entities=Dimension.measure(entity_map(source)),
-        keys=Dimension.measure(keys),
-        shared_names=Dimension.measure(shared_key_names(keys)),
-    )
+def load_dimensions(source: SourceTables, keep: bool = False) -> Dimensions:
+    """Read and measure the lookup tables.
+
+    ``keep`` holds them on the executors for a job that uses them several
+    times; a lost part is read again.
+    """
+    frames = [entity_map(source), key_map(source)]
+    if keep:
+        frames = [df.persist() for df in frames]
+    shared = shared_key_names(frames[1])
+    return Dimensions(*measure_all([*frames, shared.persist() if keep else shared]))

@@ -46,6 +46,10 @@ class FrameSource(SourceTables):
     def find(self, name: str) -> DataFrame | None:
         return self._frames.get(name)
 
+    def replacing(self, **frames: DataFrame) -> FrameSource:
+        """The same tables with some of them exchanged."""
+        return FrameSource(self.spark, {**self._frames, **frames})
+
 
 class ParquetSource(SourceTables):
     """One Parquet file or folder per table: ``<root>/<name>`` or ``<root>/<name>.parquet``."""
