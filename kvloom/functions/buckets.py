@@ -40,12 +40,14 @@ def bucket_start(ts: Column | str, strategy: str) -> Column:
     return F.when(ts.between(MIN_TS, MAX_TS), start)
 
 
-def directory_bucket(ts: Column | str, strategy: str) -> Column:
-    """Bucket that names the directory of a row.
+def directory_bucket(partition: Column | str, strategy: str) -> Column:
+    """Bucket that names the directory of a row, from the row's own bucket.
 
     Buckets finer than a month would make one directory per day or less, so
     those rows are kept in the directory of their month.
     """
     check_strategy(strategy)
-    coarse = strategy if strategy in ("MONTHS", "YEARS", "INDEFINITE") else "MONTHS"
-    return bucket_start(ts, coarse)
+    partition = F.col(partition) if isinstance(partition, str) else partition
+    if strategy in ("MONTHS", "YEARS", "INDEFINITE"):
+        return partition
+    return bucket_start(partition, "MONTHS")

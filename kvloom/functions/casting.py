@@ -38,12 +38,15 @@ def retype_strings(df: DataFrame) -> DataFrame:
     overwritten and ``str_v`` becomes null; other rows are left as they are.
     """
     text = F.col("str_v")
-    as_long = string_as_long(text)
-    as_double = F.when(as_long.isNull(), string_as_double(text))
-    return df.withColumns(
+    # Columns of their own, so that each pattern is matched once per row.
+    tried = df.withColumn("_long", string_as_long(text)).withColumn(
+        "_double", F.when(F.col("_long").isNull(), string_as_double(text))
+    )
+    neither = F.col("_long").isNull() & F.col("_double").isNull()
+    return tried.withColumns(
         {
-            "str_v": F.when(as_long.isNull() & as_double.isNull(), text),
-            "long_v": F.coalesce(as_long, F.col("long_v")),
-            "dbl_v": F.coalesce(as_double, F.col("dbl_v")),
+            "str_v": F.when(neither, text),
+            "long_v": F.coalesce("_long", "long_v"),
+            "dbl_v": F.coalesce("_double", "dbl_v"),
         }
-    )
+    ).drop("_long", "_double")

@@ -23,6 +23,21 @@ def canonical_uuid(text: Column) -> Column:
     return F.when(text.rlike(CANONICAL_FORM), text).when(bare.rlike(BARE_FORM), rebuilt)
 
 
+def lookup_uuid(text: Column) -> Column:
+    """The text to look an id up by among canonical ids.
+
+    A text as long as a canonical id, the normal case, is only put in lower
+    case; a malformed one among them is found in no table. Other texts are
+    parsed.
+    """
+    return F.when(F.octet_length(text) == 36, F.lower(text)).otherwise(canonical_uuid(text))
+
+
+def is_canonical(text: Column) -> Column:
+    """Whether a text is a UUID in canonical form."""
+    return text.rlike(CANONICAL_FORM)
+
+
 def is_time_uuid(canonical: Column) -> Column:
     """True for version-1 ids, given canonical text."""
     return F.substring(canonical, 15, 1) == F.lit("1")

@@ -144,12 +144,14 @@ class RunOptions:
     # The historical phase is cut into this many ts ranges, each of them a
     # restart point.
     slices: int = 1
+    # Rows that one file of the history table should have, roughly.
+    rows_per_file: int = 5_000_000
     # Live micro-batches re-read this much behind the watermark.
     overlap_ms: int = 0
 
     def __post_init__(self):
         check_strategy(self.partitioning)
-        for name in ("batch_size", "workers", "slices"):
+        for name in ("batch_size", "workers", "slices", "rows_per_file"):
             if getattr(self, name) < 1:
                 raise ValueError(f"{name} must be at least 1")
 

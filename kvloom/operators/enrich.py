@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kvloom.functions import bucket_start, canonical_uuid, is_time_uuid, retype_strings
+from kvloom.functions import (
+    bucket_start,
+    is_canonical,
+    is_time_uuid,
+    lookup_uuid,
+    retype_strings,
+)
 from kvloom.model import (
     BAD_TS,
     BAD_UUID,
@@ -65,19 +71,21 @@ def with_entity_types(rows: DataFrame, dims: Dimensions, options: RunOptions) ->
     given id and gets a reason.
     """
     given = F.col("entity_id").cast("string")
-    canonical = canonical_uuid(given)
-    # Only malformed ids are carried twice through the join.
-    given = rows.withColumns(
-        {"entity_id": canonical, _GIVEN_ID: F.when(canonical.isNull(), given)}
+    keyed = rows.withColumns({"entity_id": lookup_uuid(given), _GIVEN_ID: given})
+    typed = lookup_join(keyed, dims.entities, "entity_id", "left", options)
+    # The pattern is matched for the rows without a type only.
+    known_form = F.coalesce(is_canonical(F.col("entity_id")), F.lit(False))
+    reason = F.when(
+        F.col("entity_type").isNull(), F.when(known_form, UNKNOWN_ENTITY).otherwise(BAD_UUID)
     )
-    typed = lookup_join(given, dims.entities, "entity_id", "left", options)
-    malformed: Column = F.col("entity_id").isNull()
     if options.time_uuid_only:
-        malformed = malformed | ~is_time_uuid(F.col("entity_id"))
-    reason = F.when(malformed, BAD_UUID).when(F.col("entity_type").isNull(), UNKNOWN_ENTITY)
+        reason = F.when(~is_time_uuid(F.col("entity_id")), BAD_UUID).otherwise(reason)
     return (
         typed.withColumn("reason", reason)
-        .withColumn("entity_id", F.coalesce("entity_id", _GIVEN_ID))
+        .withColumn(
+            "entity_id",
+            F.when(F.col("reason") == BAD_UUID, F.col(_GIVEN_ID)).otherwise(F.col("entity_id")),
+        )
         .drop(_GIVEN_ID)
     )
 

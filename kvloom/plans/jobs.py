@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from dataclasses import replace
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kvloom.functions.buckets import DAY_MS
 from kvloom.model import LIVE_START_MARGIN_MS, RunOptions
 from kvloom.operators.aggregates import latest_from_history
 from kvloom.operators.enrich import history_rows, latest_rows, shape_history, with_entity_types
@@ -24,16 +25,40 @@ def now_millis() -> int:
     return int(time.time() * 1000)
 
 
-def cut_slices(rows: DataFrame, count: int) -> tuple[Slice, ...]:
-    """Ranges of equal length over the ts found; the outer two are open."""
-    if count == 1:
-        return (Slice(0),)
-    low, high = rows.agg(F.min("ts"), F.max("ts")).first()
-    if low is None:
-        return (Slice(0),)
-    count = min(count, high - low + 1)
-    edges = [low + (high - low + 1) * i // count for i in range(1, count)]
-    return tuple(Slice(i, a, b) for i, (a, b) in enumerate(zip([None, *edges], [*edges, None])))
+@dataclass(frozen=True)
+class Extent:
+    """Number of the source rows and the range of their ts."""
+
+    rows: int
+    low: int | None
+    high: int | None
+
+    @staticmethod
+    def of(rows: DataFrame) -> Extent:
+        return Extent(*rows.agg(F.count("*"), F.min("ts"), F.max("ts")).first())
+
+    def cut(self, count: int) -> tuple[Slice, ...]:
+        """Ranges of equal length over the ts; the outer two are open."""
+        if count == 1 or self.low is None:
+            return (Slice(0),)
+        length = self.high - self.low + 1
+        count = min(count, length)
+        edges = [self.low + length * i // count for i in range(1, count)]
+        bounds = zip([None, *edges], [*edges, None])
+        return tuple(Slice(i, low, high) for i, (low, high) in enumerate(bounds))
+
+    def files_per_directory(self, options: RunOptions) -> int:
+        """Files that a history directory needs if they are filled evenly.
+
+        Entity types are not counted: where one of them has nearly all rows,
+        dividing by their number would make the files too large.
+        """
+        if not self.rows:
+            return 1
+        month = 30 * DAY_MS
+        width = {"INDEFINITE": None, "YEARS": 365 * DAY_MS}.get(options.partitioning, month)
+        directories = 1 if width is None else (self.high - self.low) // width + 1
+        return max(1, self.rows // (directories * options.rows_per_file))
 
 
 def within(rows: DataFrame, part: Slice) -> DataFrame:
@@ -88,11 +113,12 @@ def _write_historical(
     now: Callable[[], int],
 ) -> Progress:
     rows = source.history()
+    extent = Extent.of(rows)
     state = state.next(
         phase="phase1",
         phase1_start_ts=state.phase1_start_ts or now(),
-        total_rows=rows.count(),
-        slices=state.slices or cut_slices(rows, options.slices),
+        total_rows=extent.rows,
+        slices=state.slices or extent.cut(options.slices),
         saved_ms=now(),
     )
     log.save(state)
@@ -108,7 +134,9 @@ def _write_historical(
         if completed is not None and completed.rows:
             shaped = lookup_join(shaped, completed, "entity_id", "left_anti", options)
         batch = Batch("history", state.run, part.slice)
-        target.write_history(shaped, batch, options.partitioning)
+        target.write_history(
+            shaped, batch, options.partitioning, extent.files_per_directory(options)
+        )
         target.write_index(batch)
         state = state.next(saved_ms=now()).with_slice(replace(part, done=True))
         if part is not todo[-1]:

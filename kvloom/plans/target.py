@@ -57,8 +57,7 @@ _STORED = {
     LATEST: T.StructType([*LATEST_SCHEMA, *_BATCH_FIELDS]),
 }
 _HISTORY_DIRECTORIES = ["outcome", "entity_type", "bucket"]
-# Rows of one directory are split over several files above this task size only
-# by adaptive execution; without it they are spread over this many tasks.
+# Tasks that a directory is spread over without adaptive execution.
 _SPREAD = 64
 
 
@@ -110,23 +109,34 @@ class Target:
 
     # -- writes --------------------------------------------------------------
 
-    def write_history(self, shaped: DataFrame, batch: Batch, strategy: str) -> None:
+    def write_history(
+        self, shaped: DataFrame, batch: Batch, strategy: str, files: int = 1
+    ) -> None:
         """Store accepted and rejected rows of one batch in one pass.
 
         The rows are brought together by target directory first, or every task
-        would leave a file in every directory. A directory with much data is
-        spread over many tasks. Inside a file the rows are in key order.
+        would leave a file in every directory. ``files`` is the number of files
+        that a directory is expected to need: an entity is then in one of them.
+        Adaptive execution splits what is larger than a task should be, so a
+        hot directory or entity does not end in one task. Inside a file the
+        rows are in key order.
         """
-        bucket = directory_bucket("ts", strategy)
         accepted = F.col("reason").isNull()
-        placed = shaped.withColumn("bucket", F.when(accepted, bucket)).withColumn(
-            "outcome", F.when(accepted, "accepted").otherwise("rejected")
+        bucket = directory_bucket("partition", strategy)
+        placed = shaped.withColumns(
+            {
+                "bucket": F.when(accepted, bucket),
+                "outcome": F.when(accepted, "accepted").otherwise("rejected"),
+            }
         )
         # The session of the rows: a stream runs its batches in one of its own.
         if shaped.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-            gathered = placed.hint("rebalance", *_HISTORY_DIRECTORIES)
+            together = [F.col(c) for c in _HISTORY_DIRECTORIES]
+            if files > 1:
+                together.append(F.pmod(F.xxhash64("entity_id"), F.lit(files)))
+            gathered = placed.hint("rebalance", *together)
         else:
-            spread = F.pmod(F.xxhash64("entity_id", "key", "ts"), F.lit(_SPREAD))
+            spread = F.pmod(F.xxhash64("entity_id", "key", "ts"), F.lit(max(files, _SPREAD)))
             gathered = placed.repartition(*_HISTORY_DIRECTORIES, spread)
         ordered = gathered.sortWithinPartitions(*_HISTORY_DIRECTORIES, "entity_id", "key", "ts")
         ordered.write.mode("overwrite").partitionBy(*_HISTORY_DIRECTORIES).parquet(

@@ -45,6 +45,12 @@ class Dimension:
 
 def measure_all(frames: list[DataFrame]) -> list[Dimension]:
     """Measure several tables in one job."""
+    found = _sizes(frames)
+    return [Dimension(df, *size) for df, size in zip(frames, found)]
+
+
+def _sizes(frames: list[DataFrame], *counted: DataFrame) -> list[tuple[int, int]]:
+    """Rows and bytes of tables, then the rows of one-column, one-row tables."""
     sizes = []
     for position, df in enumerate(frames):
         width = reduce(
@@ -63,8 +69,10 @@ def measure_all(frames: list[DataFrame]) -> list[Dimension]:
                 F.coalesce(F.sum(width + F.lit(ROW_OVERHEAD_BYTES)), F.lit(0)).alias("bytes"),
             )
         )
-    found = {r["position"]: r for r in reduce(DataFrame.union, sizes).collect()}
-    return [Dimension(df, found[i]["rows"], found[i]["bytes"]) for i, df in enumerate(frames)]
+    for position, df in enumerate(counted, len(frames)):
+        sizes.append(df.select(F.lit(position), df[0], F.lit(0).cast("long")))
+    found = sorted(tuple(r) for r in reduce(DataFrame.union, sizes).collect())
+    return [(rows, size) for _, rows, size in found]
 
 
 @dataclass(frozen=True)
@@ -152,5 +160,14 @@ def load_dimensions(source: SourceTables, keep: bool = False) -> Dimensions:
     frames = [entity_map(source), key_map(source)]
     if keep:
         frames = [df.persist() for df in frames]
-    shared = shared_key_names(frames[1])
-    return Dimensions(*measure_all([*frames, shared.persist() if keep else shared]))
+    names = F.col("key")
+    id_like = names.try_cast("int").cast("string") == names
+    # Names given twice and names that read like an id; mostly none.
+    suspects = F.count("*") - F.count_distinct(names) + F.count_if(id_like)
+    *sizes, (suspected, _) = _sizes(frames, frames[1].agg(suspects))
+    entities, keys = (Dimension(df, *size) for df, size in zip(frames, sizes))
+    if suspected:
+        shared = Dimension.measure(shared_key_names(keys.df))
+    else:
+        shared = Dimension(keys.df.select("key").limit(0), 0, 0)
+    return Dimensions(entities, keys, shared)
