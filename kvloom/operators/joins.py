@@ -81,13 +81,12 @@ def spread_join(rows: DataFrame, lookup: Dimension, on: str, how: str) -> DataFr
         [T.StructField(on, rows.schema[on].dataType), T.StructField(_PARTS, T.IntegerType())]
     )
     parts = F.broadcast(spark.createDataFrame(hot, schema))
-    others = [c for c in rows.columns if c != on]
     # A hash of the row, not a random number: a task that runs again after the
     # loss of an executor must send every row to the same place.
     width = F.when(F.col(on).isNull(), F.lit(tasks)).otherwise(F.coalesce(_PARTS, F.lit(1)))
     salted_rows = (
         rows.join(parts, on, "left")
-        .withColumn(_SALT, F.pmod(F.xxhash64(*others), width).cast("int"))
+        .withColumn(_SALT, F.pmod(F.xxhash64(*rows.columns), width).cast("int"))
         .drop(_PARTS)
     )
     repeats = F.sequence(F.lit(0), F.coalesce(_PARTS, F.lit(1)) - 1)

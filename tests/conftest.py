@@ -12,7 +12,10 @@ sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.default.parallelism", "2")
+        # Plans are checked as text.
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         # Not UTC on purpose: nothing may depend on the session time zone.
