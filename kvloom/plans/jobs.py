@@ -15,7 +15,7 @@ from kvloom.operators.aggregates import latest_from_history
 from kvloom.operators.enrich import history_rows, latest_rows, shape_history, with_entity_types
 from kvloom.operators.joins import lookup_join
 from kvloom.plans.progress import Progress, ProgressLog, Slice
-from kvloom.plans.target import HISTORY, Batch, Target
+from kvloom.plans.target import Batch, Target
 from kvloom.sources.dimensions import Dimension, Dimensions, load_dimensions
 from kvloom.sources.queries import changed_since
 from kvloom.sources.tables import SourceTables
@@ -138,16 +138,18 @@ def _write_historical(
             shaped, batch, options.partitioning, extent.files_per_directory(options)
         )
         target.write_index(batch)
-        state = state.next(saved_ms=now()).with_slice(replace(part, done=True))
+        # Counted in the table, and anew if the slice is done again.
+        done = replace(part, done=True, rows=target.written_history(batch).count())
+        state = state.next(saved_ms=now()).with_slice(done)
+        state = replace(state, migrated_rows=sum(s.rows for s in state.slices))
         if part is not todo[-1]:
-            log.save(replace(state, **_counted(target, state)))
+            log.save(state)
 
     target.write_latest(
         latest_rows(source.latest(), dims, options), Batch("history", state.run, 0)
     )
-    return log.save(
-        replace(state.next(phase="live_sync", saved_ms=now()), **_counted(target, state))
-    )
+    state = replace(state, **_entity_counts(target, state))
+    return log.save(state.next(phase="live_sync", saved_ms=now()))
 
 
 def _new_entities(
@@ -159,39 +161,30 @@ def _new_entities(
     return not lookup_join(known, completed, "entity_id", "left_anti", options).isEmpty()
 
 
-def _counted(target: Target, state: Progress) -> dict[str, object]:
-    """Counts found in the stored tables of a run, in one job.
-
-    They are counted anew, never summed up: a step that ran twice counts once.
-    """
-    mine = (F.col("stage") == "history") & (F.col("run") == state.run)
-    stored = target.stored(HISTORY).filter(mine)
+def _entity_counts(target: Target, state: Progress) -> dict[str, object]:
+    """What the tables of a run tell about skipped and completed entities."""
+    refused = target.refused(state.run).select("entity_id", "key", "ts")
+    if not all(s.planned for s in state.slices):
+        # A slice added later meets rows of unknown entities again.
+        refused = refused.distinct()
     none = F.lit(None).cast("string")
-    accepted = stored.filter(F.col("outcome") == "accepted").agg(
-        F.lit("accepted").alias("what"),
-        F.count("*").alias("rows"),
-        F.lit(0).cast("long").alias("entities"),
-        none.alias("last"),
-    )
-    refused = (
-        stored.filter(F.col("outcome") == "rejected")
-        .groupBy("entity_id")
+    skipped = (
+        refused.groupBy("entity_id")
         .count()
         .agg(
-            F.lit("rejected"),
-            F.coalesce(F.sum("count"), F.lit(0)),
-            F.count("*"),
-            none,
+            F.lit("skipped").alias("what"),
+            F.count("*").alias("entities"),
+            F.coalesce(F.sum("count"), F.lit(0)).alias("rows"),
+            none.alias("last"),
         )
     )
     complete = target.completed(state).agg(
-        F.lit("complete"), F.lit(0).cast("long"), F.count("*"), F.max("entity_id")
+        F.lit("complete"), F.count("*"), F.lit(0).cast("long"), F.max("entity_id")
     )
-    found = {r["what"]: r for r in accepted.union(refused).union(complete).collect()}
+    found = {r["what"]: r for r in skipped.union(complete).collect()}
     return {
-        "migrated_rows": found["accepted"]["rows"],
-        "skipped_rows": found["rejected"]["rows"],
-        "skipped_entities": found["rejected"]["entities"],
+        "skipped_rows": found["skipped"]["rows"],
+        "skipped_entities": found["skipped"]["entities"],
         "completed_entities": found["complete"]["entities"],
         "last_entity_id": found["complete"]["last"],
     }

@@ -22,6 +22,7 @@ _SLICE = T.StructType(
         T.StructField("high", T.LongType()),
         T.StructField("planned", T.BooleanType()),
         T.StructField("done", T.BooleanType()),
+        T.StructField("rows", T.LongType()),
     ]
 )
 SCHEMA = T.StructType(
@@ -60,7 +61,8 @@ _STORED = T.StructType(
 class Slice:
     """One ts range of the historical phase, ``low <= ts < high``; None is open.
 
-    A slice that is not planned was added for entities that came later.
+    A slice that is not planned was added for entities that came later. ``rows``
+    is the number of history rows found in the table once the slice is done.
     """
 
     slice: int
@@ -68,6 +70,7 @@ class Slice:
     high: int | None = None
     planned: bool = True
     done: bool = False
+    rows: int = 0
 
 
 @dataclass(frozen=True)

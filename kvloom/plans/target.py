@@ -177,11 +177,10 @@ class Target:
         rows = self.stored(HISTORY, batch.path())
         return rows.filter(F.col("outcome") == "accepted").select(*HISTORY_COLUMNS)
 
-    def run_history(self, run: int) -> DataFrame:
-        """Accepted rows of the historical phase of one run; each key once."""
-        mine = (F.col("stage") == "history") & (F.col("run") == run)
-        rows = self.stored(HISTORY).filter(mine & (F.col("outcome") == "accepted"))
-        return rows.select(*HISTORY_COLUMNS)
+    def refused(self, run: int) -> DataFrame:
+        """Rejected rows of the historical phase of one run."""
+        rows = self.stored(HISTORY, f"stage=history/run={run}")
+        return rows.filter(F.col("outcome") == "rejected")
 
     def rejected(self) -> DataFrame:
         """Rejected rows of all batches, a row once even if met twice."""
@@ -199,7 +198,7 @@ class Target:
         are complete with that slice.
         """
         done = [s.slice for s in state.slices if s.done]
-        rows = self.stored(INDEX).filter((F.col("stage") == "history") & (F.col("run") == state.run))
+        rows = self.stored(INDEX, f"stage=history/run={state.run}")
         if state.slices_left():
             rows = rows.filter(F.lit(False))
         return rows.filter(F.col("batch").isin(done)).select("entity_id").distinct()
@@ -217,7 +216,8 @@ class Target:
         columns = [*HISTORY_COLUMNS]
         if len(ProgressLog(self.spark, self.root).runs("history")) != 1:
             return _last_written(rows).select(*columns)
-        lowest = rows.filter(F.col("stage") == "live").agg(F.min("ts")).first()[0]
+        live = self.stored(HISTORY, "stage=live").filter(F.col("outcome") == "accepted")
+        lowest = live.agg(F.min("ts")).first()[0]
         if lowest is None:
             return rows.select(*columns)
         settled = rows.filter(F.col("ts") < lowest)

@@ -101,12 +101,15 @@ def test_resume_after_a_failure(spark, target, monkeypatch):
 
 
 def test_resume_of_a_complete_run_takes_new_entities_only(spark, target):
-    jobs.run_historical(source(spark, rows_of(1)), target, OPTIONS)
-    grown = source(spark, rows_of(1, days=range(60)) + rows_of(2))
+    unknown = rows_of(99, days=[1, 2])
+    jobs.run_historical(source(spark, rows_of(1) + unknown), target, OPTIONS)
+    grown = source(spark, rows_of(1, days=range(60)) + rows_of(2) + unknown)
     state = jobs.run_historical(grown, target, OPTIONS, resume=True)
     added = target.written_history(Batch("history", state.run, 1))
     assert as_set(added, "entity_id") == {(eid(2),)} and added.count() == 40
-    assert target.history().count() == 80 and state.completed_entities == 2
+    assert target.history().count() == state.migrated_rows == 80
+    assert (state.completed_entities, state.skipped_rows, state.skipped_entities) == (2, 2, 1)
+    assert target.rejected().count() == 2
     again = jobs.run_historical(grown, target, OPTIONS, resume=True)
     assert len(again.slices) == 2 and target.history().count() == 80
 
