@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kvloom.functions import ntz_to_millis
 from kvloom.operators.aggregates import latest_per_series
@@ -28,16 +27,14 @@ SECOND_LANDING = 1_706_140_800_000  # 2024-01-25 UTC
 SAMPLE_ENTITY = "00000000-0000-1000-8000-000000000007"
 # ----------------------------------------------------------------------------
 
-EVENTS_SCHEMA = T.StructType(
-    [
-        T.StructField("event_id", T.LongType()),
-        T.StructField("ts", T.TimestampNTZType()),
-        T.StructField("user_id", T.LongType()),
-        T.StructField("event_type", T.StringType()),
-        T.StructField("value", T.DoubleType()),
-        T.StructField("props", T.StringType()),
-    ]
-)
+# Schemas of the columns that are read, so that no file is opened to infer one.
+_SCHEMAS = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, "
+    "value double, props string",
+    "customer": "c_custkey long",
+    "supplier": "s_suppkey long",
+    "orders": "o_orderkey long, o_orderdate timestamp_ntz",
+}
 
 
 def entity_uuid(number: Column) -> Column:
@@ -46,7 +43,7 @@ def entity_uuid(number: Column) -> Column:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def events_as_ts_kv(events: DataFrame) -> DataFrame:
@@ -102,11 +99,12 @@ def telemetry_source(
     """All telemetry tables over one data folder, but for the absent ones."""
     history = ts_kv(spark, sf_dir)
     customers = read_table(spark, sf_dir, "customer")
+    keys = dictionary(spark, sf_dir)
     frames = {
         "ts_kv": history,
         "ts_kv_latest": ts_kv_latest(history),
-        "key_dictionary": dictionary(spark, sf_dir),
-        "ts_kv_dictionary": dictionary(spark, sf_dir),
+        "key_dictionary": keys,
+        "ts_kv_dictionary": keys,
         "device": customers.filter(F.pmod("c_custkey", F.lit(7)) != 3).select(
             entity_uuid(F.col("c_custkey")).alias("id")
         ),

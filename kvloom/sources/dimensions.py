@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -96,9 +97,11 @@ def entity_map(source: SourceTables) -> DataFrame:
     An id in several tables takes the type of the table listed last. Tables are
     compared by position, an integer, so the aggregation stays a hash aggregate.
     """
+    # Looking for a table takes a round trip, most of all where it is absent.
+    with ThreadPoolExecutor(len(ENTITY_TABLES)) as pool:
+        tables = list(pool.map(source.find, ENTITY_TABLES))
     parts = []
-    for position, table in enumerate(ENTITY_TABLES):
-        found = source.find(table)
+    for position, (table, found) in enumerate(zip(ENTITY_TABLES, tables)):
         if found is None:
             log.warning("entity table %s does not exist, skipped", table)
             continue
