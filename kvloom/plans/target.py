@@ -59,6 +59,7 @@ _STORED = {
 _HISTORY_DIRECTORIES = ["outcome", "entity_type", "bucket"]
 # Tasks that a directory is spread over without adaptive execution.
 _SPREAD = 64
+_PART = "_part"
 
 
 @dataclass(frozen=True)
@@ -129,16 +130,18 @@ class Target:
                 "outcome": F.when(accepted, "accepted").otherwise("rejected"),
             }
         )
+        together = list(_HISTORY_DIRECTORIES)
         # The session of the rows: a stream runs its batches in one of its own.
         if shaped.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
-            together = [F.col(c) for c in _HISTORY_DIRECTORIES]
             if files > 1:
-                together.append(F.pmod(F.xxhash64("entity_id"), F.lit(files)))
+                placed = placed.withColumn(_PART, F.pmod(F.xxhash64("entity_id"), F.lit(files)))
+                together.append(_PART)
             gathered = placed.hint("rebalance", *together)
         else:
             spread = F.pmod(F.xxhash64("entity_id", "key", "ts"), F.lit(max(files, _SPREAD)))
-            gathered = placed.repartition(*_HISTORY_DIRECTORIES, spread)
+            gathered = placed.repartition(*together, spread)
         ordered = gathered.sortWithinPartitions(*_HISTORY_DIRECTORIES, "entity_id", "key", "ts")
+        ordered = ordered.drop(_PART)
         ordered.write.mode("overwrite").partitionBy(*_HISTORY_DIRECTORIES).parquet(
             f"{self.root}/{HISTORY}/{batch.path()}"
         )

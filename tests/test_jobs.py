@@ -273,6 +273,22 @@ def test_history_without_adaptive_execution(spark, target):
     assert state.migrated_rows == 80 and target.history().count() == 80
 
 
+def test_large_directories_keep_an_entity_in_one_file(spark, target):
+    src = source(spark, rows_of(*range(1, 10)))
+    options = OPTIONS.override(partitioning="INDEFINITE", rows_per_file=90)
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        jobs.run_historical(src, target, options)
+    finally:
+        spark.conf.unset(coalesce)
+    rows = target.stored(HISTORY).withColumn("file", F.input_file_name())
+    assert rows.count() == 360 and rows.select("file").distinct().count() > 1
+    assert rows.columns == [*target.stored(HISTORY).columns, "file"] and "_part" not in rows.columns
+    per_entity = rows.groupBy("entity_id").agg(F.count_distinct("file").alias("n"))
+    assert per_entity.agg(F.max("n")).first()[0] == 1
+
+
 def test_text_key_source(spark, target):
     rows = ts_kv(spark, [row(eid(1), "temp", TS, long_v=1)], True)
     src = source(spark, [], keys=None, ts_kv=rows, ts_kv_latest=rows)
