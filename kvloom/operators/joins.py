@@ -30,8 +30,8 @@ def lookup_join(
     * the lookup table is within the broadcast bounds: broadcast it, the rows
       stay where they are;
     * the keys that occur in the rows are within the bounds, as in a small
-      batch: filter the lookup table by them, then broadcast what is left,
-      which is no more than one row per key;
+      batch: filter the lookup table by them and broadcast what is left, if
+      that is within the bounds, too;
     * neither: shuffle both sides, the rows of hot keys over several tasks.
     """
     if lookup.fits_broadcast(options):
@@ -39,8 +39,9 @@ def lookup_join(
     present = rows.filter(F.col(on).isNotNull()).select(on).distinct()
     keys = Dimension.measure(present)
     if keys.fits_broadcast(options):
-        used = lookup.df.join(F.broadcast(present), on, "left_semi")
-        return rows.join(F.broadcast(used), on, how)
+        used = Dimension.measure(lookup.df.join(F.broadcast(present), on, "left_semi"))
+        if used.fits_broadcast(options):
+            return rows.join(F.broadcast(used.df), on, how)
     return spread_join(rows, lookup, on, how)
 
 

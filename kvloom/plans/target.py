@@ -31,8 +31,10 @@ from kvloom.model import (
     LATEST_COLUMNS,
     LATEST_KEY,
     LATEST_SCHEMA,
+    RunOptions,
 )
 from kvloom.operators.enrich import index_rows
+from kvloom.plans.extent import Extent
 from kvloom.plans.progress import Progress, ProgressLog, Slice
 
 HISTORY = "ts_kv_cf"
@@ -261,14 +263,19 @@ class Target:
 
     # -- compaction ----------------------------------------------------------
 
-    def compact(self, destination: Target, strategy: str, run: int) -> None:
+    def compact(self, destination: Target, options: RunOptions, run: int) -> None:
         """Store the current views under another root, as one historical batch.
 
         The caller switches readers to the new root and drops the old one.
         """
         batch = Batch("history", run, 0)
-        reason = F.lit(None).cast("string")
-        destination.write_history(self.history().withColumn("reason", reason), batch, strategy)
+        current = self.history()
+        destination.write_history(
+            current.withColumn("reason", F.lit(None).cast("string")),
+            batch,
+            options.partitioning,
+            Extent.of(current).files_per_directory(options),
+        )
         self.partition_index().write.mode("overwrite").parquet(
             f"{destination.root}/{INDEX}/{batch.path()}"
         )

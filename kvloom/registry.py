@@ -161,7 +161,7 @@ def compacted_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.run_historical(source, target, _OPTIONS, now_ms=fx.PHASE1_START)
     jobs.poll_live(source, target, _OPTIONS, 1)
     compacted = Target(spark, f"{folder}/after")
-    target.compact(compacted, _OPTIONS.partitioning, 1)
+    target.compact(compacted, _OPTIONS, 1)
     return compacted.history()
 
 

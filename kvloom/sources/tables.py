@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from abc import ABC, abstractmethod
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -132,7 +132,7 @@ class JdbcSource(SourceTables):
     def find(self, name: str) -> DataFrame | None:
         try:
             return self.spark.read.format("jdbc").options(**self.reader_options(name)).load()
-        except AnalysisException as e:
+        except PySparkException as e:
             if e.getCondition() in self._MISSING:
                 return None
             raise

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from kvloom.model import HISTORY_COLUMNS, RunOptions
 from kvloom.plans import jobs
+from kvloom.plans.extent import Extent
 from kvloom.plans.progress import Progress, ProgressLog, Slice, status_report
 from kvloom.plans.target import HISTORY, Batch, Target
 from kvloom.sources import load_dimensions
@@ -120,16 +121,16 @@ def test_resume_without_a_record_starts_anew(spark, target):
 
 
 def test_slices_cover_everything(spark):
-    extent = jobs.Extent(10, -5, 4)
+    extent = Extent(10, -5, 4)
     cut = extent.cut(3)
     assert cut[0].low is None and cut[-1].high is None
     assert [s.high for s in cut[:-1]] == [s.low for s in cut[1:]] == [-2, 1]
-    assert jobs.Extent(0, None, None).cut(3) == (Slice(0),)
-    assert len(jobs.Extent(2, 5, 5).cut(3)) == 1
+    assert Extent(0, None, None).cut(3) == (Slice(0),)
+    assert len(Extent(2, 5, 5).cut(3)) == 1
 
 
 def test_files_per_directory():
-    year = jobs.Extent(12_000_000, 0, 365 * DAY - 1)
+    year = Extent(12_000_000, 0, 365 * DAY - 1)
     assert year.files_per_directory(OPTIONS.override(rows_per_file=100_000)) == 9
     assert year.files_per_directory(OPTIONS) == 1
     one = OPTIONS.override(rows_per_file=100_000, partitioning="INDEFINITE")
@@ -209,7 +210,7 @@ def test_compaction(spark, tmp_path, target):
     state = jobs.start_live_run(target, OPTIONS, None, watermark=TS)
     jobs.apply_live_batch(src.history(), src, target, OPTIONS, state.run, 0)
     compacted = Target(spark, str(tmp_path / "compacted"))
-    target.compact(compacted, "MONTHS", 1)
+    target.compact(compacted, OPTIONS, 1)
     assert compacted.stored(HISTORY).count() == 80 < target.stored(HISTORY).count()
     for view in ("history", "partition_index", "latest"):
         before, after = (as_set(getattr(t, view)()) for t in (target, compacted))
