@@ -1,5 +1,6 @@
 from dataclasses import replace
 
+import pyarrow.parquet as pq
 import pytest
 from helpers import as_set, eid, row, source, ts_kv
 from pyspark.sql import functions as F
@@ -230,6 +231,18 @@ def test_fine_buckets_share_a_directory_and_are_pruned(spark, target):
     assert "entity_type" in pruned and "bucket" in pruned and "1717200000000" in pruned
 
 
+def test_files_are_in_key_order(spark, target):
+    mixed = [row(eid(n), k, TS + (d * 7 % 20) * DAY) for d in range(20) for n in (2, 1) for k in (2, 1)]
+    jobs.run_historical(source(spark, mixed), target, OPTIONS)
+    files = [p.removeprefix("file:") for p in target.stored(HISTORY).inputFiles()]
+    assert len(files) == 2
+    for file in files:
+        names = ("entity_id", "key", "ts")
+        table = pq.ParquetFile(file).read(columns=list(names))
+        keys = list(zip(*(table[c].to_pylist() for c in names)))
+        assert keys == sorted(keys) and len(keys) > 1
+
+
 def test_progress_round_trip(spark, tmp_path):
     log = ProgressLog(spark, str(tmp_path))
     assert log.find() is None and log.last_run() == 0
