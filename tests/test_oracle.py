@@ -5,7 +5,10 @@ from compare import differences
 
 import __spark_entry__ as entry
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+from kvloom.oracle import oracle_queries
+from kvloom.registry import registered
+
+QUERIES, SQL = registered(), oracle_queries()
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
@@ -21,4 +24,5 @@ def test_entry(spark):
 
 
 def test_only_the_status_report_has_no_sql():
+    assert set(entry.queries()) >= set(QUERIES) and set(entry.oracle_sql()) >= set(SQL)
     assert set(QUERIES) - set(SQL) == {"status_report"} and not set(SQL) - set(QUERIES)
