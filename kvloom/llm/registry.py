@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kvloom.llm.bpe import op2_bpe
+from kvloom.llm.language import op8_language
 from kvloom.llm.mixing import OP5_SQL, op5_mixing
+from kvloom.llm.quality import op10_quality
 from kvloom.llm.sequences import op7_sequences
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op5_mixing": op5_mixing,
     "op7_sequences": op7_sequences,
+    "op8_language": op8_language,
+    "op10_quality": op10_quality,
 }
 
 SQL: dict[str, str] = {
