@@ -10,9 +10,11 @@ from kvloom.llm.bpe import op2_bpe
 from kvloom.llm.language import op8_language
 from kvloom.llm.mixing import OP5_SQL, op5_mixing
 from kvloom.llm.quality import op10_quality
+from kvloom.llm.scoring import op1_scoring
 from kvloom.llm.sequences import op7_sequences
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_scoring": op1_scoring,
     "op2_bpe": op2_bpe,
     "op5_mixing": op5_mixing,
     "op7_sequences": op7_sequences,
