@@ -135,12 +135,14 @@ def ask(blocks: Blocks, questions: Callable[[int, pa.Table], Iterator[tuple]]) -
     return blocks.rows.groupBy("block_id").applyInArrow(run, QUESTION)
 
 
-def answer(questions: DataFrame, reply: Callable[..., tuple[np.ndarray, int, int]]) -> DataFrame:
+def answer(
+    questions: DataFrame, reply: Callable[..., tuple[list[bytes], int, int]]
+) -> DataFrame:
     """Bring the questions about a range together and reply to them.
 
-    `reply(kind, keys, payloads, owner)` gets all questions of a kind in a range: their keys, the
-    parts of their payload as bytes, and the index of the asking row for each key; it gives an
-    array with an answer for each key and two numbers about all keys, for a row without a block.
+    `reply(kind, keys, payloads, counts)` gets all questions of a kind in a range: their keys, the
+    payload of each asking row and its number of keys; it gives the answers to each row and two
+    numbers about all keys, which go into a row without a block.
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -152,22 +154,33 @@ def answer(questions: DataFrame, reply: Callable[..., tuple[np.ndarray, int, int
         payloads = table.column("payload").to_pylist()
         for kind in np.unique(kinds).tolist():
             rows = np.flatnonzero(kinds == kind).tolist()
-            counts = [len(keys[i]) // 8 for i in rows]
-            found, total, distinct = reply(
+            raw, total, distinct = reply(
                 kind,
                 np.frombuffer(b"".join(keys[i] for i in rows), np.uint64),
                 [payloads[i] for i in rows],
-                np.repeat(np.arange(len(rows)), counts),
+                [len(keys[i]) // 8 for i in rows],
             )
-            ends = np.cumsum(counts).tolist()
-            for i, start, end in zip(rows, [0, *ends], ends):
-                out.append((asking[i], kind, part, found[start:end].tobytes(), None, None))
+            out += [(asking[i], kind, part, r, None, None) for i, r in zip(rows, raw)]
             out.append((None, kind, part, None, total, distinct))
         return as_table(out, ANSWER)
 
     return questions.groupBy("part").applyInArrow(run, ANSWER)
 
 
+def cut_up(answers: np.ndarray, counts: list[int]) -> list[bytes]:
+    ends = np.cumsum(counts).tolist()
+    return [answers[a:b].tobytes() for a, b in zip([0, *ends], ends)]
+
+
+def equal_runs(*ordered: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins in arrays that are in order together."""
+    n = len(ordered[0])
+    new = np.ones(n, bool)
+    if n:
+        new[1:] = np.logical_or.reduce([a[1:] != a[:-1] for a in ordered])
+    return np.flatnonzero(new)
+
+
 def told(table: pa.Table, kind: int, dtype: type) -> np.ndarray:
     """A block's answers of a kind, in the order of its ascending keys."""
     rows = sorted(

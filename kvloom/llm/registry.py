@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from kvloom.llm.bpe import op2_bpe
 from kvloom.llm.language import op8_language
+from kvloom.llm.minhash import op6_minhash
 from kvloom.llm.mixing import OP5_SQL, op5_mixing
 from kvloom.llm.quality import op10_quality
 from kvloom.llm.scoring import op1_scoring
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_scoring": op1_scoring,
     "op2_bpe": op2_bpe,
     "op5_mixing": op5_mixing,
+    "op6_minhash": op6_minhash,
     "op7_sequences": op7_sequences,
     "op8_language": op8_language,
     "op10_quality": op10_quality,

@@ -187,15 +187,14 @@ def score_texts(
             ).astype(np.uint32)
             yield from B.question_rows(block_id, k, found.grams[k], counts, ranges)
 
-    def reply(kind: int, keys: np.ndarray, payloads: list[bytes], owner: np.ndarray):
+    def reply(kind: int, keys: np.ndarray, payloads: list[bytes], asked: list[int]):
         counts = np.frombuffer(b"".join(payloads), np.uint32)
         order_ = np.argsort(keys)
-        ordered = keys[order_]
-        new = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+        new = B.equal_runs(keys[order_])
         totals = np.add.reduceat(counts[order_].astype(np.uint64), new)
         out = np.empty(len(keys), np.uint64)
         out[order_] = np.repeat(totals, np.diff(new, append=len(keys)))
-        return out, int(totals.sum()), int((totals > 0).sum())
+        return B.cut_up(out, asked), int(totals.sum()), int((totals > 0).sum())
 
     answers = kept_table(B.answer(B.ask(stored, questions), reply), "counts")
     unigrams = answers.filter("block_id IS NULL AND kind = 1")
