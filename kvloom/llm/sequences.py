@@ -2,7 +2,7 @@
 
 Documents are dealt by ranges of their id. Each range writes one shard: an Arrow stream of record
 batches, all of the same number of rows, whose rows are sequences of the same number of ids with
-a mask of the same length. Only the end of a shard is padded, with mask 0. So the place of any
+a mask of the same length. Ids are of the smaller of 16 and 32 bits that holds the vocabulary. Only the end of a shard is padded, with mask 0. So the place of any
 sequence in a memory-mapped shard is known without reading, and arrays are views of the file.
 A small table holds, for each document, its shard and the place of its first id there.
 
@@ -31,11 +31,17 @@ from kvloom.scratch import scratch_folder
 SEQUENCE = 1024
 BATCH = 256
 #: White-space separated chunks remembered by a worker before it starts anew.
-REMEMBERED = 700_000
+REMEMBERED = 1_500_000
+#: Signs that end a word; the apostrophe is not among them, as the pattern has its own rules for it.
+SIGNS = ".,;:!?|*&%$#)]}\""
 #: Characters of chunks encoded in one call.
 CALL = 50_000
 
 
+def id_type(largest: int) -> type[np.unsignedinteger]:
+    return np.uint16 if largest < 2**16 else np.uint32
+
+
 class ChunkEncoder:
     """Ids of whole texts by the tokenizers library, which sees each distinct chunk once.
 
@@ -57,44 +63,65 @@ class ChunkEncoder:
         space = "Ġ"  # the character for the byte of a space
         self.starts = np.zeros(max(vocab.values()) + 1, bool)
         self.starts[[i for t, i in vocab.items() if t.startswith(space)]] = True
-        self.special = list(self.library.get_added_tokens_decoder().values())
-        self.special = [t.content for t in self.special]
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.type = id_type(len(self.starts) - 1)
         self.after_space: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32) for e in found]
+        return [np.array(e.ids, self.type) for e in found]
 
     def learn(self, chunks: set[str]) -> None:
-        """Remember the ids of a space and each of these chunks."""
+        """Remember the ids of a space and each of these chunks.
+
+        Signs at the end of a word are a piece of their own, so word and signs are looked up apart.
+        """
         new = chunks - self.after_space.keys()
         if len(self.after_space) + len(new) > REMEMBERED:
             self.after_space.clear()
             new = chunks
+        known, tails = self.after_space, self.tails
+        split = []
+        for chunk in new:
+            stem = chunk.rstrip(SIGNS)
+            if len(stem) < len(chunk) and stem[-1:].isalpha():
+                split.append((chunk, stem, chunk[len(stem) :]))
+        self.encode_chunks(({s for _, s, _ in split} | new.difference(c for c, _, _ in split)) - known.keys())
+        ends = list({t for _, _, t in split} - tails.keys())
+        if len(tails) + len(ends) > REMEMBERED:
+            tails.clear()
+            ends = list({t for _, _, t in split})
+        for tail, ids in zip(ends, self.encode(ends)):
+            tails[tail] = ids.tobytes()
+        for chunk, stem, tail in split:
+            known[chunk] = known[stem] + tails[tail]
+
+    def encode_chunks(self, new: set[str]) -> None:
+        """Many chunks go to the library in one text; a token with a space begins each."""
         plain = [c for c in new if c and not c[0].isspace() and not c[-1].isspace()]
         calls: list[list[str]] = [[]]
         size = 0
         for chunk in plain:
             size += len(chunk) + 1
-            if size > CALL and calls[-1]:
+            if size > CALL:
                 calls.append([])
                 size = len(chunk) + 1
             calls[-1].append(chunk)
         for call in calls:
-            ids = self.encode([" " + " ".join(call)])[0] if call else np.zeros(0, np.uint32)
+            ids = self.encode([" " + " ".join(call)])[0]
             first = np.flatnonzero(self.starts[ids])
-            if len(first) == len(call):
-                raw, ends = ids.tobytes(), [*(first[1:] * 4).tolist(), 4 * len(ids)]
-                for chunk, start, end in zip(call, (first * 4).tolist(), ends):
+            if call and len(first) == len(call):
+                raw, wide = ids.tobytes(), ids.itemsize
+                ends = [*(first[1:] * wide).tolist(), wide * len(ids)]
+                for chunk, start, end in zip(call, (first * wide).tolist(), ends):
                     self.after_space[chunk] = raw[start:end]
-            else:
-                plain = [c for c in plain if c not in set(call)]
         rest = list(new - self.after_space.keys())
         for chunk, ids in zip(rest, self.encode([" " + c for c in rest])):
             self.after_space[chunk] = ids.tobytes()
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text as unsigned 32-bit integers."""
+        """The ids of each text, as bytes of the encoder's type."""
         odd = [bool(self.whole.search(t)) or any(s in t for s in self.special) for t in texts]
         parts = [[] if o else t.split(" ") for o, t in zip(odd, texts)]
         self.learn(set().union(*[p[1:] for p in parts]) if parts else set())
@@ -110,10 +137,12 @@ _ENCODERS: dict[str, ChunkEncoder] = {}
 class ShardWriter:
     """Collects ids and writes full batches; the last one of a shard is padded."""
 
-    def __init__(self, uri: str, sequence: int, batch: int):
-        self.sequence, self.batch = sequence, batch
+    def __init__(self, uri: str, kind: type[np.unsignedinteger], sequence: int, batch: int):
+        self.kind, self.sequence = kind, sequence
+        self.full = sequence * batch * np.dtype(kind).itemsize
+        ids = pa.from_numpy_dtype(kind)
         self.schema = pa.schema(
-            [("ids", pa.list_(pa.uint32(), sequence)), ("mask", pa.list_(pa.uint8(), sequence))]
+            [("ids", pa.list_(ids, sequence)), ("mask", pa.list_(pa.bool_(), sequence))]
         )
         system, path = fs.FileSystem.from_uri(uri)
         system.create_dir(path.rpartition("/")[0], recursive=True)
@@ -126,18 +155,17 @@ class ShardWriter:
     def add(self, ids: bytes) -> None:
         self.waiting.append(ids)
         self.size += len(ids)
-        self.n_ids += len(ids) // 4
-        if self.size >= 4 * self.sequence * self.batch:
+        self.n_ids += len(ids) // np.dtype(self.kind).itemsize
+        if self.size >= self.full:
             self._write(False)
 
     def _write(self, last: bool) -> None:
-        full = 4 * self.sequence * self.batch
         raw = b"".join(self.waiting)
-        upto = len(raw) if last else len(raw) - len(raw) % full
-        for start in range(0, upto, full):
-            part = raw[start : min(upto, start + full)]
-            ids = np.frombuffer(part.ljust(full, b"\0"), np.uint32)
-            mask = (np.arange(len(ids)) < len(part) // 4).astype(np.uint8)
+        upto = len(raw) if last else len(raw) - len(raw) % self.full
+        for start in range(0, upto, self.full):
+            part = raw[start : min(upto, start + self.full)]
+            ids = np.frombuffer(part.ljust(self.full, b"\0"), self.kind)
+            mask = np.arange(len(ids)) < len(part) // ids.itemsize
             lists = [pa.FixedSizeListArray.from_arrays(pa.array(v), self.sequence) for v in (ids, mask)]
             self.stream.write_batch(pa.RecordBatch.from_arrays(lists, schema=self.schema))
         self.waiting, self.size = [raw[upto:]], len(raw) - upto
@@ -156,7 +184,7 @@ class ShardReader:
         local = isinstance(system, fs.LocalFileSystem)
         self.file = pa.memory_map(path) if local else system.open_input_stream(path)
         self.stream = pa.ipc.open_stream(self.file)
-        self.start, self.ids = 0, np.zeros(0, np.uint32)
+        self.start, self.ids = 0, np.zeros(0, np.uint16)
 
     def read(self, start: int, n: int) -> Iterator[np.ndarray]:
         """The ids from `start` on, in parts; calls come with ascending starts."""
@@ -165,8 +193,8 @@ class ShardReader:
                 batch = self.stream.read_next_batch()
                 self.start += len(self.ids)
                 ids = batch.column("ids").flatten().to_numpy(zero_copy_only=True)
-                mask = batch.column("mask").flatten().to_numpy(zero_copy_only=True)
-                self.ids = ids if mask[-1] else ids[: int(mask.sum())]
+                mask = batch.column("mask").flatten()
+                self.ids = ids if mask[-1].as_py() else ids[: mask.true_count]
             part = self.ids[start - self.start : start - self.start + n]
             yield part
             start, n = start + len(part), n - len(part)
@@ -190,16 +218,20 @@ def write_sequences(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _ENCODERS:
             _ENCODERS[path] = ChunkEncoder(path)
-        encoder, end = _ENCODERS[path], np.uint32(end_id).tobytes()
+        encoder = _ENCODERS[path]
+        kind = max(encoder.type, id_type(end_id), key=lambda t: np.dtype(t).itemsize)
+        end = kind(end_id).tobytes()
         task = TaskContext.get()
         uri = f"{folder}/{task.partitionId():06d}-{task.taskAttemptId()}.arrows"
         shard = None
         for rows in batches:
             texts = [t or "" for t in rows.column("text").to_pylist()]
             for part in slices(texts, 2_000_000):
-                shard = shard or ShardWriter(uri, sequence, batch)
+                shard = shard or ShardWriter(uri, kind, sequence, batch)
                 starts, counts = [], []
                 for ids in encoder(texts[part]):
+                    if kind is not encoder.type:
+                        ids = np.frombuffer(ids, encoder.type).astype(kind).tobytes()
                     starts.append(shard.n_ids)
                     shard.add(ids + end)
                     counts.append(shard.n_ids - starts[-1])
@@ -248,7 +280,7 @@ def read_sequences(table: DataFrame) -> DataFrame:
                     reader, opened = ShardReader(uri), uri
                 crc = 0
                 for ids in reader.read(start, n):
-                    crc = zlib.crc32(ids.astype("<u4", copy=False), crc)
+                    crc = zlib.crc32(ids.astype("<u4"), crc)
                 sums.append(crc)
                 upto = start
             yield pa.RecordBatch.from_arrays(
