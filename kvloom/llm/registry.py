@@ -11,12 +11,14 @@ from kvloom.llm.language import op8_language
 from kvloom.llm.minhash import op6_minhash
 from kvloom.llm.mixing import OP5_SQL, op5_mixing
 from kvloom.llm.quality import op10_quality
+from kvloom.llm.repeats import op3_repeats
 from kvloom.llm.scoring import op1_scoring
 from kvloom.llm.sequences import op7_sequences
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_scoring": op1_scoring,
     "op2_bpe": op2_bpe,
+    "op3_repeats": op3_repeats,
     "op5_mixing": op5_mixing,
     "op6_minhash": op6_minhash,
     "op7_sequences": op7_sequences,
