@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kvloom.llm.bpe import op2_bpe
+from kvloom.llm.fingerprints import op4_fingerprints
 from kvloom.llm.language import op8_language
 from kvloom.llm.minhash import op6_minhash
 from kvloom.llm.mixing import OP5_SQL, op5_mixing
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_scoring": op1_scoring,
     "op2_bpe": op2_bpe,
     "op3_repeats": op3_repeats,
+    "op4_fingerprints": op4_fingerprints,
     "op5_mixing": op5_mixing,
     "op6_minhash": op6_minhash,
     "op7_sequences": op7_sequences,
