@@ -15,6 +15,7 @@ from kvloom.llm.quality import op10_quality
 from kvloom.llm.repeats import op3_repeats
 from kvloom.llm.scoring import op1_scoring
 from kvloom.llm.sequences import op7_sequences
+from kvloom.llm.vectors import op9_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_scoring": op1_scoring,
@@ -25,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_minhash": op6_minhash,
     "op7_sequences": op7_sequences,
     "op8_language": op8_language,
+    "op9_vectors": op9_vectors,
     "op10_quality": op10_quality,
 }
 
