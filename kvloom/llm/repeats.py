@@ -331,6 +331,7 @@ def remove_repeats(
     work = ("n_bytes", "block_id")
     rows = docs.select(*[c for c in columns if c.lower() not in work])
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
+    names = rows.columns
     blocks = B.make_blocks(rows, block_bytes)
     answers = find_repeats(blocks, length)
 
@@ -355,7 +356,7 @@ def remove_repeats(
                 kept.append(parse.data[end - size : end][~mask].tobytes().decode(errors="ignore"))
         at = table.column_names.index("text")
         table = table.set_column(at, "text", pa.array(kept, pa.string()))
-        return table.select(rows.columns)
+        return table.select(names)
 
     digest = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     if output == "digests":
