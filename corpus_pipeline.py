@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kvloom.llm.bpe import encode_decode
-from kvloom.llm.common import documents, id_remainder, kept_table
+from kvloom.llm.common import documents, id_remainder, kept_table, plain_names
 from kvloom.llm.language import identify, train_profiles
 from kvloom.llm.minhash import near_duplicates
 from kvloom.llm.mixing import mix_sources
@@ -30,16 +30,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The profiles are learned from the documents themselves, but for the third that the operator's
     query holds out.
     """
-    training = docs.filter(id_remainder("doc_id", 3) != 1)
-    found = identify(docs, train_profiles(training))
-    return found.filter("lang_pred <> 'und'").select(*docs.columns)
+    plain = plain_names(docs, ("doc_id", "text", "lang"))
+    training = plain.filter(id_remainder("doc_id", 3) != 1)
+    found = identify(plain, train_profiles(training))
+    return found.filter("lang_pred <> 'und'").select(*plain.columns).toDF(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five words to a shingle, similarity 0.8."""
-    found = near_duplicates(docs, width=5, above=80, of=100)
+    plain = plain_names(docs, ("doc_id", "text"))
+    found = near_duplicates(plain, width=5, above=80, of=100)
     dropped = found.filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    return plain.join(dropped, "doc_id", "left_anti").select(*plain.columns).toDF(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,16 +49,17 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Documents of which nothing is left stay, with an empty text; mixing takes nothing of them.
     """
-    return remove_repeats(docs, output="texts").select(*docs.columns)
+    plain = plain_names(docs, ("doc_id", "text", "n_chars"))
+    return remove_repeats(plain, output="texts").toDF(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: not at all, or up to three times."""
-    taken = mix_sources(docs)
-    times = (F.col("taken") / F.col("size")).cast("int")
-    return taken.filter("taken > 0").select(
-        *docs.columns, F.explode(F.array_repeat(F.lit(0), times)).alias("kvloom_copy")
-    ).drop("kvloom_copy")
+    plain = plain_names(docs, ("doc_id", "text", "source"))
+    taken = mix_sources(plain)
+    times = F.array_repeat(F.lit(0), (F.col("taken") / F.col("size")).cast("int"))
+    copies = taken.filter("taken > 0").select(*plain.columns, F.explode(times).alias("copy"))
+    return copies.select(*plain.columns).toDF(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

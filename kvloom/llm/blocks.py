@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kvloom.llm.common import shuffle_partitions
 from kvloom.scratch import scratch_folder
@@ -49,9 +50,7 @@ def make_blocks(docs: DataFrame, block_bytes: int) -> Blocks:
     """
     spark = docs.sparkSession
     rows = docs.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
-    schema = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields
-    ) + ", block_id long"
+    schema = T.StructType([*rows.schema.fields, T.StructField("block_id", T.LongType())])
     names = [*rows.columns, "block_id"]
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +191,7 @@ def told(table: pa.Table, kind: int, dtype: type) -> np.ndarray:
 
 
 def with_answers(
-    blocks: Blocks, answers: DataFrame, finish: Callable[[pa.Table, pa.Table], pa.Table], schema: str
+    blocks: Blocks, answers: DataFrame, finish: Callable[[pa.Table, pa.Table], pa.Table], schema: str | T.StructType
 ) -> DataFrame:
     """Give each block its rows and its answers."""
     mine = answers.filter("block_id IS NOT NULL")

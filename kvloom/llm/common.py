@@ -15,6 +15,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def plain_names(docs: DataFrame, used: tuple[str, ...]) -> DataFrame:
+    """The same rows with all columns but the used ones named by their place.
+
+    So no column that is only passed on can clash with one that an operator adds; `toDF` with the
+    old names puts them back.
+    """
+    return docs.toDF(*[c if c in used else f"passed_{i}" for i, c in enumerate(docs.columns)])
+
+
 def kept_table(frame: DataFrame, name: str) -> DataFrame:
     """Write the rows to the shared folder and read them from there: it cuts the lineage."""
     spark = frame.sparkSession

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kvloom.llm.bpe import slices
 from kvloom.llm.common import documents, id_remainder
@@ -48,6 +49,7 @@ def ngram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ends = np.cumsum([len(t.lower()) + 1 for t in texts])
     owner = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))
     letter = letter_table()[codes]
+    # Of what is between two words one blank is left.
     keep = letter | np.concatenate([[False], letter[:-1]])
     codes, owner = np.where(letter, codes, 0)[keep], owner[keep]
     if not len(codes):
@@ -56,47 +58,33 @@ def ngram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     alphabet, small = np.unique(codes, return_inverse=True)
     if alphabet[0]:
         alphabet, small = np.concatenate([[0], alphabet]).astype(alphabet.dtype), small + 1
-    a = len(alphabet)
-    # A word's last blank is also the first one of the next word of the same text.
-    first = np.concatenate([[True], (owner[1:] != owner[:-1]) | (small[:-1] == 0)])
+    # Small codes keep the order of the code points; the last one stands for what is not there.
+    missing = len(alphabet)
+    base = missing + 1
+    points = np.append(alphabet.astype(np.int64), _ABSENT)
     small = small.astype(np.int64)
-    one = small[small > 0]
-    two = small[:-1] * a + small[1:]
-    in_two = owner[:-1] == owner[1:]
-    three = two[:-1] * a + small[2:]
-    in_three = in_two[:-1] & in_two[1:] & (small[1:-1] > 0)
-    starts = np.flatnonzero(first & (small > 0))
-    follow = np.minimum(starts + 1, len(small) - 1)
-    padded = small[starts] * a + small[follow]
-    fresh = (starts == 0) | (owner[np.maximum(starts - 1, 0)] != owner[starts])
-    size = a + a * a + a * a * a
-    keys = np.concatenate(
-        [
-            owner[small > 0] * size + one,
-            owner[:-1][in_two] * size + a + two[in_two],
-            owner[:-2][in_three] * size + a + a * a + three[in_three],
-            # The blank before a text's first word stands nowhere in the array.
-            owner[starts][fresh] * size + a + small[starts][fresh],
-            owner[starts][fresh] * size + a + a * a + padded[fresh],
-        ]
-    )
+    full = small > 0
+    together = owner[:-1] == owner[1:]
+    triple = together[:-1] & together[1:] & full[1:-1]
+    # The blank before a text's first word stands nowhere in the array; before any other word it
+    # is the one after the word before.
+    first = np.flatnonzero(full & np.concatenate([[True], ~together]))
+    second = small[np.minimum(first + 1, len(small) - 1)]
+    parts = [
+        (owner[full], small[full], missing, missing),
+        (owner[:-1][together], small[:-1][together], small[1:][together], missing),
+        (owner[:-2][triple], small[:-2][triple], small[1:-1][triple], small[2:][triple]),
+        (owner[first], 0, small[first], missing),
+        (owner[first], 0, small[first], second),
+    ]
+    keys = np.concatenate([((o * base + x) * base + y) * base + z for o, x, y, z in parts])
     keys.sort()
     new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     counts = np.diff(new, append=len(keys))
-    text, gram = np.divmod(keys[new], size)
-    points = alphabet.astype(np.int64)
-    missing = np.int64(_ABSENT)
-    single, pair = gram < a, (gram >= a) & (gram < a + a * a)
-    gram = np.where(single, gram, np.where(pair, gram - a, gram - a - a * a))
-    c = points[gram % a]
-    b = points[gram // a % a]
-    d = points[np.minimum(gram // (a * a), a - 1)]
-    number = np.where(
-        single,
-        (c << 2 * _BITS) | (missing << _BITS) | missing,
-        np.where(pair, (b << 2 * _BITS) | (c << _BITS) | missing, (d << 2 * _BITS) | (b << _BITS) | c),
-    )
-    return text, number, counts
+    rest, z = np.divmod(keys[new], base)
+    rest, y = np.divmod(rest, base)
+    text, x = np.divmod(rest, base)
+    return text, (points[x] << 2 * _BITS) | (points[y] << _BITS) | points[z], counts
 
 
 def train_profiles(docs: DataFrame, length: int = PROFILE) -> DataFrame:
@@ -206,9 +194,8 @@ def identify(docs: DataFrame, profiles: DataFrame, length: int = PROFILE) -> Dat
     """
     model = Profiles(profiles.collect(), length)
     rows = docs.drop("lang_pred", "score")
-    schema = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields
-    ) + ", lang_pred string, score double"
+    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    schema = T.StructType([*rows.schema.fields, *added])
     names = [*rows.columns, "lang_pred", "score"]
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kvloom.llm import blocks as B
-from kvloom.llm.common import documents, kept_table
+from kvloom.llm.common import documents, kept_table, plain_names
 
 #: Bytes of a repeated passage.
 LENGTH = 50
@@ -327,9 +327,8 @@ def remove_repeats(
     """
     if not ANCHOR <= length <= 128:
         raise ValueError(f"length must be from {ANCHOR} to 128")
-    columns = docs.columns if output == "texts" else ["doc_id", "text"]
-    work = ("n_bytes", "block_id")
-    rows = docs.select(*[c for c in columns if c.lower() not in work])
+    used = ("doc_id", "text", "n_chars")
+    rows = plain_names(docs, used) if output == "texts" else docs.select("doc_id", "text")
     rows = rows.withColumn("doc_id", F.col("doc_id").cast("long"))
     names = rows.columns
     blocks = B.make_blocks(rows, block_bytes)
@@ -361,12 +360,11 @@ def remove_repeats(
     digest = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     if output == "digests":
         return B.with_answers(blocks, answers, digests, digest)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    found = B.with_answers(blocks, answers, texts, schema)
-    if "n_chars" in rows.columns:
+    found = B.with_answers(blocks, answers, texts, rows.schema)
+    if "n_chars" in names:
         kind = rows.schema["n_chars"].dataType
         found = found.withColumn("n_chars", F.length("text").cast(kind))
-    return found
+    return found.toDF(*docs.columns)
 
 
 def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:

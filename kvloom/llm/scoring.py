@@ -169,11 +169,14 @@ def score_texts(
     """Score every text by a model of the texts for which `training` holds.
 
     `docs` has doc_id, text and held_out. A null text is an empty one: it has one token, its end.
-    Repeated rows count as often as they stand there; null ids stay; other columns are not
-    returned. Without training texts all counts are 0 and every token has probability 1.
+    Repeated rows count as often as they stand there; null ids stay; a row for which `training`
+    is null is not learned from; other columns are not returned. Without training texts all counts are 0 and every token has probability 1.
     """
     rows = docs.select(
-        F.col("doc_id").cast("long"), "text", F.col("held_out"), F.expr(training).alias("in_training")
+        F.col("doc_id").cast("long"),
+        "text",
+        "held_out",
+        F.coalesce(F.expr(training), F.lit(False)).alias("in_training"),
     )
     stored = B.make_blocks(rows, block_bytes)
     ranges = stored.ranges

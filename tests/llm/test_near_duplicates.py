@@ -1,0 +1,143 @@
+import random
+
+import numpy as np
+import pytest
+
+from kvloom.llm import minhash
+from kvloom.llm.graph import components
+from kvloom.llm.minhash import near_duplicates
+from kvloom.llm.vectors import near_vectors
+
+
+def least_reachable(ids, linked):
+    parent = {i: i for i in ids}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in linked:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    return {i: root(i) for i in ids}
+
+
+def shingles(text, width):
+    words = (text or "").encode().lower().split()
+    if 0 < len(words) < width:
+        return {tuple(words)}
+    return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)}
+
+
+def check(docs, width, above):
+    rows = [(r.doc_id, shingles(r.text, width)) for r in docs.collect()]
+    linked = [
+        (a, b)
+        for n, (a, s) in enumerate(rows)
+        for b, t in rows[:n]
+        if a is not None and b is not None and s and t and 100 * len(s & t) >= above * len(s | t)
+    ]
+    least = least_reachable({i for i, _ in rows if i is not None}, linked)
+    found = near_duplicates(docs, width, above, 100, block_bytes=20_000).collect()
+    expected = [(i, len(s), least.get(i), i is None or least[i] == i) for i, s in rows]
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, expected))
+    return found
+
+
+def test_documents(documents):
+    assert not all(r.kept for r in check(documents, 3, 85))
+    check(documents, 5, 80)
+
+
+def test_awkward_rows(awkward, nothing):
+    check(awkward, 3, 85)
+    assert near_duplicates(nothing).count() == 0
+
+
+def test_families_about_the_threshold(spark):
+    """Many variants of one text: leaders that fail must not hide the links of the others."""
+    rnd = random.Random(11)
+    base = [f"w{rnd.randint(0, 10**6)}" for _ in range(120)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for _ in range(rnd.choice([1, 2, 3, 4, 5, 6])):
+            words[rnd.randrange(len(words))] = f"v{rnd.randint(0, 10**6)}"
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert len({r.component_id for r in check(docs, 3, 85)}) > 1
+
+
+def test_table_keys_meet_as_often_as_expected():
+    rnd = np.random.default_rng(1)
+    met = 0
+    for _ in range(200):
+        shared = rnd.integers(0, 2**63, 80, dtype=np.uint64)
+        a, b = (np.concatenate([shared, rnd.integers(0, 2**63, 10, dtype=np.uint64)]) for _ in range(2))
+        keys = minhash.table_keys([np.unique(a), np.unique(b)], 4, 2)
+        met += (keys[0] == keys[1]).any()
+    group = (80 / 100) ** 2
+    expected = (1 - (1 - group) ** 4) ** 2
+    assert met / 200 == pytest.approx(expected, abs=0.06)
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 150), (7, 7)]
+    found = components(spark.createDataFrame(edges, "a long, b long")).collect()
+    expected = {**dict.fromkeys(range(41), 0), 100: 100, 150: 100, 200: 100}
+    assert {r.id: r.component for r in found} == expected and len(found) == len(expected)
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def check_vectors(spark, rows, kind="float"):
+    frame = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>, label string, u int")
+    typed = np.float32 if kind == "float" else np.float64
+    good = {}
+    for i, v, *_ in rows:
+        if i is not None and v and None not in v and np.isfinite(v).all() and np.any(v):
+            good[i] = np.array(v, typed).astype(float)
+    linked, n = [], dict.fromkeys([r[0] for r in rows], 0)
+    for a, x in good.items():
+        for b, y in good.items():
+            if b < a and len(x) == len(y) and x @ y / np.sqrt((x @ x) * (y @ y)) >= 0.95:
+                linked.append((a, b))
+                n[a] += 1
+                n[b] += 1
+    least = least_reachable({r[0] for r in rows if r[0] is not None}, linked)
+    found = near_vectors(frame.repartition(3)).collect()
+    expected = [(i, n[i], least.get(i), i is None or least[i] == i) for i, *_ in rows]
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, expected))
+    return found
+
+
+def test_vectors(spark):
+    rnd = np.random.default_rng(2)
+    rows = []
+    for i in range(700):
+        center = np.random.default_rng(i % 60 if i < 500 else i).standard_normal(24)
+        noise = 0.03 if i % 60 != 1 else 0.16
+        rows.append((i, (center + noise * rnd.standard_normal(24)).tolist(), "x", 1))
+    rows += [(1000 + k, rows[3][1], None, None) for k in range(30)]
+    found = check_vectors(spark, rows)
+    assert max(r.n_links for r in found) >= 30
+
+
+def test_awkward_vectors(spark):
+    rows = [
+        (1, [1.0, 0.0], "a", None),
+        (2, [2.0, 0.0], "a", None),
+        (3, [1.0, 0.0, 0.0], None, None),
+        (4, [0.0, 0.0], None, None),
+        (5, [], None, None),
+        (6, None, None, None),
+        (7, [1.0, None], None, None),
+        (8, [float("nan"), 1.0], None, None),
+        (9, [float("inf"), 1.0], None, None),
+        (None, [1.0, 0.0], None, None),
+        (10, [-1.0, 0.0], None, None),
+        (11, [1.0, -0.0], None, None),
+    ]
+    check_vectors(spark, rows)
+    check_vectors(spark, rows, "double")
+    assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
