@@ -47,6 +47,7 @@ LIVE_START_MARGIN_MS = 60_000
 UNKNOWN_ENTITY = "UNKNOWN_ENTITY"
 BAD_UUID = "BAD_UUID"
 BAD_TS = "BAD_TS"
+LATE = "LATE"
 
 VALUE_FIELDS = [
     T.StructField("bool_v", T.BooleanType()),
@@ -105,7 +106,6 @@ LATEST_COLUMNS = LATEST_SCHEMA.fieldNames()
 
 # Primary keys of the three target tables.
 HISTORY_KEY = ["entity_type", "entity_id", "key", "partition", "ts"]
-INDEX_KEY = INDEX_COLUMNS
 LATEST_KEY = ["entity_type", "entity_id", "key"]
 
 
@@ -148,6 +148,8 @@ class RunOptions:
     rows_per_file: int = 5_000_000
     # Live micro-batches re-read this much behind the watermark.
     overlap_ms: int = 0
+    # Streamed rows at or below the start watermark are kept as LATE rejects.
+    keep_late: bool = False
 
     def __post_init__(self):
         check_strategy(self.partitioning)

@@ -28,6 +28,8 @@ from kvloom.sources.dimensions import Dimension, Dimensions
 
 _RAW_KEY = "_raw_key"
 _GIVEN_ID = "_given_id"
+_GIVEN_KEY = "_given_key"
+_GIVEN_TEXT = "_given_text"
 
 
 def with_key_names(rows: DataFrame, dims: Dimensions, options: RunOptions) -> DataFrame:
@@ -55,13 +57,19 @@ def _one_key_per_name(
 ) -> DataFrame:
     """Of rows that collide on a shared name keep the one of the highest key id.
 
-    Only the rows under shared names are shuffled.
+    Only the rows under shared names are shuffled. Rejected rows reach no target
+    table, so none of them takes another's place.
     """
+    good = F.col("reason").isNull() if "reason" in rows.columns else F.lit(True)
     shared = lookup_join(rows, dims.shared_names, "key", "left_semi", options)
     order = Window.partitionBy("entity_id", "key", "ts").orderBy(F.col(_RAW_KEY).desc())
-    kept = shared.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
+    kept = shared.filter(good).withColumn("_rank", F.row_number().over(order))
+    kept = kept.filter("_rank = 1").drop("_rank")
     rest = lookup_join(rows, dims.shared_names, "key", "left_anti", options)
-    return rest.unionByName(kept).drop(_RAW_KEY)
+    out = rest.unionByName(kept)
+    if "reason" in rows.columns:
+        out = out.unionByName(shared.filter(~good))
+    return out.drop(_RAW_KEY)
 
 
 def with_entity_types(rows: DataFrame, dims: Dimensions, options: RunOptions) -> DataFrame:
@@ -94,14 +102,24 @@ def shape_history(rows: DataFrame, dims: Dimensions, options: RunOptions) -> Dat
     """All source rows in the shape of ``ts_kv_cf``, plus ``reason``.
 
     ``reason`` is null for the rows that belong to the target and names the
-    fault of the others, so one pass over the source serves both.
+    fault of the others, so one pass over the source serves both. Rejected rows
+    keep key and values as they came.
     """
-    rows = with_entity_types(with_key_names(rows, dims, options), dims, options)
-    if options.cast_strings:
-        rows = retype_strings(rows)
+    rows = with_entity_types(rows, dims, options)
     rows = rows.withColumn("partition", bucket_start("ts", options.partitioning))
     outside = F.when(F.col("partition").isNull() | F.col("ts").isNull(), BAD_TS)
-    return rows.select(*HISTORY_COLUMNS, F.coalesce("reason", outside).alias("reason"))
+    rows = rows.withColumns(
+        {"reason": F.coalesce("reason", outside), _GIVEN_KEY: F.col("key").cast("string")}
+    )
+    accepted = F.col("reason").isNull()
+    rows = with_key_names(rows, dims, options)
+    rows = rows.withColumn("key", F.when(accepted, F.col("key")).otherwise(F.col(_GIVEN_KEY)))
+    if options.cast_strings:
+        held = rows.withColumns(
+            {_GIVEN_TEXT: F.when(~accepted, F.col("str_v")), "str_v": F.when(accepted, F.col("str_v"))}
+        )
+        rows = retype_strings(held).withColumn("str_v", F.coalesce("str_v", _GIVEN_TEXT))
+    return rows.select(*HISTORY_COLUMNS, "reason")
 
 
 def history_rows(rows: DataFrame, dims: Dimensions, options: RunOptions) -> DataFrame:

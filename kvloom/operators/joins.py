@@ -11,8 +11,6 @@ from pyspark.sql import types as T
 from kvloom.model import RunOptions
 from kvloom.sources.dimensions import Dimension
 
-# Upper bound of the number of keys that are treated as hot.
-MAX_HOT_KEYS = 1000
 # Largest share of a lookup table that one task may hold as a hash table.
 MAX_HASH_TABLE_BYTES = 64 << 20
 _SALT = "_salt"
@@ -52,7 +50,7 @@ def hot_keys(rows: DataFrame, on: str) -> list[tuple[object, int]]:
     With n tasks a key is hot if it holds more than one n-th of the rows, so
     there are fewer than n of them. The counts are combined before the shuffle.
     """
-    tasks = min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), MAX_HOT_KEYS)
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     share = max(rows.count() / tasks, 1.0)
     found = (
         rows.filter(F.col(on).isNotNull())

@@ -97,6 +97,24 @@ def _history(condition: str = "true") -> str:
     )
 
 
+_NEWER = _VALUES.replace("str_v", "coalesce(str_v, '') || '!' AS str_v", 1)
+
+
+def _refused(condition: str = "true", values: str = _VALUES) -> str:
+    return (
+        f"SELECT entity_id, CAST(key AS VARCHAR) AS key, ts, {values},"
+        " 'UNKNOWN_ENTITY' AS reason FROM ts_kv"
+        f" WHERE entity_id NOT IN (SELECT entity_id FROM entity_map) AND {condition}"
+    )
+
+
+def _changed_history() -> str:
+    """History whose live part came with other values than the rows before."""
+    changed = f"CASE WHEN ts > {START_WATERMARK} THEN coalesce(str_v, '') || '!' ELSE str_v END"
+    values = _VALUES.replace("str_v", f"{changed} AS str_v", 1)
+    return f"SELECT entity_type, entity_id, key, {_MONTH} AS partition, ts, {values} FROM known"
+
+
 _LAST_KNOWN = f"""
   SELECT {_LATEST} FROM (
     SELECT *, row_number() OVER (PARTITION BY entity_id, key ORDER BY ts DESC) AS n
@@ -109,6 +127,7 @@ def oracle_queries() -> dict[str, str]:
     entity = SAMPLE_ENTITY
     middle = 1_705_276_800_000
     live = f"ts > {START_WATERMARK}"
+    refused = _with(_refused())
     pending = "entity_id NOT IN (SELECT entity_id FROM completed)"
     return {
         "entity_map": _with("SELECT entity_id, entity_type FROM entity_map"),
@@ -239,12 +258,15 @@ def oracle_queries() -> dict[str, str]:
             f"SELECT DISTINCT entity_type, entity_id, key, {_MONTH} AS partition FROM known"
         ),
         "job_latest": _with(_LAST_KNOWN.format(where="")),
-        "job_rejected": _with(
-            f"SELECT {_SOURCE}, 'UNKNOWN_ENTITY' AS reason FROM named"
-            " WHERE entity_id NOT IN (SELECT entity_id FROM entity_map)"
-        ),
-        "upsert_replay": _with(_history()),
-        "compacted_history": _with(_history()),
+        "job_rejected": refused,
+        "upsert_replay": _with(_changed_history()),
+        "live_out_of_order": _with(_history(live)),
+        "live_out_of_order_latest": _with(_LAST_KNOWN.format(where=f"WHERE {live}")),
+        "live_from_zero": _with(_history()),
+        "job_latest_from_history": _with(_LAST_KNOWN.format(where="")),
+        "compacted_history": _with(_changed_history()),
+        "compacted_rejected": _with(f"{_refused()} UNION ALL {_refused(live, _NEWER)}"),
+        "job_rejected_cast": refused,
         "resume_history": _with(_history(pending)),
         "target_columns": _with(
             "SELECT 'ts_kv_cf' AS table_name, column_name, CAST(n AS BIGINT) AS filled FROM ("

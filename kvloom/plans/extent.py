@@ -14,23 +14,32 @@ from kvloom.plans.progress import Slice
 
 @dataclass(frozen=True)
 class Extent:
-    """Number of the source rows and the range of their ts."""
+    """Number of the source rows, the ts that cut them, months and years they touch."""
 
     rows: int
-    low: int | None
-    high: int | None
+    edges: tuple[int, ...] = ()
+    months: int = 1
+    years: int = 1
 
     @staticmethod
-    def of(rows: DataFrame) -> Extent:
-        return Extent(*rows.agg(F.count("*"), F.min("ts"), F.max("ts")).first())
-
-    def cut(self, count: int) -> tuple[Slice, ...]:
-        """Ranges of equal length over the ts; the outer two are open."""
-        if count == 1 or self.low is None:
-            return (Slice(0),)
-        length = self.high - self.low + 1
-        count = min(count, length)
-        edges = [self.low + length * i // count for i in range(1, count)]
+    def of(rows: DataFrame, slices: int = 1) -> Extent:
+        """Measured in one pass. Quantiles and counted months, not the range of ts, so that a
+        stray ts changes neither the slices nor the number of files."""
+        steps = [i / slices for i in range(1, slices)]
+        edges = F.percentile_approx("ts", steps, max(10_000, 20 * slices)) if steps else F.array()
+        found = rows.agg(
+            F.count("*").alias("rows"),
+            edges.alias("edges"),
+            *[
+                F.approx_count_distinct(F.floor(F.col("ts") / (days * DAY_MS))).alias(name)
+                for name, days in (("months", 30), ("years", 365))
+            ],
+        ).first()
+        return Extent(found["rows"], tuple(found["edges"] or ()), found["months"], found["years"])
+
+    def cut(self) -> tuple[Slice, ...]:
+        """Ranges of ts with about equally many rows; the outer two are open."""
+        edges = sorted(set(self.edges))
         bounds = zip([None, *edges], [*edges, None])
         return tuple(Slice(i, low, high) for i, (low, high) in enumerate(bounds))
 
@@ -42,7 +51,6 @@ class Extent:
         """
         if not self.rows:
             return 1
-        month = 30 * DAY_MS
-        width = {"INDEFINITE": None, "YEARS": 365 * DAY_MS}.get(options.partitioning, month)
-        directories = 1 if width is None else (self.high - self.low) // width + 1
+        by_strategy = {"INDEFINITE": 1, "YEARS": self.years}
+        directories = max(1, by_strategy.get(options.partitioning, self.months))
         return max(1, self.rows // (directories * options.rows_per_file))

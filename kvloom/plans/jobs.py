@@ -9,7 +9,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kvloom.model import LIVE_START_MARGIN_MS, RunOptions
+from kvloom.model import LATE, LIVE_START_MARGIN_MS, RunOptions
 from kvloom.operators.aggregates import latest_from_history
 from kvloom.operators.enrich import history_rows, latest_rows, shape_history, with_entity_types
 from kvloom.operators.joins import lookup_join
@@ -60,6 +60,7 @@ def run_historical(
             cast_strings=options.cast_strings,
         )
         log.save(state)
+    check_settings(state, options)
     dims = load_dimensions(source, keep=True)
     try:
         return _write_historical(source, target, options, log, state, dims, now)
@@ -67,6 +68,18 @@ def run_historical(
         dims.release()
 
 
+def check_settings(state: Progress, options: RunOptions) -> None:
+    """Raise if a run is to go on with other settings than it began with.
+
+    The bucket is part of the primary key: rows under two partitionings would
+    be there twice.
+    """
+    for name in ("partitioning", "cast_strings"):
+        kept, given = getattr(state, name), getattr(options, name)
+        if kept != given:
+            raise ValueError(f"the run has {name}={kept!r}; it cannot go on with {given!r}")
+
+
 def _write_historical(
     source: SourceTables,
     target: Target,
@@ -77,12 +90,12 @@ def _write_historical(
     now: Callable[[], int],
 ) -> Progress:
     rows = source.history()
-    extent = Extent.of(rows)
+    extent = Extent.of(rows, options.slices)
     state = state.next(
         phase="phase1",
         phase1_start_ts=state.phase1_start_ts or now(),
         total_rows=extent.rows,
-        slices=state.slices or extent.cut(options.slices),
+        slices=state.slices or extent.cut(),
         saved_ms=now(),
     )
     log.save(state)
@@ -109,9 +122,12 @@ def _write_historical(
         if part is not todo[-1]:
             log.save(state)
 
-    target.write_latest(
-        latest_rows(source.latest(), dims, options), Batch("history", state.run, 0)
-    )
+    if source.find("ts_kv_latest") is None:
+        # Without the table the newest stored values are the latest ones.
+        newest = latest_from_history(target.history())
+    else:
+        newest = latest_rows(source.latest(), dims, options)
+    target.write_latest(newest, Batch("history", state.run, 0))
     state = replace(state, **_entity_counts(target, state))
     return log.save(state.next(phase="live_sync", saved_ms=now()))
 
@@ -174,20 +190,29 @@ def start_live_run(
     """Open a live run, or find the one that belongs to a stream checkpoint.
 
     A new checkpoint counts its batches from 0 again, so it gets a run number
-    of its own. The start watermark is the given one, else the saved one, else
-    lies shortly before the start of the historical phase.
+    of its own. The start watermark is the given one (0 takes everything), else
+    the one that the newest live run saved, else lies shortly before the start
+    of the historical phase. Settings are those of the run before.
     """
     saved_ms = now_millis() if now_ms is None else now_ms
     log = ProgressLog(target.spark, target.root)
     if checkpoint is not None:
         known = log.find((F.col("stage") == "live") & (F.col("checkpoint") == checkpoint))
         if known is not None:
+            check_settings(known, options)
             return known
     last = log.find()
-    state = last or Progress(started_ms=saved_ms, partitioning=options.partitioning)
-    start = watermark or state.watermark_ts or (
-        (state.phase1_start_ts or saved_ms) - LIVE_START_MARGIN_MS
+    state = last or Progress(
+        started_ms=saved_ms, partitioning=options.partitioning, cast_strings=options.cast_strings
     )
+    check_settings(state, options)
+    start = watermark
+    if start is None:
+        live = log.find(F.col("stage") == "live")
+        # A compacted target has the watermark of the one before in its only record.
+        saved = live.watermark_ts if live is not None else state.watermark_ts or None
+        before = (state.phase1_start_ts or saved_ms) - LIVE_START_MARGIN_MS
+        start = before if saved is None else saved
     return log.save(
         replace(
             state,
@@ -196,6 +221,7 @@ def start_live_run(
             step=0,
             phase="live_sync",
             watermark_ts=start,
+            start_watermark_ts=start,
             checkpoint=checkpoint,
             saved_ms=saved_ms,
         )
@@ -210,12 +236,17 @@ def apply_live_batch(
     run: int,
     number: int,
     now_ms: int | None = None,
+    streamed: bool = False,
 ) -> Progress:
     """One live cycle: history, index, latest, then the watermark.
 
-    The cycle starts from the watermark before batch ``number``, also when the
-    batch is run again after its own watermark was saved, so that a repeated
-    batch stores the same rows. Entities and keys are read afresh.
+    A polled cycle sees the whole table again, so it takes what is above the
+    watermark before batch ``number``, also when the batch is run again after
+    its own watermark was saved: a repeated batch stores the same rows. A
+    stream delivers each row once, so a ``streamed`` batch takes all that is
+    above the watermark at which the run began, in whatever order it comes;
+    with ``keep_late`` the rest is kept among the rejected rows. Entities and
+    keys are read afresh, once a batch.
     """
     as_of = now_millis() if now_ms is None else now_ms
     log = ProgressLog(target.spark, target.root)
@@ -223,16 +254,31 @@ def apply_live_batch(
     before = log.find(mine & (F.col("step") == number))
     if before is None:
         raise LookupError(f"live run {run} has no record before batch {number}")
-    overlap = options.overlap_ms if number else 0
-    dims = load_dimensions(source)
+    check_settings(before, options)
     batch = Batch("live", run, number)
-    shaped = shape_history(changed_since(rows, before.watermark_ts - overlap), dims, options)
-    target.write_history(shaped, batch, options.partitioning)
+    dims = load_dimensions(source, keep=True)
+    try:
+        if streamed:
+            start = before.start_watermark_ts
+            if options.keep_late:
+                late = F.when(F.col("ts") <= start, F.lit(LATE))
+                shaped = shape_history(rows, dims, options)
+                shaped = shaped.withColumn("reason", F.coalesce("reason", late))
+            else:
+                shaped = shape_history(changed_since(rows, start), dims, options)
+        else:
+            overlap = options.overlap_ms if number else 0
+            changed = changed_since(rows, before.watermark_ts - overlap)
+            shaped = shape_history(changed, dims, options)
+        target.write_history(shaped, batch, options.partitioning)
+    finally:
+        dims.release()
     target.write_index(batch)
     written = target.written_history(batch)
     target.write_latest(latest_from_history(written), batch)
     totals = written.agg(F.count("*").alias("rows"), F.max("ts").alias("ts")).first()
-    watermark = max(before.watermark_ts, totals["ts"] or before.watermark_ts)
+    newest = before.watermark_ts if totals["ts"] is None else totals["ts"]
+    watermark = max(before.watermark_ts, newest)
     return log.save(
         before.next(watermark_ts=watermark, lag_ms=as_of - watermark, saved_ms=as_of)
     )

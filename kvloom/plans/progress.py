@@ -33,6 +33,7 @@ SCHEMA = T.StructType(
         T.StructField("last_entity_id", T.StringType()),
         T.StructField("last_entity_ts", T.LongType()),
         T.StructField("watermark_ts", T.LongType()),
+        T.StructField("start_watermark_ts", T.LongType()),
         T.StructField("total_rows", T.LongType()),
         T.StructField("migrated_rows", T.LongType()),
         T.StructField("skipped_rows", T.LongType()),
@@ -89,6 +90,8 @@ class Progress:
     last_entity_id: str | None = None
     last_entity_ts: int = 0
     watermark_ts: int = 0
+    # Where the live run began: what a stream takes lies above it.
+    start_watermark_ts: int = 0
     total_rows: int = 0
     migrated_rows: int = 0
     skipped_rows: int = 0

@@ -188,12 +188,17 @@ class Target:
         return rows.filter(F.col("outcome") == "rejected")
 
     def rejected(self) -> DataFrame:
-        """Rejected rows of all batches, a row once even if met twice."""
+        """Rejected rows of all batches, as they came.
+
+        A row that later batches meet again is there once; rows that are equal
+        within a batch, as those without an id may be, all count.
+        """
         rows = self.stored(HISTORY).filter(F.col("outcome") == "rejected")
         columns = [c for c in HISTORY_COLUMNS if c not in ("entity_type", "partition")]
-        newest = F.max_by(F.struct(*columns[3:], "reason"), write_sequence())
-        key = columns[:3]
-        return rows.groupBy(*key).agg(newest.alias("_row")).select(*key, "_row.*")
+        times = rows.groupBy(*columns, "reason", *_BATCH).agg(F.count("*").alias("_times"))
+        most = times.groupBy(*columns, "reason").agg(F.max("_times").cast("int").alias("_times"))
+        repeated = F.explode(F.array_repeat(F.lit(0), F.col("_times"))).alias("_copy")
+        return most.select(*columns, "reason", repeated).drop("_copy")
 
     def completed(self, state: Progress) -> DataFrame:
         """Entities all of whose rows a historical run has written.
@@ -264,14 +269,18 @@ class Target:
     # -- compaction ----------------------------------------------------------
 
     def compact(self, destination: Target, options: RunOptions, run: int) -> None:
-        """Store the current views under another root, as one historical batch.
+        """Store the current views and the rejected rows under another root, as
+        one historical batch.
 
         The caller switches readers to the new root and drops the old one.
         """
         batch = Batch("history", run, 0)
         current = self.history()
+        refused = self.rejected().withColumns(
+            {"entity_type": F.lit(None).cast("string"), "partition": F.lit(None).cast("long")}
+        )
         destination.write_history(
-            current.withColumn("reason", F.lit(None).cast("string")),
+            current.withColumn("reason", F.lit(None).cast("string")).unionByName(refused),
             batch,
             options.partitioning,
             Extent.of(current).files_per_directory(options),

@@ -105,17 +105,17 @@ def _watermark(rows: DataFrame, dims) -> DataFrame:
 # -- jobs and streams: write the tables, then read them --------------------------
 
 
-def _job(read: Callable, slices: int = 2) -> Query:
+def _job(read: Callable, **given) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         target = Target(spark, scratch_folder(spark, "job"))
-        options = _OPTIONS.override(slices=slices)
+        options = _OPTIONS.override(slices=2, **given)
         jobs.run_historical(_source(spark, sf_dir), target, options)
         return read(target)
 
     return query
 
 
-def _live(read: Callable) -> Query:
+def _live(read: Callable, newer_first: bool = False, watermark: int = fx.START_WATERMARK) -> Query:
     """Two landings of the source rows after the start watermark, streamed."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +125,8 @@ def _live(read: Callable) -> Query:
         landing = f"{folder}/landing"
         rows = source.history()
         late = F.col("ts") > fx.SECOND_LANDING
-        for part in (rows.filter(~late), rows.filter(late)):
+        parts = [rows.filter(~late), rows.filter(late)]
+        for part in reversed(parts) if newer_first else parts:
             part.write.mode("append").parquet(landing)
             stream = spark.readStream.schema(rows.schema).parquet(landing)
             start_live(
@@ -134,7 +135,7 @@ def _live(read: Callable) -> Query:
                 target,
                 _OPTIONS,
                 f"{folder}/checkpoint",
-                watermark=fx.START_WATERMARK,
+                watermark=watermark,
                 available_now=True,
                 now_ms=fx.AS_OF,
             ).awaitTermination()
@@ -143,26 +144,49 @@ def _live(read: Callable) -> Query:
     return query
 
 
-def upsert_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """History, then the live part twice, the second time over the first."""
-    source = _source(spark, sf_dir)
-    target = Target(spark, scratch_folder(spark, "replay"))
+def _changed(source):
+    """The source whose rows above the start watermark have other values than before."""
+    rows = source.history()
+    newer = F.concat(F.coalesce("str_v", F.lit("")), F.lit("!"))
+    changed = rows.withColumn(
+        "str_v", F.when(F.col("ts") > fx.START_WATERMARK, newer).otherwise(F.col("str_v"))
+    )
+    return source.replacing(ts_kv=changed)
+
+
+def _replayed(target: Target, source) -> None:
+    """History, then the changed live part twice, the second time over the first."""
     jobs.run_historical(source, target, _OPTIONS, now_ms=fx.PHASE1_START)
-    run = jobs.start_live_run(target, _OPTIONS, None, now_ms=fx.AS_OF).run
+    run = jobs.start_live_run(target, _OPTIONS, None, fx.START_WATERMARK, now_ms=fx.AS_OF).run
+    later = _changed(source)
     for number in (0, 0):
-        jobs.apply_live_batch(source.history(), source, target, _OPTIONS, run, number, fx.AS_OF)
+        jobs.apply_live_batch(later.history(), later, target, _OPTIONS, run, number, fx.AS_OF)
+
+
+def upsert_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = Target(spark, scratch_folder(spark, "replay"))
+    _replayed(target, _source(spark, sf_dir))
     return target.history()
 
 
-def compacted_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = _source(spark, sf_dir)
-    folder = scratch_folder(spark, "compact")
-    target = Target(spark, f"{folder}/before")
-    jobs.run_historical(source, target, _OPTIONS, now_ms=fx.PHASE1_START)
-    jobs.poll_live(source, target, _OPTIONS, 1)
-    compacted = Target(spark, f"{folder}/after")
-    target.compact(compacted, _OPTIONS, 1)
-    return compacted.history()
+def _compacted(read: Callable) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = scratch_folder(spark, "compact")
+        target = Target(spark, f"{folder}/before")
+        _replayed(target, _source(spark, sf_dir))
+        compacted = Target(spark, f"{folder}/after")
+        target.compact(compacted, _OPTIONS, 1)
+        return read(compacted)
+
+    return query
+
+
+def job_latest_from_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest table of a source without ``ts_kv_latest``."""
+    target = Target(spark, scratch_folder(spark, "job"))
+    source = _source(spark, sf_dir).replacing(ts_kv_latest=None)
+    jobs.run_historical(source, target, _OPTIONS)
+    return target.latest()
 
 
 def resume_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,8 +288,14 @@ def registered() -> dict[str, Query]:
         "job_index": _job(Target.partition_index),
         "job_latest": _job(Target.latest),
         "job_rejected": _job(Target.rejected),
+        "job_rejected_cast": _job(Target.rejected, cast_strings=True),
+        "job_latest_from_history": job_latest_from_history,
+        "live_out_of_order": _live(Target.history, newer_first=True),
+        "live_out_of_order_latest": _live(Target.latest, newer_first=True),
+        "live_from_zero": _live(Target.history, watermark=0),
         "upsert_replay": upsert_replay,
-        "compacted_history": compacted_history,
+        "compacted_history": _compacted(Target.history),
+        "compacted_rejected": _compacted(Target.rejected),
         "resume_history": resume_history,
         "target_columns": _job(_target_columns),
         "status_report": _job(lambda t: status_report(ProgressLog(t.spark, t.root).table())),

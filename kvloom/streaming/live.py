@@ -24,15 +24,15 @@ def start_live(
     """Start the live phase over a stream of ``ts_kv`` rows.
 
     ``stream`` has the eight source columns; ``source`` gives the entity and
-    key tables, read again in every batch. Rows at or below the watermark of
-    the batch before are late and not taken. That cursor is the job's own, kept
-    in the progress records: a stream watermark would act in stateful
-    operators only, and there are none here.
+    key tables, read again in every batch. All rows above the watermark at
+    which the run began are taken, in whatever order they land: the offsets of
+    the stream already tell what is new. A stream watermark would act in
+    stateful operators only, and there are none here.
     """
     run = start_live_run(target, options, checkpoint, watermark, now_ms).run
 
     def cycle(rows: DataFrame, number: int) -> None:
-        apply_live_batch(rows, source, target, options, run, number, now_ms)
+        apply_live_batch(rows, source, target, options, run, number, now_ms, streamed=True)
 
     writer = stream.writeStream.foreachBatch(cycle).option("checkpointLocation", checkpoint)
     if available_now:

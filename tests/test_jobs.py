@@ -122,22 +122,74 @@ def test_resume_without_a_record_starts_anew(spark, target):
 
 
 def test_slices_cover_everything(spark):
-    extent = Extent(10, -5, 4)
-    cut = extent.cut(3)
+    cut = Extent(10, (-2, 1, 1)).cut()
     assert cut[0].low is None and cut[-1].high is None
     assert [s.high for s in cut[:-1]] == [s.low for s in cut[1:]] == [-2, 1]
-    assert Extent(0, None, None).cut(3) == (Slice(0),)
-    assert len(Extent(2, 5, 5).cut(3)) == 1
+    assert Extent(0).cut() == (Slice(0),)
+
+
+def test_a_stray_ts_changes_neither_slices_nor_files(spark):
+    second = spark.range(1000).select((F.lit(TS) + F.col("id")).alias("ts"))
+    for stray in (0, 253_000_000_000_000):
+        extent = Extent.of(second.union(spark.range(1).select(F.lit(stray).alias("ts"))), 10)
+        cut = extent.cut()
+        sizes = [jobs.within(second, s).count() for s in cut]
+        assert sum(sizes) == 1000 and max(sizes) <= 2 * 1000 / len(cut) and len(cut) == 10
+        assert extent.months == 2 and extent.files_per_directory(OPTIONS.override(rows_per_file=100)) == 5
+    assert Extent.of(second.limit(0), 4).cut() == (Slice(0),)
 
 
 def test_files_per_directory():
-    year = Extent(12_000_000, 0, 365 * DAY - 1)
+    year = Extent(12_000_000, (), 13, 1)
     assert year.files_per_directory(OPTIONS.override(rows_per_file=100_000)) == 9
     assert year.files_per_directory(OPTIONS) == 1
     one = OPTIONS.override(rows_per_file=100_000, partitioning="INDEFINITE")
     assert year.files_per_directory(one) == 120
 
 
+def test_settings_of_a_run_cannot_change(spark, target):
+    src = source(spark, rows_of(1))
+    jobs.run_historical(src, target, OPTIONS)
+    days = OPTIONS.override(partitioning="DAYS")
+    with pytest.raises(ValueError, match="partitioning"):
+        jobs.run_historical(src, target, days, resume=True)
+    with pytest.raises(ValueError, match="partitioning"):
+        jobs.poll_live(src, target, days, 1)
+    with pytest.raises(ValueError, match="cast_strings"):
+        jobs.start_live_run(target, OPTIONS.override(cast_strings=True), None)
+
+
+def test_start_watermark(spark, target):
+    src = source(spark, rows_of(1))
+    state = jobs.run_historical(src, target, OPTIONS, now_ms=TS)
+    assert jobs.start_live_run(target, OPTIONS, None, 0, now_ms=TS).watermark_ts == 0
+    first = jobs.start_live_run(target, OPTIONS, None, TS + 5, now_ms=TS + 1)
+    assert first.watermark_ts == first.start_watermark_ts == TS + 5
+    # A resumed historical run leaves the newest record, without a watermark.
+    jobs.run_historical(src, target, OPTIONS, resume=True, now_ms=TS + 2)
+    assert jobs.start_live_run(target, OPTIONS, None, now_ms=TS + 3).watermark_ts == TS + 5
+    assert state.phase1_start_ts == TS
+
+
+def test_rejected_rows_stay_as_they_came(spark, target):
+    rows = [
+        row(eid(50), 1, TS, str_v="0042"),
+        row(eid(50), 2, TS, str_v="x"),
+        row(None, 1, TS, str_v="7"),
+        row(None, 1, TS, str_v="7"),
+        row(eid(1), 1, None, str_v="8"),
+    ]
+    options = OPTIONS.override(cast_strings=True)
+    state = jobs.run_historical(source(spark, rows), target, options)
+    found = [tuple(r) for r in target.rejected().select("key", "str_v", "long_v").collect()]
+    expected = [("1", "0042", None), ("2", "x", None), ("1", "7", None), ("1", "7", None), ("1", "8", None)]
+    assert sorted(map(str, found)) == sorted(map(str, expected))
+    assert state.skipped_rows == 5
+    after = Target(spark, target.root + "-after")
+    target.compact(after, options, 1)
+    assert after.rejected().count() == 5
+
+
 def test_replayed_live_batch_changes_nothing(spark, target):
     src = source(spark, rows_of(1, 2))
     state = jobs.start_live_run(target, OPTIONS, None, watermark=TS + 29 * DAY, now_ms=TS)
