@@ -21,6 +21,8 @@ KEY_OF_EVENT = {"click": 1, "error": 2, "purchase": 3, "view": 4}
 OTHER_KEY = 5
 ERROR_TEXTS = ("42", "-100", "3.14", "hello", "", "9223372036854775808", "1e5", "1d")
 PHASE1_START = 1_705_708_800_000  # 2024-01-20 UTC
+# How long the job of the status report takes.
+JOB_SECONDS = 40
 START_WATERMARK = 1_705_708_740_000
 AS_OF = 1_706_659_200_000  # 2024-01-31 UTC
 SECOND_LANDING = 1_706_140_800_000  # 2024-01-25 UTC

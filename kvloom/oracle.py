@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from kvloom.fixtures import (
     AS_OF,
+    JOB_SECONDS,
+    PHASE1_START,
     SAMPLE_ENTITY,
     START_WATERMARK,
 )
@@ -120,6 +122,27 @@ _LAST_KNOWN = f"""
     SELECT *, row_number() OVER (PARTITION BY entity_id, key ORDER BY ts DESC) AS n
     FROM known {{where}}) WHERE n = 1"""
 
+_STATUS = f""", totals AS (
+  SELECT (SELECT count(*) FROM ts_kv) AS n, (SELECT count(*) FROM known) AS migrated,
+    (SELECT count(*) FROM ({_refused()})) AS skipped,
+    (SELECT count(DISTINCT entity_id) FROM ({_refused()})) AS skipped_entities,
+    (SELECT count(DISTINCT entity_id) FROM known) AS complete,
+    (SELECT max(entity_id) FROM known) AS last)
+  SELECT CAST(position AS INTEGER) AS position, field, value FROM totals, LATERAL (VALUES
+    (1, 'Phase', 'live_sync'),
+    (2, 'Started at', strftime(make_timestamp({PHASE1_START} * 1000), '%Y-%m-%d %H:%M:%S') || ' UTC'),
+    (3, 'Partitioning', 'MONTHS'),
+    (4, 'Cast strings', 'False'),
+    (5, 'Total rows', format('{{:,}}', n)),
+    (6, 'Migrated rows', format('{{:,}}', migrated)),
+    (7, 'Skipped rows', format('{{:,}}', skipped)),
+    (8, 'Skipped entities', format('{{:,}}', skipped_entities)),
+    (9, 'Completed entities', format('{{:,}}', complete)),
+    (10, 'Last entity ID', last),
+    (11, 'Done', format('{{:.1f}}', (migrated + skipped) * 100.0 / n) || '%'),
+    (12, 'Rows per second', format('{{:,}}', CAST(round_even((migrated + skipped) / {JOB_SECONDS}.0, 0) AS BIGINT))),
+    (13, 'Seconds left', '0')) t(position, field, value)"""
+
 _ORDER_TS = "CAST(epoch_us(o_orderdate) // 1000 AS BIGINT)"
 
 
@@ -268,6 +291,7 @@ def oracle_queries() -> dict[str, str]:
         "compacted_rejected": _with(f"{_refused()} UNION ALL {_refused(live, _NEWER)}"),
         "job_rejected_cast": refused,
         "resume_history": _with(_history(pending)),
+        "status_report": _with(_STATUS),
         "target_columns": _with(
             "SELECT 'ts_kv_cf' AS table_name, column_name, CAST(n AS BIGINT) AS filled FROM ("
             "UNPIVOT (SELECT count(entity_type) AS entity_type, count(entity_id) AS entity_id,"
