@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,35 +35,44 @@ def lookup_join(
     """
     if lookup.fits_broadcast(options):
         return rows.join(F.broadcast(lookup.df), on, how)
-    present = rows.filter(F.col(on).isNotNull()).select(on).distinct()
+    # One pass over the rows tells which keys occur and how often.
+    counts = key_counts(rows, on).persist(StorageLevel.DISK_ONLY)
+    present = counts.select(on)
     keys = Dimension.measure(present)
     if keys.fits_broadcast(options):
         used = Dimension.measure(lookup.df.join(F.broadcast(present), on, "left_semi"))
         if used.fits_broadcast(options):
             return rows.join(F.broadcast(used.df), on, how)
-    return spread_join(rows, lookup, on, how)
+    joined = spread_join(rows, lookup, on, how, counts)
+    counts.unpersist()
+    return joined
 
 
-def hot_keys(rows: DataFrame, on: str) -> list[tuple[object, int]]:
+def key_counts(rows: DataFrame, on: str) -> DataFrame:
+    """Rows of each key; they are added up before the shuffle."""
+    return rows.filter(F.col(on).isNotNull()).groupBy(on).count()
+
+
+def hot_keys(
+    rows: DataFrame, on: str, counts: DataFrame | None = None
+) -> list[tuple[object, int]]:
     """Keys that alone exceed one task's share of the rows, with the number of
     shares they fill.
 
-    With n tasks a key is hot if it holds more than one n-th of the rows, so
-    there are fewer than n of them. The counts are combined before the shuffle.
+    With n tasks a key is hot if it holds more than one n-th of the rows with a
+    key, so there are fewer than n of them.
     """
+    counts = key_counts(rows, on) if counts is None else counts
     tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = max(rows.count() / tasks, 1.0)
-    found = (
-        rows.filter(F.col(on).isNotNull())
-        .groupBy(on)
-        .count()
-        .filter(F.col("count") > F.lit(share))
-        .collect()
-    )
+    total = counts.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    share = max(total / tasks, 1.0)
+    found = counts.filter(F.col("count") > F.lit(share)).collect()
     return [(r[on], math.ceil(r["count"] / share)) for r in found]
 
 
-def spread_join(rows: DataFrame, lookup: Dimension, on: str, how: str) -> DataFrame:
+def spread_join(
+    rows: DataFrame, lookup: Dimension, on: str, how: str, counts: DataFrame | None = None
+) -> DataFrame:
     """Shuffle join that splits hot keys.
 
     A hot key is split into as many parts as it fills tasks' shares on the side
@@ -75,7 +85,7 @@ def spread_join(rows: DataFrame, lookup: Dimension, on: str, how: str) -> DataFr
     # A hash table per task spares sorting the rows; it must fit the task, so
     # above that bound Spark sorts and merges.
     hint = "shuffle_hash" if lookup.bytes / tasks <= MAX_HASH_TABLE_BYTES else "merge"
-    hot = hot_keys(rows, on)
+    hot = hot_keys(rows, on, counts)
     schema = T.StructType(
         [T.StructField(on, rows.schema[on].dataType), T.StructField(_PARTS, T.IntegerType())]
     )

@@ -224,6 +224,7 @@ def oracle_queries() -> dict[str, str]:
             " true AS time_based FROM events"
         ),
         "history_rows": _with(_history()),
+        "history_rows_large_lookup": _with(_history()),
         "history_rows_days": _with(
             f"SELECT entity_type, entity_id, key, ts - ts % 86400000 AS partition, ts, {_VALUES}"
             " FROM known"

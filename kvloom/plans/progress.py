@@ -31,7 +31,6 @@ SCHEMA = T.StructType(
         T.StructField("phase", T.StringType()),
         T.StructField("phase1_start_ts", T.LongType()),
         T.StructField("last_entity_id", T.StringType()),
-        T.StructField("last_entity_ts", T.LongType()),
         T.StructField("watermark_ts", T.LongType()),
         T.StructField("start_watermark_ts", T.LongType()),
         T.StructField("total_rows", T.LongType()),
@@ -88,7 +87,6 @@ class Progress:
     phase: str = "init"
     phase1_start_ts: int = 0
     last_entity_id: str | None = None
-    last_entity_ts: int = 0
     watermark_ts: int = 0
     # Where the live run began: what a stream takes lies above it.
     start_watermark_ts: int = 0

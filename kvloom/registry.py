@@ -260,6 +260,7 @@ def registered() -> dict[str, Query]:
         "key_names_raw": key_names_raw,
         "canonical_ids": canonical_ids,
         "history_rows": _history_with(),
+        "history_rows_large_lookup": _history_with(broadcast_max_rows=0, broadcast_max_bytes=0),
         "history_rows_days": _history_with(partitioning="DAYS"),
         "history_rows_cast": _history_with(cast_strings=True),
         "partition_index": _on_history(

@@ -52,6 +52,18 @@ def test_hot_keys_are_few_and_split(skewed, eight_tasks):
     assert found[7] >= 3
 
 
+def test_a_key_of_few_shares_is_split_among_very_many_tasks(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    rows = spark.range(40_000).selectExpr("CASE WHEN id < 30 THEN -1 ELSE id END AS k")
+    spark.conf.set("spark.sql.shuffle.partitions", "4000")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "4")
+    try:
+        assert dict(hot_keys(rows, "k")) == {-1: 3}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
 def test_hot_key_is_spread_over_tasks(spark, skewed, lookup, eight_tasks):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
