@@ -6,10 +6,12 @@ minhashes grows with the square root of the number of tables. A pair is missed o
 of one collection differ.
 
 Links are confirmed on the full shingle sets. In every table cell all documents are compared with
-the smallest one, so a group of copies costs as many comparisons as it has members. Documents that
-met such a leader without becoming connected to it are then compared with all others that met it
-and are not connected to them; after that no pair that shares a cell is untested but those within
-one component.
+the smallest one, so a group of copies costs as many comparisons as it has members. What is left
+are documents that met such a leader without becoming connected to it: they may be linked to
+others that met it. A pair of sets so alike must share one of the rarest shingles of each, near
+the front of their order by rarity, so those documents are joined with the others by their rare
+shingles; pairs that could still reach the similarity, and are not connected yet, are confirmed,
+too. After that no pair that shares a cell is untested but those within one component.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from kvloom.llm.graph import components
 GROUPS, IN_GROUP = 10, 2
 BLOCK_BYTES = 8_000_000
 _SEEDS = B.mixed(np.arange(1, 2 * 64 * 8, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-_CELL = np.dtype([("least", "<i8"), ("most", "<i8")])
+_CELL = np.dtype([("least", "<i8"), ("several", "u1")])
 _LEADER = np.dtype([("leader", "<i8"), ("shared", "u1")])
 
 
@@ -111,7 +113,7 @@ def candidate_leaders(blocks: B.Blocks, width: int, groups: int, in_group: int)
         owner = np.repeat(_ids_of(table)[full], keys.shape[1])[order]
         asked = np.empty(len(new), _CELL)
         asked["least"] = np.minimum.reduceat(owner, new)
-        asked["most"] = np.maximum.reduceat(owner, new)
+        asked["several"] = asked["least"] < np.maximum.reduceat(owner, new)
         yield from B.question_rows(block_id, 0, ordered[new], asked, ranges)
 
     def reply(kind: int, keys: np.ndarray, payloads: list[bytes], asked: list[int]):
@@ -121,9 +123,10 @@ def candidate_leaders(blocks: B.Blocks, width: int, groups: int, in_group: int)
         n = np.diff(new, append=len(keys))
         out = np.empty(len(keys), _LEADER)
         least = np.minimum.reduceat(cell["least"][order], new)
-        most = np.maximum.reduceat(cell["most"][order], new)
+        shared = np.maximum.reduceat(cell["several"][order], new) > 0
+        shared |= least < np.maximum.reduceat(cell["least"][order], new)
         out["leader"][order] = np.repeat(least, n)
-        out["shared"][order] = np.repeat(least < most, n)
+        out["shared"][order] = np.repeat(shared, n)
         return B.cut_up(out, asked), 0, 0
 
     schema = "doc_id long, block_id long, n_shingles long, leaders array<long>"
@@ -221,6 +224,103 @@ def confirmed(
     )
 
 
+_OPEN, _OTHER = 1, 2
+
+
+def unresolved_pairs(
+    blocks: B.Blocks, members: DataFrame, placed: DataFrame, width: int, above: int, of: int
+) -> DataFrame:
+    """Pairs (a, b) of different components that may be linked though no leader connects them.
+
+    `placed` has a, its leader b and their components ca, cb. The frequency of a shingle among the
+    documents in question puts the shingles of each set in one order, rarest first. Sets of n and
+    m shingles with the wanted similarity have above / (above + of) * (n + m) in common, so the
+    first common one stands where at least as many are left in both.
+    """
+    ranges = blocks.ranges
+    apart = placed.filter("ca <> cb")
+    met = placed.join(apart.select("b").distinct(), "b").select("a", "ca").distinct()
+    state = met.join(apart.select("a", F.lit(_OPEN).alias("open")).distinct(), "a", "left")
+    # One row for each document in question, in the form of an answer to its block.
+    marks = kept_table(
+        state.join(members.select(F.col("doc_id").alias("a"), "block_id").distinct(), "a").select(
+            "block_id",
+            F.coalesce("open", F.lit(_OTHER)).alias("kind"),
+            F.lit(0).alias("part"),
+            F.lit(None).cast("binary").alias("payload"),
+            F.col("a").alias("total"),
+            F.col("ca").alias("distinct"),
+        ),
+        "marks",
+    )
+
+    def sets_of(table: pa.Table, told: pa.Table) -> tuple[list[tuple], list[np.ndarray]]:
+        columns = (told.column(c).to_pylist() for c in ("kind", "total", "distinct"))
+        state = {i: (k, c) for k, i, c in zip(*columns) if k in (_OPEN, _OTHER)}
+        mine = [
+            ((i, *state[i]), t or "")
+            for i, t in zip(table.column("doc_id").to_pylist(), table.column("text").to_pylist())
+            if i in state
+        ]
+        return [m for m, _ in mine], shingle_sets([t for _, t in mine], width)
+
+    def counted(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_counts=True)
+
+    def questions(table: pa.Table, told: pa.Table) -> pa.Table:
+        keys, n = counted(sets_of(table, told)[1])
+        n = np.minimum(n, 0xFFFF).astype(np.uint16)
+        block_id = table.column("block_id")[0].as_py() if table.num_rows else -1
+        return B.as_table(list(B.question_rows(block_id, 0, keys, n, ranges)), B.QUESTION)
+
+    def reply(kind: int, keys: np.ndarray, payloads: list[bytes], asked: list[int]):
+        n = np.frombuffer(b"".join(payloads), np.uint16).astype(np.int64)
+        order = np.argsort(keys)
+        new = B.equal_runs(keys[order])
+        out = np.empty(len(keys), np.uint16)
+        total = np.minimum(np.add.reduceat(n[order], new), 0xFFFF)
+        out[order] = np.repeat(total, np.diff(new, append=len(keys)))
+        return B.cut_up(out, asked), 0, 0
+
+    def rare(table: pa.Table, told: pa.Table) -> pa.Table:
+        who, sets = sets_of(table, told)
+        keys, _ = counted(sets)
+        frequency = B.told(told, 0, np.uint16)
+        rows = []
+        for (i, kind, component), found in zip(who, sets):
+            n = len(found)
+            often = frequency[np.searchsorted(keys, found)]
+            front = np.lexsort((found, often))[: n - -(-above * n // of) + 1]
+            for p in np.flatnonzero(often[front] > 1).tolist():
+                shingle = int(found[front[p]].view(np.int64))
+                rows.append((shingle, i, component, kind, n, p))
+        return B.as_table(rows, "shingle long, id long, component long, kind int, n long, place long")
+
+    asked = B.with_answers(blocks, marks, questions, B.QUESTION)
+    answers = kept_table(B.answer(asked, reply), "frequencies")
+    postings = kept_table(
+        B.with_answers(
+            blocks,
+            answers.unionByName(marks),
+            rare,
+            "shingle long, id long, component long, kind int, n long, place long",
+        ),
+        "postings",
+    )
+    left = postings.filter(F.col("kind") == _OPEN).select(
+        "shingle", *[F.col(c).alias(f"x_{c}") for c in ("id", "component", "n", "place")]
+    )
+    both_left = F.least(F.col("x_n") - F.col("x_place"), F.col("n") - F.col("place"))
+    possible = (above + of) * both_left >= above * (F.col("x_n") + F.col("n"))
+    return kept_table(
+        left.join(postings, "shingle")
+        .filter((F.col("x_component") != F.col("component")) & possible)
+        .select(F.greatest("x_id", "id").alias("a"), F.least("x_id", "id").alias("b"))
+        .distinct(),
+        "rest",
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     width: int = 5,
@@ -246,32 +346,17 @@ def near_duplicates(
     links = confirmed(blocks, members, pairs, width, above, of)
     found = components(links)
 
-    sizes = members.groupBy("doc_id").agg(F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi"))
     placed = pairs.join(found.withColumnRenamed("id", "a"), "a", "left").select(
         "a", "b", F.coalesce("component", "a").alias("ca")
     )
-    placed = placed.join(found.withColumnRenamed("id", "b"), "b", "left").select(
-        "a", "b", "ca", F.coalesce("component", "b").alias("cb")
-    )
     placed = kept_table(
-        placed.join(sizes.withColumnRenamed("doc_id", "a"), "a").select("a", "b", "ca", "cb", "lo", "hi"),
+        placed.join(found.withColumnRenamed("id", "b"), "b", "left").select(
+            "a", "b", "ca", F.coalesce("component", "b").alias("cb")
+        ),
         "placed",
     )
-    apart = placed.filter("ca <> cb")
-    if apart.limit(1).count():
-        # A pair whose sizes differ too much cannot reach the similarity.
-        left = apart.select(
-            "b", *[F.col(c).alias(f"x_{c}") for c in ("a", "ca", "lo", "hi")]
-        )
-        rest = (
-            left.join(placed.drop("cb"), "b")
-            .filter(
-                f"x_ca <> ca AND x_a <> a AND {of} * hi >= {above} * x_lo AND {of} * x_hi >= {above} * lo"
-            )
-            .select(F.least("x_a", "a").alias("b"), F.greatest("x_a", "a").alias("a"))
-            .distinct()
-        )
-        rest = kept_table(rest, "rest")
+    if placed.filter("ca <> cb").limit(1).count():
+        rest = unresolved_pairs(blocks, members, placed, width, above, of)
         if rest.limit(1).count():
             links = links.union(confirmed(blocks, members, rest, width, above, of).select("a", "b"))
             found = components(links)
