@@ -75,6 +75,8 @@ def make_blocks(docs: DataFrame, block_bytes: int) -> Blocks:
         .saveAsTable(name)
     )
     stored = spark.table(name)
+    # The plan knows files and buckets; the name is not needed again, and the files stay.
+    spark.sql(f"DROP TABLE {name}")
     size = stored.agg(F.count(F.lit(1)).alias("n"), F.sum("n_bytes").alias("bytes")).first()
     return Blocks(stored, size["n"], size["bytes"] or 0)
 
