@@ -39,9 +39,11 @@ LENGTH = 50
 TRIGGER, PERIOD = 12, 128
 #: Bytes in an anchor. A window of LENGTH bytes holds LENGTH - ANCHOR + 1 of them.
 ANCHOR = 24
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 2_000_000
 #: Positions worked on at a time, so that a very long text needs no more memory than others.
-SEGMENT = 2_000_000
+SEGMENT = 1_000_000
+#: Windows put in order at a time; those of one anchor stay together.
+WINDOWS = 400_000
 _FACTORS = B.mixed(np.arange(1, 64, dtype=np.uint64)) | np.uint64(1)
 _BYTES = B.mixed(np.arange(1000, 1256, dtype=np.uint64))
 _FIRST = np.dtype([("second", "<u8"), ("doc", "<i8")])
@@ -178,33 +180,47 @@ def pack_pieces(pieces: list[bytes], docs: np.ndarray) -> bytes:
     return sizes.tobytes() + docs.astype(np.int64).tobytes() + b"".join(pieces)
 
 
-def _suffixes(raw: bytes, sizes: np.ndarray, length: int) -> np.ndarray:
-    """The first `length` bytes of each suffix that has so many, for all pieces in a row."""
-    data = np.frombuffer(raw, np.uint8)
-    counts = sizes - length + 1
-    starts = np.repeat(np.cumsum(sizes) - sizes, counts)
-    places = starts + np.arange(len(starts)) - np.repeat(np.cumsum(counts) - counts, counts)
-    rows = np.lib.stride_tricks.sliding_window_view(data, length)[places]
-    return np.ascontiguousarray(rows).view(f"S{length}").ravel()
+def _batches(keys: np.ndarray, counts: np.ndarray) -> Iterator[np.ndarray]:
+    """Pieces of about WINDOWS windows together; pieces of one anchor are in one batch."""
+    order = np.argsort(keys, kind="stable")
+    total = np.cumsum(counts[order])
+    starts = B.equal_runs(keys[order])
+    begin = 0
+    while begin < len(order):
+        upto = (total[begin - 1] if begin else 0) + WINDOWS
+        following = starts[starts > begin]
+        within = following[total[following - 1] <= upto]
+        end = int(within[-1]) if len(within) else int(following[0]) if len(following) else len(order)
+        if total[-1] <= upto:
+            end = len(order)
+        yield order[begin:end]
+        begin = end
 
 
 def _reply_suffixes(length: int) -> Callable:
     def reply(keys: np.ndarray, payloads: list[bytes], asked: list[int]):
-        sizes, docs, raw = [], [], []
-        for payload, n in zip(payloads, asked):
-            sizes.append(np.frombuffer(payload, np.uint8, n).astype(np.int64))
-            docs.append(np.frombuffer(payload, np.int64, n, n))
-            raw.append(payload[9 * n :])
-        counts = [int((s - length + 1).sum()) for s in sizes]
-        every = np.concatenate(sizes)
-        owner = np.repeat(np.concatenate(docs), every - length + 1)
-        suffixes = _suffixes(b"".join(raw), every, length)
-        order = np.argsort(suffixes, kind="stable")
-        new = B.equal_runs(suffixes[order])
-        out = np.empty(len(order), np.int64)
-        least = np.minimum.reduceat(owner[order], new)
-        out[order] = np.repeat(least, np.diff(new, append=len(order)))
-        return B.cut_up(out, counts), 0, 0
+        sizes = np.concatenate(
+            [np.frombuffer(p, np.uint8, n) for p, n in zip(payloads, asked)]
+        ).astype(np.int64)
+        docs = np.concatenate([np.frombuffer(p, np.int64, n, n) for p, n in zip(payloads, asked)])
+        data = np.frombuffer(b"".join([p[9 * n :] for p, n in zip(payloads, asked)]), np.uint8)
+        views = np.lib.stride_tricks.sliding_window_view(data, length)
+        counts = sizes - length + 1
+        begins, outs = np.cumsum(sizes) - sizes, np.cumsum(counts) - counts
+        out = np.empty(int(counts.sum()), np.int64)
+        for some in _batches(keys, counts):
+            n = counts[some]
+            inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            rows = views[np.repeat(begins[some], n) + inside]
+            suffixes = np.ascontiguousarray(rows).view(f"S{length}").ravel()
+            order = np.argsort(suffixes, kind="stable")
+            new = B.equal_runs(suffixes[order])
+            least = np.minimum.reduceat(np.repeat(docs[some], n)[order], new)
+            place = np.repeat(outs[some], n) + inside
+            out[place[order]] = np.repeat(least, np.diff(new, append=len(order)))
+        ends = np.cumsum(asked)
+        windows = [int(counts[e - n : e].sum()) for e, n in zip(ends, asked)]
+        return B.cut_up(out, windows), 0, 0
 
     return reply
 

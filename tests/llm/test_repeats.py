@@ -61,6 +61,23 @@ def test_passages_shared_in_many_ways(spark):
     check(docs, block_bytes=2_000)
 
 
+def test_batches_keep_anchors_together(monkeypatch):
+    import numpy as np
+
+    import kvloom.llm.repeats as repeats
+
+    monkeypatch.setattr(repeats, "WINDOWS", 10)
+    rnd = np.random.default_rng(1)
+    for _ in range(50):
+        keys = rnd.integers(0, 8, rnd.integers(1, 40)).astype(np.uint64)
+        counts = rnd.integers(1, 9, len(keys))
+        batches = list(repeats._batches(keys, counts))
+        assert sorted(np.concatenate(batches).tolist()) == list(range(len(keys)))
+        assert sum(len(set(keys[b].tolist())) for b in batches) == len(set(keys.tolist()))
+        for b in batches:
+            assert counts[b].sum() <= 10 or len(set(keys[b].tolist())) == 1
+
+
 def test_segments_do_not_show(spark, documents, monkeypatch):
     import kvloom.llm.repeats as repeats
 
