@@ -5,8 +5,10 @@ the vectors by the signs of random projections: those that stand close to each o
 are compared in blocks of fixed size. Then neighbours of neighbours are compared: at each vector
 its own neighbours and a sample of those that have it as theirs meet, until few lists change.
 
-Pairs at or above the threshold are links. Lists that are full of links may miss some, so lists
-are enlarged to the whole component: its members are dealt into chunks, and every two chunks are
+Pairs at or above the threshold are links. Lists that are full of links may miss some, within a
+component and to others. So all vectors are compared once more, part by part, for links that join
+components; few are left, and a task returns no more than connect what it has seen. Then lists are
+enlarged to the whole component: its members are dealt into chunks, and every two chunks are
 compared in a task of their own, which returns counts, not pairs. An audit compares a fixed sample
 with all vectors; while it finds links missing, more orders and another descent follow.
 """
@@ -33,6 +35,8 @@ PASSED_ON = 4
 STEPS, CHANGED = 4, 0.01
 #: Vectors in a chunk of a component.
 CHUNK = 500
+#: Parts of all vectors, as many as keep the tasks busy; more if one would have more bytes.
+PARTS, PART_BYTES = 12, 8_000_000
 #: Vectors in the audit, recall that ends the search, rounds at most.
 AUDITED, RECALL, ROUNDS = 256, 0.9999, 4
 _LOG = logging.getLogger(__name__)
@@ -259,6 +263,79 @@ def audit(nodes: DataFrame, counts: DataFrame, kind: str, dim: int, threshold: f
     return row["found"] / row["truth"] if row["truth"] else 1.0
 
 
+class Forest:
+    """Which of some labels hang together, and edges that say so: fewer than there are labels."""
+
+    def __init__(self, labels: np.ndarray):
+        self.names, self.at = np.unique(labels, return_inverse=True)
+        self.root = np.arange(len(self.names))
+        self.edges: list[tuple[np.ndarray, np.ndarray]] = [(self.names[:0], self.names[:0])]
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Join the label at each place of `a` with the one at the same place of `b`."""
+        a, b = self.at[a], self.at[b]
+        while True:
+            x, y = self.root[a], self.root[b]
+            apart = x != y
+            if not apart.any():
+                return
+            a, b = a[apart], b[apart]
+            high, first = np.unique(np.maximum(x, y)[apart], return_index=True)
+            low = np.minimum(x, y)[apart][first]
+            self.edges.append((self.names[high], self.names[low]))
+            self.root[high] = low
+            while (self.root[self.root] != self.root).any():
+                self.root = self.root[self.root]
+
+
+def joined(
+    nodes: DataFrame,
+    members: DataFrame,
+    kind: str,
+    dim: int,
+    threshold: float,
+    part_bytes: int = PART_BYTES,
+) -> DataFrame:
+    """a, b: components that a link joins, or vectors that are in none; enough to connect all.
+
+    Every vector is compared with every other one. They are dealt into parts, and every two parts
+    meet in a task of their own, which returns fewer edges than it has components.
+    """
+    n = nodes.count()
+    parts = max(min(PARTS, -(-n // (2 * CHUNK))), -(-n * dim * np.dtype(kind).itemsize // part_bytes), 1)
+    dealt = (
+        nodes.select("id", "vec")
+        .join(members, "id", "left")
+        .select(
+            "id",
+            F.coalesce("component", "id").alias("component"),
+            "vec",
+            F.pmod(F.xxhash64("id"), F.lit(parts)).alias("part"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("other"),
+        )
+        .select(
+            F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "component", "vec"
+        )
+    )
+
+    def compare(table: pa.Table) -> pa.Table:
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        part = table.column("part").to_numpy()
+        forest = Forest(table.column("component").to_numpy())
+        data = _array(table.column("vec"), kind, dim)
+        left, right = np.flatnonzero(part == i), np.flatnonzero(part == j)
+        for a in range(0, len(left), CHUNK):
+            some = left[a : a + CHUNK]
+            for b in range(a if i == j else 0, len(right), CHUNK):
+                others = right[b : b + CHUNK]
+                rows, columns = np.nonzero(cosines(data[some], data[others]) >= threshold)
+                forest.join(some[rows], others[columns])
+        a, b = (np.concatenate(ends) for ends in zip(*forest.edges))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt.groupBy("i", "j").applyInArrow(compare, "a long, b long")
+
+
 def _linked(nodes: DataFrame, kind: str, dim: int, threshold: float, k: int) -> DataFrame:
     """id, links, component for the nodes of one dimension that have links."""
     n = nodes.count()
@@ -277,6 +354,8 @@ def _linked(nodes: DataFrame, kind: str, dim: int, threshold: float, k: int) ->
         near = graph.filter(F.col("sim") >= threshold).select(F.col("u").alias("a"), F.col("w").alias("b"))
         links = kept_table(near if links is None else links.union(near), "links")
         members = components(links)
+        links = kept_table(links.union(joined(nodes, members, kind, dim, threshold)), "links")
+        members = components(links)
         counts = kept_table(link_counts(nodes, members, kind, dim, threshold), "counts")
         recall = audit(nodes, counts, kind, dim, threshold)
         _LOG.info("round %d: %.4f of the audited links found", turn, recall)

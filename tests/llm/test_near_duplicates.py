@@ -141,3 +141,14 @@ def test_awkward_vectors(spark):
     check_vectors(spark, rows)
     check_vectors(spark, rows, "double")
     assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_dense_groups_of_vectors_with_links_across(spark):
+    """Lists of ten are full of the own group: 0.99 within, 0.955 across."""
+    rows = []
+    for i in range(80):
+        v = np.zeros(83)
+        v[0], v[1 + i % 2], v[3 + i] = np.sqrt(0.955), np.sqrt(0.035), np.sqrt(0.01)
+        rows.append((i, v.tolist(), None, None))
+    found = check_vectors(spark, rows)
+    assert {(r.n_links, r.component_id) for r in found} == {(79, 0)}
