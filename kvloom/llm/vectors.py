@@ -9,13 +9,12 @@ Pairs at or above the threshold are links. Lists that are full of links may miss
 component and to others. So all vectors are compared once more, part by part, for links that join
 components; few are left, and a task returns no more than connect what it has seen. Then lists are
 enlarged to the whole component: its members are dealt into chunks, and every two chunks are
-compared in a task of their own, which returns counts, not pairs. An audit compares a fixed sample
-with all vectors; while it finds links missing, more orders and another descent follow.
+compared in a task of their own, which returns counts, not pairs. So the result is exact at every
+size, whatever the descent has found.
 """
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,9 +36,6 @@ STEPS, CHANGED = 4, 0.01
 CHUNK = 500
 #: Parts of all vectors, as many as keep the tasks busy; more if one would have more bytes.
 PARTS, PART_BYTES = 12, 8_000_000
-#: Vectors in the audit, recall that ends the search, rounds at most.
-AUDITED, RECALL, ROUNDS = 256, 0.9999, 4
-_LOG = logging.getLogger(__name__)
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -189,7 +185,7 @@ def by_neighbours(nodes: DataFrame, graph: DataFrame, kind: str, dim: int, k: in
 def link_counts(
     nodes: DataFrame, members: DataFrame, kind: str, dim: int, threshold: float
 ) -> DataFrame:
-    """id, links (other vectors linked, copies counted), partners (other nodes linked).
+    """id, links (other vectors linked, copies counted).
 
     `members` has id and component for the nodes of components of two and more.
     """
@@ -223,44 +219,18 @@ def link_counts(
         near = cosines(data[left], data[right]) >= threshold
         if i == j:
             np.fill_diagonal(near, False)
-            out = [(left, near @ copies[right], near.sum(1))]
+            out = [(left, near @ copies[right])]
         else:
-            out = [(left, near @ copies[right], near.sum(1)), (right, copies[left] @ near, near.sum(0))]
+            out = [(left, near @ copies[right]), (right, copies[left] @ near)]
         return pa.table(
             {
-                "id": pa.array(np.concatenate([ids[rows] for rows, _, _ in out]), pa.int64()),
-                "links": pa.array(np.concatenate([n for _, n, _ in out]), pa.int64()),
-                "partners": pa.array(np.concatenate([n for _, _, n in out]), pa.int64()),
+                "id": pa.array(np.concatenate([ids[rows] for rows, _ in out]), pa.int64()),
+                "links": pa.array(np.concatenate([n for _, n in out]), pa.int64()),
             }
         )
 
-    counted = dealt.groupBy("component", "i", "j").applyInArrow(count, "id long, links long, partners long")
-    return counted.groupBy("id").agg(F.sum("links").alias("links"), F.sum("partners").alias("partners"))
-
-
-def audit(nodes: DataFrame, counts: DataFrame, kind: str, dim: int, threshold: float) -> float:
-    """The share of the links of a fixed sample of vectors that was found."""
-    rows = nodes.orderBy(F.xxhash64("id"), "id").select("id", "vec").limit(AUDITED).collect()
-    ids = np.array([r["id"] for r in rows], np.int64)
-    sample = np.frombuffer(b"".join(bytes(r["vec"]) for r in rows), kind).reshape(-1, dim)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(ids), np.int64)
-        for batch in batches:
-            near = cosines(sample, _array(batch.column("vec"), kind, dim)) >= threshold
-            near &= ids[:, None] != batch.column("id").to_numpy(zero_copy_only=False)[None, :]
-            total += near.sum(1)
-        yield pa.record_batch({"id": pa.array(ids), "truth": pa.array(total)})
-
-    truth = nodes.select("id", "vec").mapInArrow(count, "id long, truth long")
-    row = (
-        truth.groupBy("id")
-        .agg(F.sum("truth").alias("truth"))
-        .join(counts, "id", "left")
-        .agg(F.sum("truth").alias("truth"), F.sum(F.coalesce("partners", F.lit(0))).alias("found"))
-        .first()
-    )
-    return row["found"] / row["truth"] if row["truth"] else 1.0
+    counted = dealt.groupBy("component", "i", "j").applyInArrow(count, "id long, links long")
+    return counted.groupBy("id").agg(F.sum("links").alias("links"))
 
 
 class Forest:
@@ -339,31 +309,19 @@ def joined(
 def _linked(nodes: DataFrame, kind: str, dim: int, threshold: float, k: int) -> DataFrame:
     """id, links, component for the nodes of one dimension that have links."""
     n = nodes.count()
-    links, graph = None, None
-    for turn in range(ROUNDS):
-        seeds = list(range(turn * ORDERS, (turn + 1) * ORDERS))
-        pairs = by_orders(nodes, kind, dim, seeds, k)
-        graph = kept_table(top_lists(pairs if graph is None else graph.union(pairs), k), "graph")
-        for step in range(STEPS):
-            pairs = by_neighbours(nodes, graph, kind, dim, k, turn * STEPS + step)
-            better = kept_table(top_lists(graph.union(pairs), k), "graph")
-            changed = better.join(graph.select("u", "w"), ["u", "w"], "left_anti").count()
-            graph = better
-            if changed <= CHANGED * n * k:
-                break
-        near = graph.filter(F.col("sim") >= threshold).select(F.col("u").alias("a"), F.col("w").alias("b"))
-        links = kept_table(near if links is None else links.union(near), "links")
-        members = components(links)
-        links = kept_table(links.union(joined(nodes, members, kind, dim, threshold)), "links")
-        members = components(links)
-        counts = kept_table(link_counts(nodes, members, kind, dim, threshold), "counts")
-        recall = audit(nodes, counts, kind, dim, threshold)
-        _LOG.info("round %d: %.4f of the audited links found", turn, recall)
-        if recall >= RECALL:
+    graph = kept_table(top_lists(by_orders(nodes, kind, dim, list(range(ORDERS)), k), k), "graph")
+    for step in range(STEPS):
+        pairs = by_neighbours(nodes, graph, kind, dim, k, step)
+        better = kept_table(top_lists(graph.union(pairs), k), "graph")
+        changed = better.join(graph.select("u", "w"), ["u", "w"], "left_anti").count()
+        graph = better
+        if changed <= CHANGED * n * k:
             break
-    else:
-        _LOG.warning("%.4f of the audited links found after %d rounds", recall, ROUNDS)
-    return counts.join(members, "id").select("id", "links", "component")
+    near = graph.filter(F.col("sim") >= threshold).select(F.col("u").alias("a"), F.col("w").alias("b"))
+    # What the descent missed is found here, so its settings decide how much is left, not the result.
+    across = joined(nodes, components(near), kind, dim, threshold)
+    members = components(near.union(across))
+    return link_counts(nodes, members, kind, dim, threshold).join(members, "id").select("id", "links", "component")
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.95, k: int = NEIGHBOURS) -> DataFrame:

@@ -6,7 +6,8 @@ import pytest
 from kvloom.llm import minhash
 from kvloom.llm.graph import components
 from kvloom.llm.minhash import near_duplicates
-from kvloom.llm.vectors import near_vectors
+from kvloom.llm import vectors
+from kvloom.llm.vectors import Forest, near_vectors
 
 
 def least_reachable(ids, linked):
@@ -152,3 +153,30 @@ def test_dense_groups_of_vectors_with_links_across(spark):
         rows.append((i, v.tolist(), None, None))
     found = check_vectors(spark, rows)
     assert {(r.n_links, r.component_id) for r in found} == {(79, 0)}
+
+
+def test_links_that_the_descent_does_not_find(spark, monkeypatch):
+    """No order shows a pair, so no list has one: the result is the same."""
+    found = []
+
+    def nothing(nodes, *_):
+        found.append(1)
+        return nodes.sparkSession.createDataFrame([], "u long, w long, sim double")
+
+    monkeypatch.setattr(vectors, "by_orders", nothing)
+    monkeypatch.setattr(vectors, "PARTS", 3)
+    rnd = np.random.default_rng(4)
+    rows = []
+    for i in range(1100):
+        center = np.random.default_rng(i if i % 4 else i // 40 * 7).standard_normal(24)
+        rows.append((i, (center + 0.08 * rnd.standard_normal(24)).tolist(), None, None))
+    assert max(r.n_links for r in check_vectors(spark, rows)) > 0 and found
+
+
+def test_forest_of_labels():
+    forest = Forest(np.array([5, 9, 9, 1, 7, 3]))
+    forest.join(np.array([0, 0, 3, 5]), np.array([1, 2, 4, 5]))
+    forest.join(np.array([4, 1]), np.array([0, 0]))
+    edges = [(int(a), int(b)) for x, y in forest.edges for a, b in zip(x, y)]
+    assert len(edges) == 3
+    assert least_reachable([1, 3, 5, 7, 9], edges) == {1: 1, 3: 3, 5: 1, 7: 1, 9: 1}
