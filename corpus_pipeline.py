@@ -25,15 +25,15 @@ VOCABULARY = "word_bpe_49k.json"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; those without any letter go.
+    """Documents with a letter, of whatever language; those without any go, and no others.
 
     The profiles are learned from the documents themselves, but for the third that the operator's
-    query holds out.
+    query holds out. Without a labelled text among them there are none, and the same documents stay.
     """
     plain = plain_names(docs, ("doc_id", "text", "lang"))
     training = plain.filter(id_remainder("doc_id", 3) != 1)
-    found = identify(plain, train_profiles(training))
-    return found.filter("lang_pred <> 'und'").select(*plain.columns).toDF(*docs.columns)
+    found = identify(plain, train_profiles(training), letterless=None)
+    return found.filter("lang_pred IS NOT NULL").select(*plain.columns).toDF(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -160,11 +160,13 @@ class Profiles:
         for i, row in zip(at, rows):
             self.ranks[i, lang[row["lang"]]] = row["rank"]
 
-    def predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
+    def predict(self, texts: list[str], letterless: str | None = "und") -> tuple[list[str | None], list[float]]:
         """Language and score of each text; the score is 1 for a distance of 0, 0 for the largest."""
-        langs, scores = ["und"] * len(texts), [0.0] * len(texts)
+        langs, scores = [letterless] * len(texts), [0.0] * len(texts)
         text, gram, count = ngram_counts(texts)
         if not len(text) or not self.langs:
+            for i in np.unique(text):
+                langs[i] = "und"
             return langs, scores
         most = count.max() + 1
         order = np.argsort(text * most + (most - 1 - count), kind="stable")
@@ -185,11 +187,13 @@ class Profiles:
         return langs, scores
 
 
-def identify(docs: DataFrame, profiles: DataFrame, length: int = PROFILE) -> DataFrame:
+def identify(
+    docs: DataFrame, profiles: DataFrame, length: int = PROFILE, letterless: str | None = "und"
+) -> DataFrame:
     """The rows with lang_pred and score added.
 
-    `docs` has text. A text that is null or has no letter gets `und` and 0, as every text does if
-    there are no profiles. Of equal distances the language first in code point order is taken.
+    `docs` has text. A text that is null or has no letter gets `letterless` and 0; all others get
+    `und` and 0 if there are no profiles. Of equal distances the language first in code point order is taken.
     Columns of `docs` named as the new ones are replaced; all others are passed on.
     """
     model = Profiles(profiles.collect(), length)
@@ -201,10 +205,10 @@ def identify(docs: DataFrame, profiles: DataFrame, length: int = PROFILE) -> Dat
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            langs: list[str] = []
+            langs: list[str | None] = []
             scores: list[float] = []
             for part in slices(texts, 1_000_000):
-                a, b = model.predict(texts[part])
+                a, b = model.predict(texts[part], letterless)
                 langs += a
                 scores += b
             yield pa.RecordBatch.from_arrays(

@@ -55,6 +55,14 @@ def test_awkward_rows_and_no_rows(spark, awkward, nothing, sf_dir):
     assert [r.count() for r in stage_results(spark, nothing, sf_dir)] == [0] * 6
 
 
+@pytest.mark.parametrize("lang", [None, "und"])
+def test_letters_alone_decide_without_labels(spark, awkward, sf_dir, lang):
+    docs = awkward.withColumn("lang", F.lit(lang).cast("string"))
+    told = pipeline.language_id(spark, docs, sf_dir).collect()
+    expected = [r.text for r in docs.collect() if any(c.isalpha() for c in r.text or "")]
+    assert expected and sorted(r.text for r in told) == sorted(expected)
+
+
 def test_run_is_registered(spark, sf_dir):
     import __spark_entry__ as entry
 
