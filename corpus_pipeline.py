@@ -37,11 +37,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five words to a shingle, similarity 0.8."""
+    """One row of each group of near duplicates: five words to a shingle, similarity 0.8.
+
+    Rows are told apart by a key of their own, so rows that share an id or have none are compared
+    like any others. The row with the smallest id stays, one with a null id only if none has an id.
+    Rows without words are linked to nothing and stay.
+    """
     plain = plain_names(docs, ("doc_id", "text"))
-    found = near_duplicates(plain, width=5, above=80, of=100)
-    dropped = found.filter(~F.col("kept")).select("doc_id").distinct()
-    return plain.join(dropped, "doc_id", "left_anti").select(*plain.columns).toDF(*docs.columns)
+    # Written, so that a row has the same key whenever it is read.
+    keyed = kept_table(plain.withColumn("row_key", F.monotonically_increasing_id()), "keyed")
+    rows = keyed.select(F.col("row_key").alias("doc_id"), "text")
+    found = near_duplicates(rows, width=5, above=80, of=100)
+    order = F.struct(F.isnull("doc_id"), "doc_id", F.xxhash64("text"), "row_key")
+    placed = keyed.join(found.select(F.col("doc_id").alias("row_key"), "component_id"), "row_key")
+    first = placed.groupBy("component_id").agg(F.min(order)["row_key"].alias("row_key"))
+    kept = keyed.join(first.select("row_key"), "row_key", "left_semi")
+    return kept.select(*plain.columns).toDF(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -63,6 +63,16 @@ def test_letters_alone_decide_without_labels(spark, awkward, sf_dir, lang):
     assert expected and sorted(r.text for r in told) == sorted(expected)
 
 
+def test_one_row_stays_of_rows_that_share_an_id_or_have_none(spark, sf_dir):
+    prose = [" ".join(f"{letter}{i}" for i in range(60)) for letter in "abcde"]
+    rows = [(7, prose[0])] * 3 + [(5, prose[0] + " end"), (9, prose[1]), (9, prose[1]), (9, prose[2])]
+    rows += [(None, prose[3])] * 2 + [(None, prose[4]), (3, prose[4])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = [(r.doc_id, r.text[0], r.text[-3:]) for r in pipeline.near_dedup(spark, docs, sf_dir).collect()]
+    expected = [(5, "a", "end"), (9, "b", "b59"), (9, "c", "c59"), (None, "d", "d59"), (3, "e", "e59")]
+    assert sorted(map(str, found)) == sorted(map(str, expected))
+
+
 def test_run_is_registered(spark, sf_dir):
     import __spark_entry__ as entry
 
