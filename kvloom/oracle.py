@@ -286,6 +286,7 @@ def oracle_queries() -> dict[str, str]:
         "upsert_replay": _with(_changed_history()),
         "live_out_of_order": _with(_history(live)),
         "live_out_of_order_latest": _with(_LAST_KNOWN.format(where=f"WHERE {live}")),
+        "live_from_cursor": _with(_history(live)),
         "live_from_zero": _with(_history()),
         "job_latest_from_history": _with(_LAST_KNOWN.format(where="")),
         "compacted_history": _with(_changed_history()),

@@ -24,6 +24,7 @@ from kvloom.plans.target import Batch, Target
 from kvloom.scratch import scratch_folder
 from kvloom.sources import Dimension, entity_map, key_map, load_dimensions
 from kvloom.sources import queries as sq
+from kvloom.streaming.cursor import cursor_stream
 from kvloom.streaming.live import start_live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,6 +145,29 @@ def _live(read: Callable, newer_first: bool = False, watermark: int = fx.START_W
     return query
 
 
+def live_from_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows after the start watermark from a table that is asked by cursor, in two landings."""
+    source = _source(spark, sf_dir)
+    folder = scratch_folder(spark, "cursor")
+    target = Target(spark, f"{folder}/target")
+    rows = source.history()
+    late = F.col("ts") > fx.SECOND_LANDING
+    for part in (rows.filter(~late), rows.filter(late)):
+        part.write.mode("append").parquet(f"{folder}/rows")
+        stream = cursor_stream(spark, f"{folder}/rows", start_ts=fx.START_WATERMARK)
+        start_live(
+            stream,
+            source,
+            target,
+            _OPTIONS,
+            f"{folder}/checkpoint",
+            watermark=fx.START_WATERMARK,
+            available_now=True,
+            now_ms=fx.AS_OF,
+        ).awaitTermination()
+    return target.history()
+
+
 def _changed(source):
     """The source whose rows above the start watermark have other values than before."""
     rows = source.history()
@@ -302,6 +326,7 @@ def registered() -> dict[str, Query]:
         "job_latest_from_history": job_latest_from_history,
         "live_out_of_order": _live(Target.history, newer_first=True),
         "live_out_of_order_latest": _live(Target.latest, newer_first=True),
+        "live_from_cursor": live_from_cursor,
         "live_from_zero": _live(Target.history, watermark=0),
         "upsert_replay": upsert_replay,
         "compacted_history": _compacted(Target.history),
