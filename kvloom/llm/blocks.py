@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kvloom.llm.common import shuffle_partitions
+from kvloom.llm.remembered import within_group
 from kvloom.scratch import scratch_folder
 
 #: Bytes of text whose keys make up one range on average.
@@ -133,7 +134,7 @@ def ask(blocks: Blocks, questions: Callable[[int, pa.Table], Iterator[tuple]]) -
     def run(table: pa.Table) -> pa.Table:
         return as_table(list(questions(table.column("block_id")[0].as_py(), table)), QUESTION)
 
-    return blocks.rows.groupBy("block_id").applyInArrow(run, QUESTION)
+    return blocks.rows.groupBy("block_id").applyInArrow(within_group(run), QUESTION)
 
 
 def answer(
@@ -165,7 +166,7 @@ def answer(
             out.append((None, kind, part, None, total, distinct))
         return as_table(out, ANSWER)
 
-    return questions.groupBy("part").applyInArrow(run, ANSWER)
+    return questions.groupBy("part").applyInArrow(within_group(run), ANSWER)
 
 
 def cut_up(answers: np.ndarray, counts: list[int]) -> list[bytes]:
@@ -197,6 +198,5 @@ def with_answers(
 ) -> DataFrame:
     """Give each block its rows and its answers."""
     mine = answers.filter("block_id IS NOT NULL")
-    return (
-        blocks.rows.groupBy("block_id").cogroup(mine.groupBy("block_id")).applyInArrow(finish, schema)
-    )
+    both = blocks.rows.groupBy("block_id").cogroup(mine.groupBy("block_id"))
+    return both.applyInArrow(within_group(finish), schema)

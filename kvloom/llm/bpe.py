@@ -7,7 +7,7 @@ the trees of many words are the rows of one array, and each step merges one pair
 that still has one.
 
 Everything per document runs in Spark tasks over Arrow batches; there is no shuffle. Words are
-remembered within a worker, up to a fixed number.
+remembered within a task, up to a fixed number of bytes.
 """
 
 from __future__ import annotations
@@ -24,9 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kvloom.llm.common import documents
+from kvloom.llm.remembered import STORE_BYTES, Room, within_task
 
-#: Chunks and words remembered by a worker before it starts anew.
-REMEMBERED = 400_000
 #: Words merged side by side.
 SIDE_BY_SIDE = 20_000
 _NONE = np.int64(2**62)
@@ -74,6 +73,8 @@ class WordBpe:
         self.words: dict[str, tuple[str, str]] = {}
         self.ids_text: dict[str, bytes] = {}
         self.decoded: dict[str, bytes] = {}
+        self.chunk_room = Room(self.ids_text, self.decoded)
+        self.word_room = Room(self.words, most=STORE_BYTES // 2)
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         keys = (left << 32) | right
@@ -164,16 +165,15 @@ class WordBpe:
     def learn(self, chunks: set[str]) -> None:
         """Remember ids and decoded text of these chunks, which hold no white space."""
         new = list(chunks - self.ids_text.keys())
-        if len(self.ids_text) + len(new) > REMEMBERED:
-            self.ids_text.clear()
-            self.decoded.clear()
+        if self.chunk_room.take(len(new), 6 * sum(map(len, new))):
             new = list(chunks)
+            self.chunk_room.take(len(new), 6 * sum(map(len, new)))
         found = [self.cut(c) for c in new]
         distinct = {w for words in found for w in words}
         fresh = list(distinct - self.words.keys())
-        if len(self.words) + len(fresh) > REMEMBERED:
-            self.words.clear()
+        if self.word_room.take(len(fresh), 6 * sum(map(len, fresh))):
             fresh = list(distinct)
+            self.word_room.take(len(fresh), 6 * sum(map(len, fresh)))
         for word, ids in zip(fresh, self.merge_words(fresh)):
             self.words[word] = " ".join(map(str, ids)), self.decode(ids)
         known = self.words
@@ -238,7 +238,8 @@ def encode_decode(docs: DataFrame, path: str, output: str = "digests") -> DataFr
     `docs` has doc_id and text. `output`: "digests" gives doc_id, n_tokens, ids_sha256,
     decoded_sha256; "ids" gives doc_id, n_tokens, ids (array of ints), decoded. A null text is
     an empty one: no tokens, an empty decoded text. Repeated rows and null ids stay as they are;
-    other columns are not returned.
+    other columns are not returned, whatever their names. A very long text is encoded whole; a word
+    of any length is merged in a tree of twice its length. No rows give no rows.
     """
     fields = {
         "digests": "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string",
@@ -249,7 +250,7 @@ def encode_decode(docs: DataFrame, path: str, output: str = "digests") -> DataFr
         bpe = loaded(path)
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            for part in slices(texts, 4_000_000):
+            for part in slices(texts, 1_000_000):
                 counts, first, second = [], [], []
                 for ids, decoded in bpe.encode_batch(texts[part]):
                     counts.append(ids.count(b" ") + 1 if ids else 0)
@@ -270,7 +271,11 @@ def encode_decode(docs: DataFrame, path: str, output: str = "digests") -> DataFr
                     names=names,
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, fields)
+    def in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = loaded(path)
+        return within_task(encode, bpe.chunk_room, bpe.word_room)(batches)
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(in_task, fields)
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

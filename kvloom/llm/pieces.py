@@ -8,10 +8,10 @@ position. It is taken if it goes with the piece before it, which is found out by
 and remembered; if not, the next shorter piece is tried. A position from which nothing leads on is
 marked in a bitfield, and the piece before it gives way to a shorter one.
 
-No piece of such a vocabulary has a space after another character, and some characters occur in no
-longer piece at all, so texts are cut before spaces and around such characters. Each distinct chunk
-is encoded once in a while: a worker remembers chunks and pairs within a number of bytes and drops
-them when its task ends. Texts are encoded where they are read, without a shuffle.
+Texts are cut into chunks first, where no piece has the neighbours of the cut side by side: before
+spaces, say, or between a letter and a comma. Each distinct chunk is encoded once in a while: a
+worker remembers chunks within a number of bytes until its task ends. What it found out about pieces
+side by side it keeps, within a number of bytes, for the tasks that follow. Texts are encoded where they are read, without a shuffle.
 """
 
 from __future__ import annotations
@@ -31,8 +31,6 @@ from kvloom.llm.remembered import Room, within_task
 
 #: The sign that stands for a space in pieces.
 SPACE = "▁"
-#: Chunks of more characters are not remembered.
-LONGEST_REMEMBERED = 200
 _NEVER = 1 << 60
 
 
@@ -60,8 +58,6 @@ class PieceBpe:
             if not (library.is_byte(i) or library.is_control(i) or library.is_unknown(i) or library.is_unused(i))
         ]
         self.id_of = {library.id_to_piece(i): i for i in plain}
-        self.text_of = {i: p.replace(SPACE, " ").encode() for p, i in self.id_of.items()}
-        self.text_of |= {i: bytes([b]) for b, i in enumerate(self.bytes)}
         scores = sorted({library.get_score(i) for i in plain}, reverse=True)
         place = {s: r for r, s in enumerate(scores)}
         self.rank = {p: place[library.get_score(i)] for p, i in self.id_of.items()}
@@ -72,20 +68,40 @@ class PieceBpe:
         sound = {p for p in self.id_of if len(p) == 1 or self.merge(list(p)) == [p]}
         self.shorter: dict[str, str] = {}
         for p in sound:
-            self.automaton.add_word(p, p)
+            # A single character needs no match: it stands for itself, also where it is no piece.
             if len(p) > 1:
-                # The first character stands for itself even where it is no piece.
+                self.automaton.add_word(p, (len(p) - 1, p))
                 self.shorter[p] = next((p[:k] for k in range(len(p) - 1, 1, -1) if p[:k] in sound), p[0])
         self.automaton.make_automaton()
 
-        joined = {c for p in self.id_of if len(p) > 1 for c in p} - {SPACE}
-        some = "".join(map(re.escape, sorted(joined)))
-        self.chunks_in = re.compile(f" *[{some}]+| +|[^ {some}]").findall if joined else list
+        self.chunks_in = self._chunk_pattern().findall
+        self.written = _Written(self.id_of, self.bytes)
         self.ids: dict[str, bytes] = {}
-        self.decoded: dict[str, bytes] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.chunk_room = Room(self.ids, self.decoded)
-        self.pair_room = Room(self.pairs)
+        #: Decoded bytes of the chunks that do not come back as they were.
+        self.changed: dict[str, bytes] = {}
+        #: The piece to take by the one before and the longest one that begins here.
+        self.fits: dict[tuple[str, str], str] = {}
+        self.chunk_room = Room(self.ids, self.changed)
+        self.fit_room = Room(self.fits)
+
+    def _chunk_pattern(self) -> re.Pattern:
+        """Cuts a text only where no merge can cross: no piece has both neighbours side by side.
+
+        That is before spaces, around characters of no longer piece, and between a letter or digit
+        and a sign that stands after none of them in any piece.
+        """
+        longer = [p for p in self.id_of if len(p) > 1]
+        joined = {c for p in longer for c in p} - {SPACE}
+        word = {c for c in joined if c.isalnum()}
+        apart = joined - word - {b for p in longer for a, b in zip(p, p[1:]) if a in word}
+
+        def either(characters: set[str], but: str = "") -> str:
+            return f"[{but}{''.join(map(re.escape, sorted(characters)))}]" if characters else "(?!)"
+
+        signs, others = either(joined - word), either(joined - word - apart)
+        # Signs and word characters in turn; after a word character come no signs that stand apart.
+        body = f"{signs}*(?:{either(word)}++{others}{signs}*)*{either(word)}*"
+        return re.compile(f" *(?={either(joined)}){body}| +|{either(joined | {' '}, '^')}", re.DOTALL)
 
     def merge(self, symbols: list[str], border: int = 0) -> list[str] | None:
         """Merge adjacent symbols, the best pair first, of equal ones the leftmost.
@@ -110,77 +126,112 @@ class PieceBpe:
 
     def compatible(self, left: str, right: str) -> bool:
         """Do these pieces stay apart when their texts are merged together?"""
-        pair = left, right
-        found = self.pairs.get(pair)
-        if found is None:
-            found = self.merge(list(left + right), border=len(left)) is not None
-            self.pair_room.take(1, len(left) + len(right))
-            self.pairs[pair] = found
+        return not left or self.merge(list(left + right), border=len(left)) is not None
+
+    def first_fit(self, left: str, piece: str) -> str:
+        """The longest of a piece and those that it begins with that goes with the one before it.
+
+        Without one, an empty text. What was found is remembered, also for the shorter ones.
+        """
+        passed, right = [], piece
+        while right is not None and (left, right) not in self.fits and not self.compatible(left, right):
+            passed.append(right)
+            right = self.shorter.get(right)
+        found = "" if right is None else self.fits.get((left, right), right)
+        new = [*passed, right] if right is not None else passed
+        size = len(new) * (len(left) + len(piece))
+        if self.fit_room.take(len(new), size):
+            self.fit_room.take(len(new), size)
+        for p in new:
+            self.fits[left, p] = found
         return found
 
     def pieces(self, chunk: str) -> list[str]:
         """The pieces of a text; characters that are no piece stand alone."""
         n = len(chunk)
         longest: list[str | None] = [None] * n
-        for end, piece in self.automaton.iter(chunk):
+        for end, (before, piece) in self.automaton.iter(chunk):
             # Ends ascend, so the last piece that starts at a position is its longest.
-            longest[end - len(piece) + 1] = piece
-        failed = bytearray((n >> 3) + 1)
+            longest[end - before] = piece
+        fits, first_fit, shorten = self.fits, self.first_fit, self.shorter.get
+        failed: bytearray | None = None
         taken: list[str] = []
-        at = 0
+        at, last = 0, ""
         piece = longest[0] or chunk[0]
         while True:
-            end = at + len(piece)
-            if not failed[end >> 3] >> (end & 7) & 1 and (not taken or self.compatible(taken[-1], piece)):
-                taken.append(piece)
-                if end == n:
-                    return taken
-                at = end
-                piece = longest[at] or chunk[at]
-                continue
-            shorter = self.shorter.get(piece)
+            fit = fits.get((last, piece))
+            if fit is None:
+                fit = first_fit(last, piece)
+            if fit:
+                end = at + len(fit)
+                if failed is None or not failed[end >> 3] >> (end & 7) & 1:
+                    taken.append(fit)
+                    if end == n:
+                        return taken
+                    at, last = end, fit
+                    piece = longest[at] or chunk[at]
+                    continue
+                shorter = shorten(fit)
+            else:
+                shorter = None
             while shorter is None:
                 # Nothing leads on from here: the piece before has to be a shorter one.
+                if failed is None:
+                    failed = bytearray((n >> 3) + 1)
                 failed[at >> 3] |= 1 << (at & 7)
-                last = taken.pop()
-                at -= len(last)
-                shorter = self.shorter.get(last)
+                fit = taken.pop()
+                at -= len(fit)
+                last = taken[-1] if taken else ""
+                shorter = shorten(fit)
             piece = shorter
 
-    def piece_ids(self, pieces: list[str]) -> list[int]:
-        out: list[int] = []
-        for piece in pieces:
-            i = self.id_of.get(piece)
-            out += [i] if i is not None else [self.bytes[b] for b in piece.encode()]
-        return out
+    def encode(self, chunk: str) -> tuple[bytes, bytes]:
+        """Decimal ids joined by a comma, and the bytes that they decode to, of a chunk."""
+        pieces = self.pieces(chunk.replace(" ", SPACE))
+        written = [self.written[p] for p in pieces]
+        return b",".join([ids for ids, _ in written]), b"".join([text for _, text in written])
 
-    def decode_bytes(self, ids: list[int]) -> bytes:
-        """The bytes that these ids stand for, with the space that was put before a text."""
-        return b"".join([self.text_of[i] for i in ids])
-
-    def _encoded(self, chunk: str) -> tuple[bytes, bytes]:
-        ids = self.piece_ids(self.pieces(chunk.replace(" ", SPACE)))
-        return ",".join(map(str, ids)).encode(), self.decode_bytes(ids)
+    def _learn(self, chunks: list[str]) -> None:
+        for chunk in chunks:
+            self.ids[chunk], text = self.encode(chunk)
+            if text != chunk.encode():
+                self.changed[chunk] = text
 
     def encode_batch(self, texts: list[str]) -> Iterator[tuple[bytes, bytes]]:
         """Decimal ids joined by a comma, and the bytes decoded from them, of each text."""
+        # A space goes before every text; decoding takes it away.
         found = [self.chunks_in(" " + t.replace(SPACE, " ")) if t else [] for t in texts]
         every = set().union(*found) if found else set()
-        short = {c for c in every if len(c) <= LONGEST_REMEMBERED}
-        new = short - self.ids.keys()
-        if self.chunk_room.take(len(new), 8 * sum(map(len, new))):
-            new = short
-            self.chunk_room.take(len(new), 8 * sum(map(len, new)))
-        for chunk in new:
-            self.ids[chunk], self.decoded[chunk] = self._encoded(chunk)
-        ids, decoded = self.ids, self.decoded
-        long_ones = len(short) < len(every)
+        new = list(every - self.ids.keys())
+        if self.chunk_room.take(len(new), 6 * sum(map(len, new))):
+            new = list(every)
+            self.chunk_room.take(len(new), 6 * sum(map(len, new)))
+        self._learn(new)
+        ids, changed = self.ids, self.changed
+        odd = changed.keys() & every
         for line in found:
-            if long_ones and any(len(c) > LONGEST_REMEMBERED for c in line):
-                both = [(ids[c], decoded[c]) if c in ids else self._encoded(c) for c in line]
-                yield b",".join([b[0] for b in both]), b"".join([b[1] for b in both])[1:]
+            if odd and not odd.isdisjoint(line):
+                text = b"".join([changed[c] if c in odd else c.encode() for c in line])
             else:
-                yield b",".join([ids[c] for c in line]), b"".join([decoded[c] for c in line])[1:]
+                text = "".join(line).encode()
+            yield b",".join([ids[c] for c in line]), text[1:]
+
+
+class _Written(dict):
+    """Ids of a piece as decimals joined by a comma, and the bytes that those ids decode to.
+
+    A character that is no piece is written by the ids of its bytes, each of which decodes to one.
+    """
+
+    def __init__(self, id_of: dict[str, int], byte_ids: list[int]):
+        text_of = {i: p.replace(SPACE, " ").encode() for p, i in id_of.items()}
+        super().__init__({p: (str(i).encode(), text_of[i]) for p, i in id_of.items()})
+        self.byte_ids = byte_ids
+        self.byte_of = {i: bytes([b]) for b, i in enumerate(byte_ids)}
+
+    def __missing__(self, character: str) -> tuple[bytes, bytes]:
+        ids = [self.byte_ids[b] for b in character.encode()]
+        return ",".join(map(str, ids)).encode(), b"".join([self.byte_of[i] for i in ids])
 
 
 _LOADED: dict[str, PieceBpe] = {}
@@ -237,7 +288,7 @@ def encode_decode_pieces(docs: DataFrame, path: str, output: str = "digests") ->
 
     def in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = loaded(path)
-        return within_task(run, model.chunk_room, model.pair_room)(batches)
+        return within_task(run, model.chunk_room)(batches)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(in_task, fields)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Callable, Iterator
+from inspect import signature
 
 import pyarrow as pa
 
@@ -21,13 +22,13 @@ class Room:
         self.stores, self.most, self.held = stores, most, 0
 
     def take(self, entries: int, content: int) -> bool:
-        """Make room for new entries; true if everything before them was dropped for it."""
+        """Make room for new entries; true, and nothing taken, if everything was dropped for it."""
         need = entries * ENTRY_BYTES + content
-        dropped = self.held > 0 and self.held + need > self.most
-        if dropped:
+        if self.held and self.held + need > self.most:
             self.clear()
+            return True
         self.held += need
-        return dropped
+        return False
 
     def clear(self) -> None:
         for store in self.stores:
@@ -35,9 +36,10 @@ class Room:
         self.held = 0
 
 
-def give_back() -> None:
+def give_back(collect: bool = True) -> None:
     """Return free memory of Python, Arrow and the C library to the system, where that can be done."""
-    gc.collect()
+    if collect:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
@@ -56,3 +58,22 @@ def within_task(run: Callable[[Iterator], Iterator], *rooms: Room) -> Callable[[
             give_back()
 
     return wrapped
+
+
+def within_group(run: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
+    """The same function over a group's table, or two; what it needed in between is given back after it."""
+
+    def one(table: pa.Table) -> pa.Table:
+        try:
+            return run(table)
+        finally:
+            give_back(collect=False)
+
+    def two(table: pa.Table, other: pa.Table) -> pa.Table:
+        try:
+            return run(table, other)
+        finally:
+            give_back(collect=False)
+
+    # Spark looks at the number of parameters.
+    return two if len(signature(run).parameters) == 2 else one

@@ -60,17 +60,29 @@ def test_two_pieces_are_compatible_if_merging_keeps_them(model):
         assert model.compatible(a, b) == (model.merge(list(a + b)) == [a, b])
 
 
+def test_texts_are_cut_only_where_no_piece_goes(model):
+    side_by_side = {p[k : k + 2] for p in model.id_of for k in range(len(p) - 1)}
+    cuts = 0
+    for text in odd_texts():
+        chunks = model.chunks_in(text.replace("▁", " "))
+        assert "".join(chunks) == text.replace("▁", " ")
+        for a, b in zip(chunks, chunks[1:]):
+            assert (a[-1] + b[0]).replace(" ", "▁") not in side_by_side
+            cuts += 1
+    assert cuts > 1000 and model.chunks_in(" word,' (so)\n  x") == [" word", ",'", " (so", ")", "\n", "  x"]
+
+
 def test_stores_are_emptied_and_fill_again(model, library):
     texts = odd_texts()[:600]
     expected = [",".join(map(str, library.encode(t))) for t in texts]
     small = PieceBpe(PATH)
-    small.chunk_room.most = small.pair_room.most = 5_000
+    small.chunk_room.most = small.fit_room.most = 5_000
     found = [ids.decode() for k in range(0, 600, 20) for ids, _ in small.encode_batch(texts[k : k + 20])]
     assert found == expected
-    assert small.pair_room.held <= 5_000
+    assert small.fit_room.held <= 5_000
     store = {}
     room = Room(store, most=1000)
-    assert [room.take(1, 500) for _ in range(3)] == [False, True, True] and room.held == 750
+    assert [room.take(1, 500) for _ in range(4)] == [False, True, False, True] and room.held == 0
 
 
 def test_documents_and_awkward_rows(documents, awkward, nothing, library):
