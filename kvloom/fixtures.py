@@ -26,6 +26,7 @@ JOB_SECONDS = 40
 START_WATERMARK = 1_705_708_740_000
 AS_OF = 1_706_659_200_000  # 2024-01-31 UTC
 SECOND_LANDING = 1_706_140_800_000  # 2024-01-25 UTC
+MONTHS_APART = 45 * 86_400_000  # between the rows of one key and the next
 SAMPLE_ENTITY = "00000000-0000-1000-8000-000000000007"
 # ----------------------------------------------------------------------------
 
@@ -81,10 +82,8 @@ def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     key_id = F.lit(None).cast("int")
     for name, number in KEY_OF_EVENT.items():
         key_id = F.when(F.col("event_type") == name, F.lit(number)).otherwise(key_id)
-    # The filter on the count keeps this hash aggregation in the plan, below the
-    # sorting one that the key map needs for its text column.
-    kinds = events.filter(F.col("event_type").isin(*KEY_OF_EVENT)).groupBy("event_type").count()
-    return kinds.filter("count > 0").select(key_id.alias("key_id"), F.col("event_type").alias("key"))
+    kinds = events.filter(F.col("event_type").isin(*KEY_OF_EVENT)).select("event_type").distinct()
+    return kinds.select(key_id.alias("key_id"), F.col("event_type").alias("key"))
 
 
 def completed_entities(spark: SparkSession, sf_dir: str) -> DataFrame:

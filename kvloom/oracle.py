@@ -8,8 +8,11 @@ from __future__ import annotations
 from kvloom.fixtures import (
     AS_OF,
     JOB_SECONDS,
+    MONTHS_APART,
+    OTHER_KEY,
     PHASE1_START,
     SAMPLE_ENTITY,
+    SECOND_LANDING,
     START_WATERMARK,
 )
 from kvloom.model import RunOptions
@@ -117,11 +120,35 @@ def _changed_history() -> str:
     return f"SELECT entity_type, entity_id, key, {_MONTH} AS partition, ts, {values} FROM known"
 
 
+def _levels(rows: str = "known") -> str:
+    """Values after three live batches over the start watermark and one over the second landing."""
+    changed = (
+        f"CASE WHEN ts > {SECOND_LANDING} THEN coalesce(str_v, '') || '?'"
+        f" WHEN ts > {START_WATERMARK} THEN coalesce(str_v, '') || '!' ELSE str_v END"
+    )
+    values = _VALUES.replace("str_v", f"{changed} AS str_v", 1)
+    return f"(SELECT entity_type, entity_id, key, ts, {values} FROM {rows})"
+
+
+def _late_history() -> str:
+    """Keys of several months; the rows of the key without a name came again with other values."""
+    number = "CASE key WHEN 'error' THEN 1 WHEN 'purchase' THEN 2 WHEN 'view' THEN 3"
+    shift = f"{number} WHEN '{OTHER_KEY}' THEN 4 ELSE 0 END * {MONTHS_APART}"
+    changed = f"CASE WHEN key = '{OTHER_KEY}' THEN coalesce(str_v, '') || '!' ELSE str_v END"
+    values = _VALUES.replace("str_v", f"{changed} AS str_v", 1)
+    return (
+        f"SELECT entity_type, entity_id, key, {_MONTH} AS partition, ts, {_VALUES} FROM"
+        f" (SELECT entity_type, entity_id, key, ts - {shift} AS ts, {values} FROM known)"
+    )
+
+
 _LAST_KNOWN = f"""
   SELECT {_LATEST} FROM (
     SELECT *, row_number() OVER (PARTITION BY entity_id, key ORDER BY ts DESC) AS n
     FROM known {{where}}) WHERE n = 1"""
 
+_LATEST_OF_KNOWN = f"({_LAST_KNOWN.format(where='')})"
+
 _STATUS = f""", totals AS (
   SELECT (SELECT count(*) FROM ts_kv) AS n, (SELECT count(*) FROM known) AS migrated,
     (SELECT count(*) FROM ({_refused()})) AS skipped,
@@ -289,6 +316,14 @@ def oracle_queries() -> dict[str, str]:
         "live_from_cursor": _with(_history(live)),
         "live_from_zero": _with(_history()),
         "job_latest_from_history": _with(_LAST_KNOWN.format(where="")),
+        "late_upsert_history": _with(_late_history()),
+        "compacted_levels": _with(
+            f"SELECT entity_type, entity_id, key, {_MONTH} AS partition, ts, {_VALUES} FROM {_levels()}"
+        ),
+        "compacted_levels_latest": _with(_levels(_LATEST_OF_KNOWN)[1:-1]),
+        "compacted_levels_index": _with(
+            f"SELECT DISTINCT entity_type, entity_id, key, {_MONTH} AS partition FROM known"
+        ),
         "compacted_history": _with(_changed_history()),
         "compacted_rejected": _with(f"{_refused()} UNION ALL {_refused(live, _NEWER)}"),
         "job_rejected_cast": refused,

@@ -15,7 +15,8 @@ from kvloom.operators.enrich import history_rows, latest_rows, shape_history, wi
 from kvloom.operators.joins import lookup_join
 from kvloom.plans.extent import Extent
 from kvloom.plans.progress import Progress, ProgressLog, Slice
-from kvloom.plans.target import Batch, Target
+from kvloom.plans.manifest import Batch
+from kvloom.plans.target import Target
 from kvloom.sources.dimensions import Dimension, Dimensions, load_dimensions
 from kvloom.sources.queries import changed_since
 from kvloom.sources.tables import SourceTables
@@ -115,8 +116,8 @@ def _write_historical(
             shaped, batch, options.partitioning, extent.files_per_directory(options)
         )
         target.write_index(batch)
-        # Counted in the table, and anew if the slice is done again.
-        done = replace(part, done=True, rows=target.written_history(batch).count())
+        # As the manifest has it, and anew if the slice is done again.
+        done = replace(part, done=True, rows=target.written(batch)[0])
         state = state.next(saved_ms=now()).with_slice(done)
         state = replace(state, migrated_rows=sum(s.rows for s in state.slices))
         if part is not todo[-1]:
@@ -274,11 +275,9 @@ def apply_live_batch(
     finally:
         dims.release()
     target.write_index(batch)
-    written = target.written_history(batch)
-    target.write_latest(latest_from_history(written), batch)
-    totals = written.agg(F.count("*").alias("rows"), F.max("ts").alias("ts")).first()
-    newest = before.watermark_ts if totals["ts"] is None else totals["ts"]
-    watermark = max(before.watermark_ts, newest)
+    target.write_latest(latest_from_history(target.written_history(batch)), batch)
+    _, newest = target.written(batch)
+    watermark = max(before.watermark_ts, before.watermark_ts if newest is None else newest)
     return log.save(
         before.next(watermark_ts=watermark, lag_ms=as_of - watermark, saved_ms=as_of)
     )

@@ -2,11 +2,15 @@
 
 Every write goes to a directory of its own,
 
-    <table>/stage=<history|live>/run=<n>/batch=<n>/...
+    <table>/stage=<history|live|compacted>/run=<n>/batch=<n>/...
 
 and replaces what is there, so that a step that runs again leaves the same
-rows. Nothing is read, changed and written back. The current view of a table
-takes, per primary key, the row written last; ``compact`` stores that view.
+rows. A write counts once the manifest has a record of it. The current view of
+a table takes, per primary key, the row written last, and merges only the
+directories and the ranges of ts in which there can be more than one.
+
+``compact`` stores the current view under another root; ``compact_crowded``
+rewrites, under the same root, only the directories with many live batches.
 
 History rows and rejected rows of a batch are written by one pass into the
 directories ``outcome=accepted`` and ``outcome=rejected`` of the same tree.
@@ -14,10 +18,10 @@ directories ``outcome=accepted`` and ``outcome=rejected`` of the same tree.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,7 +38,9 @@ from kvloom.model import (
     RunOptions,
 )
 from kvloom.operators.enrich import index_rows
+from kvloom.plans import manifest as m
 from kvloom.plans.extent import Extent
+from kvloom.plans.manifest import Batch, Entry, Manifest, Overlap
 from kvloom.plans.progress import Progress, ProgressLog, Slice
 
 HISTORY = "ts_kv_cf"
@@ -64,21 +70,13 @@ _SPREAD = 64
 _PART = "_part"
 
 
-@dataclass(frozen=True)
-class Batch:
-    """Address of one write."""
-
-    stage: str
-    run: int
-    batch: int
-
-    def path(self) -> str:
-        return f"stage={self.stage}/run={self.run}/batch={self.batch}"
-
-
 def write_sequence() -> Column:
-    """Sorts batches in the order in which they were written."""
-    return F.struct(F.col("run"), F.col("stage") == "live", F.col("batch"))
+    """Sorts batches in the order in which they were written.
+
+    A compacted batch stands in for all that its directory had before.
+    """
+    compacted = F.col("stage") == m.COMPACTED
+    return F.struct(~compacted, F.col("run"), F.col("stage") == m.LIVE, F.col("batch"))
 
 
 class Target:
@@ -87,6 +85,7 @@ class Target:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.manifest = Manifest(spark, self.root)
 
     # -- schema --------------------------------------------------------------
 
@@ -124,6 +123,10 @@ class Target:
         hot directory or entity does not end in one task. Inside a file the
         rows are in key order.
         """
+        self._write_directories(shaped, batch, strategy, files)
+        self.manifest.commit(HISTORY, batch, self._directories(batch))
+
+    def _write_directories(self, shaped: DataFrame, batch: Batch, strategy: str, files: int) -> None:
         accepted = F.col("reason").isNull()
         bucket = directory_bucket("partition", strategy)
         placed = shaped.withColumns(
@@ -148,6 +151,19 @@ class Target:
             f"{self.root}/{HISTORY}/{batch.path()}"
         )
 
+    def _directories(self, batch: Batch) -> list[Entry]:
+        """Entries of a batch whose history is written, from its directories and one column."""
+        rows = self.stored(HISTORY, batch.path()).filter(F.col("outcome") == "accepted")
+        found = rows.groupBy("entity_type", "bucket").agg(
+            F.count("*").alias("rows"), F.min("ts").alias("low"), F.max("ts").alias("high")
+        )
+        return [Entry(HISTORY, batch, *r) for r in found.collect()]
+
+    def written(self, batch: Batch) -> tuple[int, int | None]:
+        """Accepted rows of a batch and their highest ts, as the manifest has them."""
+        entries = self.manifest.entries(HISTORY, batch)
+        return sum(e.rows for e in entries), max((e.high for e in entries), default=None)
+
     def write_index(self, batch: Batch) -> None:
         """Store the index entries of a batch whose history is written.
 
@@ -155,14 +171,15 @@ class Target:
         instead of the source and its joins once more.
         """
         entries = index_rows(self.written_history(batch))
-        entries.sortWithinPartitions(*INDEX_COLUMNS).write.mode("overwrite").parquet(
-            f"{self.root}/{INDEX}/{batch.path()}"
-        )
+        self._write_whole(INDEX, entries.sortWithinPartitions(*INDEX_COLUMNS), batch)
 
     def write_latest(self, latest: DataFrame, batch: Batch) -> None:
-        latest.select(*LATEST_COLUMNS).write.mode("overwrite").parquet(
-            f"{self.root}/{LATEST}/{batch.path()}"
-        )
+        self._write_whole(LATEST, latest.select(*LATEST_COLUMNS), batch)
+
+    def _write_whole(self, table: str, rows: DataFrame, batch: Batch, instead: list[Entry] = ()) -> None:
+        """Store a batch of a table without directories of its own, and commit it."""
+        rows.write.mode("overwrite").parquet(f"{self.root}/{table}/{batch.path()}")
+        self.manifest.commit(table, batch, [Entry(table, batch)], instead)
 
     # -- stored rows ---------------------------------------------------------
 
@@ -215,33 +232,48 @@ class Target:
 
     # -- current views -------------------------------------------------------
 
+    def committed(self, table: str, entries: list[Entry]) -> DataFrame:
+        """The rows of these directories, and of no others."""
+        base = f"{self.root}/{table}"
+        paths = [f"{base}/{e.batch.path()}" for e in entries]
+        if table == HISTORY:
+            paths = [
+                f"{p}/outcome=accepted/entity_type={e.entity_type}/bucket={e.bucket}"
+                for p, e in zip(paths, entries)
+            ]
+        if not paths:
+            return self.spark.createDataFrame([], _STORED[table])
+        return self.spark.read.schema(_STORED[table]).option("basePath", base).parquet(*paths)
+
     def history(self) -> DataFrame:
         """``ts_kv_cf``: per primary key the row written last.
 
-        The batches of one historical phase share no key, so with a single
-        such run only rows at or above the lowest live ``ts`` can be there
-        twice. The rest is passed on as it is stored, without a shuffle.
+        Only directories with live rows or rows of several historical runs are
+        merged, and of them the range of ts that those rows lie in. The rest
+        is passed on as it is stored, without a shuffle.
         """
-        rows = self.stored(HISTORY).filter(F.col("outcome") == "accepted")
-        columns = [*HISTORY_COLUMNS]
-        if len(ProgressLog(self.spark, self.root).runs("history")) != 1:
-            return _last_written(rows).select(*columns)
-        live = self.stored(HISTORY, "stage=live").filter(F.col("outcome") == "accepted")
-        lowest = live.agg(F.min("ts")).first()[0]
-        if lowest is None:
-            return rows.select(*columns)
-        settled = rows.filter(F.col("ts") < lowest)
-        recent = _last_written(rows.filter(F.col("ts") >= lowest))
-        return settled.select(*columns).unionByName(recent.select(*columns))
+        return self._current(self.manifest.entries(HISTORY))
+
+    def _current(self, entries: list[Entry]) -> DataFrame:
+        merged = {(o.entity_type, o.bucket): o for o in m.overlaps(entries)}
+        settled = self.committed(HISTORY, [e for e in entries if e.directory() not in merged])
+        settled = settled.select(*HISTORY_COLUMNS)
+        if not merged:
+            return settled
+        touched = self.committed(HISTORY, [e for e in entries if e.directory() in merged])
+        inside = _within(touched, list(merged.values()))
+        outside = touched.filter(~inside).select(*HISTORY_COLUMNS)
+        return settled.unionByName(outside).unionByName(_last_written(touched.filter(inside)))
 
     def partition_index(self) -> DataFrame:
         """``ts_kv_partitions_cf``."""
-        return self.stored(INDEX).select(*INDEX_COLUMNS).distinct()
+        rows = self.committed(INDEX, self.manifest.entries(INDEX))
+        return rows.select(*INDEX_COLUMNS).distinct()
 
     def latest(self) -> DataFrame:
         """``ts_kv_latest_cf``: per series the row of the highest ts, of equal
         ones the row written last."""
-        rows = self.stored(LATEST)
+        rows = self.committed(LATEST, self.manifest.entries(LATEST))
         others = [c for c in LATEST_COLUMNS if c not in LATEST_KEY]
         order = F.struct(F.col("ts"), write_sequence())
         newest = F.max_by(F.struct(*others), order).alias("_row")
@@ -255,16 +287,20 @@ class Target:
         The bucket directory follows from the partition, so only that
         directory is read.
         """
-        bucket = directory_bucket(F.lit(partition).cast("long"), strategy)
+        bucket = self.spark.range(1).select(
+            directory_bucket(F.lit(partition).cast("long"), strategy)
+        ).first()[0]
+        entries = [
+            e for e in self.manifest.entries(HISTORY) if e.directory() == (entity_type, bucket)
+        ]
         wanted = (
-            (F.col("outcome") == "accepted")
-            & (F.col("entity_type") == entity_type)
+            (F.col("entity_type") == entity_type)
             & (F.col("bucket") == bucket)
             & (F.col("entity_id") == entity_id)
             & (F.col("key") == key)
             & (F.col("partition") == partition)
         )
-        return _last_written(self.stored(HISTORY).filter(wanted)).select(*HISTORY_COLUMNS).orderBy("ts")
+        return _last_written(self.committed(HISTORY, entries).filter(wanted)).orderBy("ts")
 
     # -- compaction ----------------------------------------------------------
 
@@ -285,21 +321,74 @@ class Target:
             options.partitioning,
             Extent.of(current).files_per_directory(options),
         )
-        self.partition_index().write.mode("overwrite").parquet(
-            f"{destination.root}/{INDEX}/{batch.path()}"
-        )
+        destination._write_whole(INDEX, self.partition_index(), batch)
         destination.write_latest(self.latest(), batch)
         last = ProgressLog(self.spark, self.root).find() or Progress()
         ProgressLog(self.spark, destination.root).save(
             replace(last, stage="history", run=run, step=0, slices=(Slice(0, done=True),))
         )
 
+    def compact_crowded(self, options: RunOptions, most_live: int = 10) -> int:
+        """Rewrite what has more than so many live batches; returns the number of directories.
 
-def _last_written(rows: DataFrame) -> DataFrame:
-    """Per primary key of ``ts_kv_cf`` the row of the latest batch.
+        Of the history, a directory (entity type and month) with more live batches is merged into
+        one compacted batch; all others stay as they are. The index and the latest table count as
+        one directory each. Readers switch with the record that the manifest gets at the end; until
+        then, and after a stop, they read what they read before. Directories that were replaced stay
+        for readers that began earlier; they can be deleted when there are none.
 
-    ``bucket`` follows from the key; naming it lets Spark push a filter on it
-    below the window, down to the directories.
+        To be run between live batches, not beside one.
+        """
+        rewritten = 0
+        for table in (HISTORY, INDEX, LATEST):
+            entries = self.manifest.entries(table)
+            live: dict[tuple, int] = {}
+            for e in entries:
+                if e.batch.stage == m.LIVE:
+                    live[e.directory()] = live.get(e.directory(), 0) + 1
+            crowded = {d for d, n in live.items() if n > most_live}
+            replaced = [e for e in entries if e.directory() in crowded]
+            if not replaced:
+                continue
+            rewritten += len(crowded)
+            batch = Batch(m.COMPACTED, 1, self._next_compaction(table))
+            if table == HISTORY:
+                current = self._current(replaced).withColumn("reason", F.lit(None).cast("string"))
+                rows = max(
+                    sum(e.rows for e in replaced if e.directory() == d) for d in crowded
+                )
+                self._write_directories(
+                    current, batch, options.partitioning, max(1, rows // options.rows_per_file)
+                )
+                self.manifest.commit(HISTORY, batch, self._directories(batch), replaced)
+            elif table == INDEX:
+                self._write_whole(INDEX, self.partition_index(), batch, replaced)
+            else:
+                self._write_whole(LATEST, self.latest(), batch, replaced)
+        return rewritten
+
+    def _next_compaction(self, table: str) -> int:
+        """A number that no compaction of the table has, not even one that was stopped."""
+        rows = self.stored(table, "").filter(F.col("stage") == m.COMPACTED)
+        return (rows.agg(F.max("batch")).first()[0] or 0) + 1
+
+
+def _within(rows: DataFrame, overlaps: list[Overlap]) -> Column:
+    """Whether a row lies in a range in which its directory has to be merged.
+
+    The ranges are few, one for each entity type and month at most, and compared as literals: a map
+    lookup by directory, no join.
     """
-    order = Window.partitionBy("bucket", *HISTORY_KEY).orderBy(write_sequence().desc())
-    return rows.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
+    entries = []
+    for o in overlaps:
+        low, high = (F.lit(ts).cast("long") for ts in (o.low, o.high))
+        entries += [F.lit(f"{o.entity_type}/{o.bucket}"), F.struct(low.alias("low"), high.alias("high"))]
+    bounds = F.element_at(F.create_map(*entries), F.concat_ws("/", "entity_type", F.col("bucket").cast("string")))
+    return F.coalesce(F.col("ts").between(bounds["low"], bounds["high"]), F.lit(False))
+
+
+def _last_written(rows: DataFrame) -> DataFrame:
+    """Per primary key of ``ts_kv_cf`` the row of the latest batch; combined before the shuffle."""
+    others = [c for c in HISTORY_COLUMNS if c not in HISTORY_KEY]
+    newest = F.max_by(F.struct(*others), write_sequence()).alias("_row")
+    return rows.groupBy(*HISTORY_KEY).agg(newest).select(*HISTORY_KEY, "_row.*").select(*HISTORY_COLUMNS)

@@ -168,14 +168,15 @@ def live_from_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.history()
 
 
+def _marked(rows: DataFrame, which, mark: str = "!") -> DataFrame:
+    """The rows with other values than before where the condition holds."""
+    newer = F.concat(F.coalesce("str_v", F.lit("")), F.lit(mark))
+    return rows.withColumn("str_v", F.when(which, newer).otherwise(F.col("str_v")))
+
+
 def _changed(source):
     """The source whose rows above the start watermark have other values than before."""
-    rows = source.history()
-    newer = F.concat(F.coalesce("str_v", F.lit("")), F.lit("!"))
-    changed = rows.withColumn(
-        "str_v", F.when(F.col("ts") > fx.START_WATERMARK, newer).otherwise(F.col("str_v"))
-    )
-    return source.replacing(ts_kv=changed)
+    return source.replacing(ts_kv=_marked(source.history(), F.col("ts") > fx.START_WATERMARK))
 
 
 def _replayed(target: Target, source) -> None:
@@ -193,6 +194,39 @@ def upsert_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.history()
 
 
+def late_upsert_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of several months, then live rows that change those of the oldest month only."""
+    source = _source(spark, sf_dir)
+    spread = source.history().withColumn("ts", F.col("ts") - (F.col("key") - 1) * fx.MONTHS_APART)
+    source = source.replacing(ts_kv=spread)
+    target = Target(spark, scratch_folder(spark, "late"))
+    jobs.run_historical(source, target, _OPTIONS, now_ms=fx.PHASE1_START)
+    run = jobs.start_live_run(target, _OPTIONS, None, 0, now_ms=fx.AS_OF).run
+    late = _marked(spread.filter(F.col("key") == fx.OTHER_KEY), F.lit(True))
+    jobs.apply_live_batch(late, source, target, _OPTIONS, run, 0, fx.AS_OF)
+    return target.history()
+
+
+def _in_levels(read: Callable) -> Query:
+    """History, three live batches, a compaction of what they crowd, and another live batch."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        source = _source(spark, sf_dir)
+        target = Target(spark, scratch_folder(spark, "levels"))
+        jobs.run_historical(source, target, _OPTIONS, now_ms=fx.PHASE1_START)
+        run = jobs.start_live_run(target, _OPTIONS, None, fx.START_WATERMARK, now_ms=fx.AS_OF).run
+        rows = source.history()
+        for number in range(3):
+            part = _marked(rows.filter(F.pmod("ts", F.lit(3)) == number), F.lit(True))
+            jobs.apply_live_batch(part, source, target, _OPTIONS, run, number, fx.AS_OF, streamed=True)
+        target.compact_crowded(_OPTIONS, most_live=2)
+        last = _marked(rows.filter(F.col("ts") > fx.SECOND_LANDING), F.lit(True), "?")
+        jobs.apply_live_batch(last, source, target, _OPTIONS, run, 3, fx.AS_OF, streamed=True)
+        return read(target)
+
+    return query
+
+
 def _compacted(read: Callable) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = scratch_folder(spark, "compact")
@@ -329,6 +363,10 @@ def registered() -> dict[str, Query]:
         "live_from_cursor": live_from_cursor,
         "live_from_zero": _live(Target.history, watermark=0),
         "upsert_replay": upsert_replay,
+        "late_upsert_history": late_upsert_history,
+        "compacted_levels": _in_levels(Target.history),
+        "compacted_levels_latest": _in_levels(Target.latest),
+        "compacted_levels_index": _in_levels(Target.partition_index),
         "compacted_history": _compacted(Target.history),
         "compacted_rejected": _compacted(Target.rejected),
         "resume_history": resume_history,
