@@ -5,13 +5,15 @@ first with one of the second, so t groups in each give t * t tables for 2 t grou
 minhashes grows with the square root of the number of tables. A pair is missed only if all groups
 of one collection differ.
 
-Links are confirmed on the full shingle sets. In every table cell all documents are compared with
-the smallest one, so a group of copies costs as many comparisons as it has members. What is left
-are documents that met such a leader without becoming connected to it: they may be linked to
-others that met it. A pair of sets so alike must share one of the rarest shingles of each, near
-the front of their order by rarity, so those documents are joined with the others by their rare
-shingles; pairs that could still reach the similarity, and are not connected yet, are confirmed,
-too. After that no pair that shares a cell is untested but those within one component.
+Links are confirmed on the full shingle sets. In every table cell the smallest document leads the
+others. Each document is compared with the smallest of its leaders first, then with those of the
+others that it is not connected to yet: a group of copies, exact or near, costs about as many
+comparisons as it has members. What is left are documents that met a leader without becoming
+connected to it: they may be linked to others that met it. A pair of sets so alike must share one of
+the rarest shingles of each, near the front of their order by rarity, and of the smaller set nearer
+still, so those documents are joined with the others by their rare shingles; pairs that could still
+reach the similarity, and are not connected yet, are confirmed, too. After that no pair that shares a
+cell is untested but those within one component.
 """
 
 from __future__ import annotations
@@ -227,20 +229,39 @@ def confirmed(
 _OPEN, _OTHER = 1, 2
 
 
+def met_leaders(members: DataFrame, found: DataFrame) -> DataFrame:
+    """a, ca, b: each document with its component, and every leader that it met."""
+    placed = members.select(F.col("doc_id").alias("a"), "leaders").join(
+        found.select(F.col("id").alias("a"), "component"), "a", "left"
+    )
+    return placed.select("a", F.coalesce("component", "a").alias("ca"), F.explode("leaders").alias("b"))
+
+
+def apart(met: DataFrame, found: DataFrame) -> DataFrame:
+    """ca, b: components with the leaders outside them that a document of theirs met.
+
+    There are far fewer of them than of documents and leaders, as a large group is one component.
+    """
+    leaders = found.select(F.col("id").alias("b"), "component")
+    placed = met.select("ca", "b").distinct().join(leaders, "b", "left")
+    return kept_table(placed.filter(F.col("ca") != F.coalesce("component", "b")).select("ca", "b"), "apart")
+
+
 def unresolved_pairs(
-    blocks: B.Blocks, members: DataFrame, placed: DataFrame, width: int, above: int, of: int
+    blocks: B.Blocks, members: DataFrame, met: DataFrame, open_: DataFrame, width: int, above: int, of: int
 ) -> DataFrame:
     """Pairs (a, b) of different components that may be linked though no leader connects them.
 
-    `placed` has a, its leader b and their components ca, cb. The frequency of a shingle among the
-    documents in question puts the shingles of each set in one order, rarest first. Sets of n and
-    m shingles with the wanted similarity have above / (above + of) * (n + m) in common, so the
-    first common one stands where at least as many are left in both.
+    `met` has a, its component ca and each leader b that it met; `open_` the (ca, b) that are apart.
+    The frequency of a shingle among the documents in question puts the shingles of each set in one
+    order, rarest first. Sets of n and m shingles with the wanted similarity have
+    above / (above + of) * (n + m) in common, so the first common one stands where at least as many
+    are left in both; in the smaller set, that is among its first n - 2 * above / (above + of) * n.
     """
     ranges = blocks.ranges
-    apart = placed.filter("ca <> cb")
-    met = placed.join(apart.select("b").distinct(), "b").select("a", "ca").distinct()
-    state = met.join(apart.select("a", F.lit(_OPEN).alias("open")).distinct(), "a", "left")
+    asked_of = met.join(open_.select("b").distinct(), "b", "left_semi").select("a", "ca").distinct()
+    waiting = met.join(open_, ["ca", "b"], "left_semi").select("a", F.lit(_OPEN).alias("open")).distinct()
+    state = asked_of.join(waiting, "a", "left")
     # One row for each document in question, in the form of an answer to its block.
     marks = kept_table(
         state.join(members.select(F.col("doc_id").alias("a"), "block_id").distinct(), "a").select(
@@ -307,14 +328,17 @@ def unresolved_pairs(
         ),
         "postings",
     )
-    left = postings.filter(F.col("kind") == _OPEN).select(
-        "shingle", *[F.col(c).alias(f"x_{c}") for c in ("id", "component", "n", "place")]
-    )
+    # Of two sets the smaller one, of equal ones that of the smaller id, is looked for near its front.
+    columns = ("id", "component", "kind", "n", "place")
+    near = (above + of) * (F.col("n") - F.col("place")) >= 2 * above * F.col("n")
+    smaller = postings.filter(near).select("shingle", *[F.col(c).alias(f"x_{c}") for c in columns])
+    ordered = F.struct("x_n", "x_id") < F.struct("n", "id")
+    one_open = (F.col("x_kind") == _OPEN) | (F.col("kind") == _OPEN)
     both_left = F.least(F.col("x_n") - F.col("x_place"), F.col("n") - F.col("place"))
     possible = (above + of) * both_left >= above * (F.col("x_n") + F.col("n"))
     return kept_table(
-        left.join(postings, "shingle")
-        .filter((F.col("x_component") != F.col("component")) & possible)
+        smaller.join(postings, "shingle")
+        .filter(ordered & one_open & (F.col("x_component") != F.col("component")) & possible)
         .select(F.greatest("x_id", "id").alias("a"), F.least("x_id", "id").alias("b"))
         .distinct(),
         "rest",
@@ -335,31 +359,31 @@ def near_duplicates(
     `docs` has doc_id and text. Documents are linked if of * intersection >= above * union of
     their sets of `width`-word shingles. Null and blank texts have no shingles and no links. A row
     with a null id has no links, a null component and is kept. Rows that share an id are one node,
-    linked by any of their texts. Other columns are not returned; no rows in, no rows out.
+    linked by any of their texts. Other columns are not returned, whatever their names. A very long
+    text is a block of its own, whole, with some ten times its size in memory. No rows give no rows.
     """
     named = docs.select(F.col("doc_id").cast("long"), "text")
     blocks = B.make_blocks(named.filter("doc_id IS NOT NULL"), block_bytes)
     members = candidate_leaders(blocks, width, groups, in_group)
-    pairs = kept_table(
-        members.select(F.col("doc_id").alias("a"), F.explode("leaders").alias("b")).distinct(), "pairs"
+    first = members.filter("size(leaders) > 0").select(
+        F.col("doc_id").alias("a"), F.array_min("leaders").alias("b")
     )
-    links = confirmed(blocks, members, pairs, width, above, of)
+    links = confirmed(blocks, members, kept_table(first.distinct(), "pairs"), width, above, of)
     found = components(links)
-
-    placed = pairs.join(found.withColumnRenamed("id", "a"), "a", "left").select(
-        "a", "b", F.coalesce("component", "a").alias("ca")
-    )
-    placed = kept_table(
-        placed.join(found.withColumnRenamed("id", "b"), "b", "left").select(
-            "a", "b", "ca", F.coalesce("component", "b").alias("cb")
-        ),
-        "placed",
-    )
-    if placed.filter("ca <> cb").limit(1).count():
-        rest = unresolved_pairs(blocks, members, placed, width, above, of)
-        if rest.limit(1).count():
-            links = links.union(confirmed(blocks, members, rest, width, above, of).select("a", "b"))
-            found = components(links)
+    met = met_leaders(members, found)
+    open_ = apart(met, found)
+    if open_.limit(1).count():
+        pairs = met.join(open_, ["ca", "b"], "left_semi").select("a", "b").distinct()
+        pairs = kept_table(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
+        links = links.union(confirmed(blocks, members, pairs, width, above, of).select("a", "b"))
+        found = components(links)
+        met = met_leaders(members, found)
+        open_ = apart(met, found)
+        if open_.limit(1).count():
+            rest = unresolved_pairs(blocks, members, met, open_, width, above, of)
+            if rest.limit(1).count():
+                links = links.union(confirmed(blocks, members, rest, width, above, of).select("a", "b"))
+                found = components(links)
     out = members.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
