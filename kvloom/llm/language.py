@@ -18,12 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kvloom.llm.bpe import slices
-from kvloom.llm.common import documents, id_remainder
+from kvloom.llm.common import documents, id_remainder, kept_table, positions
 
 #: N-grams in a profile.
 PROFILE = 300
-#: Profiles are sent to every task: more languages than this are an error.
-MOST_LANGUAGES = 5_000
+#: Profiles of so many languages are sent to the tasks at once; more are compared in turns.
+LANGUAGES = 5_000
 #: Distinct n-grams that a task collects before it passes them on.
 HELD = 1_000_000
 _BITS = 21
@@ -150,8 +150,6 @@ class Profiles:
 
     def __init__(self, rows: list, length: int):
         self.langs = sorted({r["lang"] for r in rows})
-        if len(self.langs) > MOST_LANGUAGES:
-            raise ValueError(f"{len(self.langs)} languages; profiles are made for {MOST_LANGUAGES}")
         self.length = length
         self.grams = np.array(sorted({r["gram"] for r in rows}), np.int64)
         self.ranks = np.full((len(self.grams) + 1, len(self.langs)), -1, np.int32)
@@ -187,35 +185,72 @@ class Profiles:
         return langs, scores
 
 
+def turns(profiles: DataFrame, most: int) -> Iterator[DataFrame]:
+    """The profiles of so many languages at a time, in code point order of their names."""
+    kept = kept_table(profiles, "profiles")
+    n = kept.select("lang").distinct().count()
+    if n <= most:
+        yield kept
+        return
+    turn = F.floor(F.col("position") / most)
+    numbered = kept_table(
+        kept.join(positions(kept, "lang").withColumn("turn", turn), "lang").select(*kept.columns, "turn"), "turns"
+    )
+    for number in range(-(-n // most)):
+        yield numbered.filter(F.col("turn") == number).drop("turn")
+
+
 def identify(
-    docs: DataFrame, profiles: DataFrame, length: int = PROFILE, letterless: str | None = "und"
+    docs: DataFrame,
+    profiles: DataFrame,
+    length: int = PROFILE,
+    letterless: str | None = "und",
+    languages: int = LANGUAGES,
 ) -> DataFrame:
     """The rows with lang_pred and score added.
 
     `docs` has text. A text that is null or has no letter gets `letterless` and 0; all others get
-    `und` and 0 if there are no profiles. Of equal distances the language first in code point order is taken.
-    Columns of `docs` named as the new ones are replaced; all others are passed on.
+    `und` and 0 if there are no profiles. Of equal distances the language first in code point order is
+    taken. Columns of `docs` named as the new ones are replaced; all others are passed on. Repeated
+    rows stay, each with its own result; a very long text counts whole, a million characters and more
+    in one go. No rows give no rows.
+
+    Any number of languages is compared: with more than `languages`, rows are gone over in turns, each
+    with the profiles of the next languages, and keep the best so far in between. So neither the
+    driver nor a task holds more profiles than that.
     """
-    model = Profiles(profiles.collect(), length)
     rows = docs.drop("lang_pred", "score")
     added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
     schema = T.StructType([*rows.schema.fields, *added])
     names = [*rows.columns, "lang_pred", "score"]
+    found = None
+    for some in turns(profiles, languages):
+        model = Profiles(some.collect(), length)
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            langs: list[str | None] = []
-            scores: list[float] = []
-            for part in slices(texts, 1_000_000):
-                a, b = model.predict(texts[part], letterless)
-                langs += a
-                scores += b
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=names
-            )
+        def predict(
+            batches: Iterator[pa.RecordBatch], model: Profiles = model, again: bool = found is not None
+        ) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts = [t or "" for t in batch.column("text").to_pylist()]
+                langs: list[str | None] = []
+                scores: list[float] = []
+                for part in slices(texts, 1_000_000):
+                    a, b = model.predict(texts[part], letterless)
+                    langs += a
+                    scores += b
+                passed = batch.columns
+                if again:
+                    *passed, langs_before, scores_before = passed
+                    before = zip(langs_before.to_pylist(), scores_before.to_pylist())
+                    # Earlier languages go first; a text's first turn has told whether it has a letter.
+                    best = [o if o[1] >= n[1] else n for o, n in zip(before, zip(langs, scores))]
+                    langs, scores = [x for x, _ in best], [x for _, x in best]
+                yield pa.RecordBatch.from_arrays(
+                    [*passed, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=names
+                )
 
-    return rows.mapInArrow(predict, schema)
+        found = (rows if found is None else kept_table(found, "languages")).mapInArrow(predict, schema)
+    return found
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,6 +58,19 @@ def test_profiles_and_distances(spark):
     assert row.lang_pred == best and math.isclose(row.score, 1 - away[best])
 
 
+def test_many_languages_are_compared_in_turns(awkward):
+    """Some languages of one profile each: in turns of one, two and all, ties included."""
+    rows = awkward.withColumn("lang", F.concat(F.coalesce("lang", F.lit("x")), F.pmod(F.hash("text"), F.lit(3))))
+    twins = rows.union(rows.withColumn("lang", F.concat(F.lit("a"), "lang")))
+    profiles = train_profiles(twins)
+    assert profiles.select("lang").distinct().count() > 6
+    columns = ["doc_id", "text", "lang_pred", "score"]
+    expected = sorted(map(str, identify(awkward, profiles).select(*columns).collect()))
+    for most in (1, 2, 5):
+        found = identify(awkward, profiles, languages=most).select(*columns).collect()
+        assert sorted(map(str, found)) == expected
+
+
 def test_held_out_languages(spark):
     sf_dir = "/root/testdata/sf0.01"
     truth = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
