@@ -2,9 +2,10 @@
 
 Documents are dealt by ranges of their id. Each range writes one shard: an Arrow stream of record
 batches, all of the same number of rows, whose rows are sequences of the same number of ids with
-a mask of the same length. Ids are of the smaller of 16 and 32 bits that holds the vocabulary. Only the end of a shard is padded, with mask 0. So the place of any
-sequence in a memory-mapped shard is known without reading, and arrays are views of the file.
-A small table holds, for each document, its shard and the place of its first id there.
+a mask of the same length. Ids are of the smaller of 16 and 32 bits that holds the vocabulary. Only
+the end of a shard is padded, with mask 0. All batches take the same number of bytes, so the place of
+any sequence follows from its number: one seek, and in a memory-mapped shard the arrays are views of
+the file. A small table holds, for each document, its shard and the place of its first id there.
 
 Shards are written to the shared folder under names that hold the task attempt; the table names
 the shards of the attempts that Spark committed, so what a lost attempt left is never read.
@@ -25,15 +26,12 @@ from pyspark.sql import functions as F
 
 from kvloom.llm.bpe import slices
 from kvloom.llm.common import documents, kept_table, shuffle_partitions
+from kvloom.llm.remembered import STORE_BYTES, Room
 from kvloom.scratch import scratch_folder
 
 #: Ids in a sequence and sequences in a batch.
 SEQUENCE = 1024
 BATCH = 256
-#: White-space separated chunks remembered by a worker before it starts anew.
-REMEMBERED = 1_500_000
-#: Signs that end a word; the apostrophe is not among them, as the pattern has its own rules for it.
-SIGNS = ".,;:!?|*&%$#)]}\""
 #: Characters of chunks encoded in one call.
 CALL = 50_000
 
@@ -66,40 +64,23 @@ class ChunkEncoder:
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.type = id_type(len(self.starts) - 1)
         self.after_space: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
+        self.room = Room(self.after_space, most=2 * STORE_BYTES)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.type) for e in found]
 
     def learn(self, chunks: set[str]) -> None:
-        """Remember the ids of a space and each of these chunks.
-
-        Signs at the end of a word are a piece of their own, so word and signs are looked up apart.
-        """
+        """Remember the ids of a space and each of these chunks, within a number of bytes."""
         new = chunks - self.after_space.keys()
-        if len(self.after_space) + len(new) > REMEMBERED:
-            self.after_space.clear()
+        if self.room.take(len(new), sum(map(len, new))):
             new = chunks
-        known, tails = self.after_space, self.tails
-        split = []
-        for chunk in new:
-            stem = chunk.rstrip(SIGNS)
-            if len(stem) < len(chunk) and stem[-1:].isalpha():
-                split.append((chunk, stem, chunk[len(stem) :]))
-        self.encode_chunks(({s for _, s, _ in split} | new.difference(c for c, _, _ in split)) - known.keys())
-        ends = list({t for _, _, t in split} - tails.keys())
-        if len(tails) + len(ends) > REMEMBERED:
-            tails.clear()
-            ends = list({t for _, _, t in split})
-        for tail, ids in zip(ends, self.encode(ends)):
-            tails[tail] = ids.tobytes()
-        for chunk, stem, tail in split:
-            known[chunk] = known[stem] + tails[tail]
+            self.room.take(len(new), sum(map(len, new)))
+        self.encode_chunks(new)
 
     def encode_chunks(self, new: set[str]) -> None:
         """Many chunks go to the library in one text; a token with a space begins each."""
-        plain = [c for c in new if c and not c[0].isspace() and not c[-1].isspace()]
+        plain = [c for c in new if c and c.strip() == c]
         calls: list[list[str]] = [[]]
         size = 0
         for chunk in plain:
@@ -113,9 +94,8 @@ class ChunkEncoder:
             first = np.flatnonzero(self.starts[ids])
             if call and len(first) == len(call):
                 raw, wide = ids.tobytes(), ids.itemsize
-                ends = [*(first[1:] * wide).tolist(), wide * len(ids)]
-                for chunk, start, end in zip(call, (first * wide).tolist(), ends):
-                    self.after_space[chunk] = raw[start:end]
+                bounds = [*(first * wide).tolist(), wide * len(ids)]
+                self.after_space.update(zip(call, map(raw.__getitem__, map(slice, bounds, bounds[1:]))))
         rest = list(new - self.after_space.keys())
         for chunk, ids in zip(rest, self.encode([" " + c for c in rest])):
             self.after_space[chunk] = ids.tobytes()
@@ -126,14 +106,23 @@ class ChunkEncoder:
         parts = [[] if o else t.split(" ") for o, t in zip(odd, texts)]
         self.learn(set().union(*[p[1:] for p in parts]) if parts else set())
         alone = self.encode([t if o else p[0] for o, t, p in zip(odd, texts, parts)])
-        known = self.after_space
+        known = self.after_space.__getitem__
         for first, line in zip(alone, parts):
-            yield first.tobytes() + b"".join([known[c] for c in line[1:]])
+            yield first.tobytes() + b"".join(map(known, line[1:]))
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
 
 
+def arrow_system(uri: str) -> tuple[fs.FileSystem, str]:
+    """The Arrow file system of a URI or local path, and the path in it.
+
+    Known are local files, HDFS, S3 and the clouds of Arrow's build; Spark's names s3a and s3n of S3
+    are understood. Other stores that only Spark reads raise ValueError or ArrowInvalid.
+    """
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", uri))
+
+
 class ShardWriter:
     """Collects ids and writes full batches; the last one of a shard is padded."""
 
@@ -144,7 +133,7 @@ class ShardWriter:
         self.schema = pa.schema(
             [("ids", pa.list_(ids, sequence)), ("mask", pa.list_(pa.bool_(), sequence))]
         )
-        system, path = fs.FileSystem.from_uri(uri)
+        system, path = arrow_system(uri)
         system.create_dir(path.rpartition("/")[0], recursive=True)
         self.file = system.open_output_stream(path)
         self.stream = pa.ipc.new_stream(self.file, self.schema)
@@ -177,25 +166,58 @@ class ShardWriter:
 
 
 class ShardReader:
-    """Ids of a shard by place; memory-mapped where the shard is a local file."""
+    """A shard by place, in any order; memory-mapped where it is a local file.
+
+    The first batch tells how many bytes every batch takes and how many sequences it has. Arrays
+    that are returned are views of the batch; of a mapped file, nothing else is copied or read.
+    """
 
     def __init__(self, uri: str):
-        system, path = fs.FileSystem.from_uri(uri)
+        system, path = arrow_system(uri)
         local = isinstance(system, fs.LocalFileSystem)
-        self.file = pa.memory_map(path) if local else system.open_input_stream(path)
-        self.stream = pa.ipc.open_stream(self.file)
-        self.start, self.ids = 0, np.zeros(0, np.uint16)
+        self.file = pa.memory_map(path) if local else system.open_input_file(path)
+        self.schema = pa.ipc.read_schema(self.file)
+        self.sequence = self.schema.field("ids").type.list_size
+        self.first = self.file.tell()
+        self.rows, self.bytes, self.n_batches = 0, 0, 0
+        # Behind the last batch is a mark of eight bytes.
+        if self.file.size() - self.first > 8:
+            message = pa.ipc.read_message(self.file)
+            self.bytes = self.file.tell() - self.first
+            self.rows = pa.ipc.read_record_batch(message, self.schema).num_rows
+            self.n_batches = (self.file.size() - self.first) // self.bytes
+        self.at, self.arrays = -1, (np.zeros(0, np.uint16), pa.array([], pa.bool_()))
+
+    @property
+    def n_sequences(self) -> int:
+        return self.n_batches * self.rows
+
+    def _batch(self, number: int) -> tuple[np.ndarray, pa.Array]:
+        """Ids and mask of a batch, its sequences one behind the other."""
+        if number != self.at:
+            if not 0 <= number < self.n_batches:
+                raise IndexError(f"batch {number} of {self.n_batches}")
+            self.file.seek(self.first + number * self.bytes)
+            batch = pa.ipc.read_record_batch(pa.ipc.read_message(self.file), self.schema)
+            ids = batch.column("ids").flatten().to_numpy(zero_copy_only=True)
+            self.at, self.arrays = number, (ids, batch.column("mask").flatten())
+        return self.arrays
+
+    def sequence_at(self, number: int) -> tuple[np.ndarray, pa.Array]:
+        """Ids and mask of a sequence by its number in the shard."""
+        if number < 0 or not self.rows:
+            raise IndexError(f"sequence {number} of {self.n_sequences}")
+        batch, row = divmod(number, self.rows)
+        ids, mask = self._batch(batch)
+        start = row * self.sequence
+        return ids[start : start + self.sequence], mask.slice(start, self.sequence)
 
     def read(self, start: int, n: int) -> Iterator[np.ndarray]:
-        """The ids from `start` on, in parts; calls come with ascending starts."""
+        """The ids from place `start` on, in parts of a batch at most."""
+        per_batch = self.rows * self.sequence
         while n:
-            while start >= self.start + len(self.ids):
-                batch = self.stream.read_next_batch()
-                self.start += len(self.ids)
-                ids = batch.column("ids").flatten().to_numpy(zero_copy_only=True)
-                mask = batch.column("mask").flatten()
-                self.ids = ids if mask[-1].as_py() else ids[: mask.true_count]
-            part = self.ids[start - self.start : start - self.start + n]
+            number, within = divmod(start, per_batch)
+            part = self._batch(number)[0][within : within + n]
             yield part
             start, n = start + len(part), n - len(part)
 
@@ -210,7 +232,8 @@ def write_sequences(
 
     Its columns: doc_id, part, shard (URI), shard_start, n_tokens. Documents stand in ascending
     order of doc_id, null ids first, equal ids by text. A null text is an empty one: only the end
-    id. Other columns are not used. Without rows there are no shards.
+    id. Other columns are not used, whatever their names. A very long text is encoded whole and goes
+    on over as many sequences as it needs. Without rows there are no shards.
     """
     folder = scratch_folder(docs.sparkSession, "shards")
     fields = "doc_id long, part int, shard string, shard_start long, n_tokens long"
@@ -270,11 +293,11 @@ def read_sequences(table: DataFrame) -> DataFrame:
     placed = table.join(F.broadcast(starts), F.col("part") == F.col("at"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, opened, upto = None, None, 0
+        reader, opened = None, None
         for rows in batches:
             sums = []
             for uri, start, n in zip(*(rows.column(i).to_pylist() for i in (3, 4, 2))):
-                if uri != opened or start < upto:
+                if uri != opened:
                     if reader:
                         reader.close()
                     reader, opened = ShardReader(uri), uri
@@ -282,7 +305,6 @@ def read_sequences(table: DataFrame) -> DataFrame:
                 for ids in reader.read(start, n):
                     crc = zlib.crc32(ids.astype("<u4"), crc)
                 sums.append(crc)
-                upto = start
             yield pa.RecordBatch.from_arrays(
                 [*rows.columns[:3], pa.array(sums, pa.int64())],
                 names=["doc_id", "start", "n_tokens", "ids_crc32"],

@@ -5,12 +5,20 @@ import random
 import zlib
 
 import numpy as np
-import pyarrow as pa
 import public_tokenizers
+import pyarrow as pa
+import pytest
 from tokenizers import Tokenizer
 
 from kvloom.llm.bpe import WordBpe, encode_decode
-from kvloom.llm.sequences import ChunkEncoder, ShardReader, ShardWriter, read_sequences, write_sequences
+from kvloom.llm.sequences import (
+    ChunkEncoder,
+    ShardReader,
+    ShardWriter,
+    arrow_system,
+    read_sequences,
+    write_sequences,
+)
 
 WORDS, BYTES = (public_tokenizers.path(f"{n}.json") for n in ("word_bpe_49k", "byte_bpe_50k"))
 
@@ -83,9 +91,51 @@ def test_shards_are_views_of_equal_batches(tmp_path):
     shard.close()
     reader = ShardReader(uri)
     assert np.concatenate(list(reader.read(5, 60))).tolist() == list(range(5, 65))
-    stream = pa.ipc.open_stream(pa.memory_map(uri))
-    batches = list(stream)
+    assert np.concatenate(list(reader.read(3, 9))).tolist() == list(range(3, 12))
+    mapped = pa.memory_map(uri)
+    batches = list(pa.ipc.open_stream(mapped))
     assert [b.num_rows for b in batches] == [4, 4, 4]
     assert sum(b.column("mask").flatten().true_count for b in batches) == 70
-    assert pa.total_allocated_bytes() == pa.total_allocated_bytes()
-    batches[0].column("ids").flatten().to_numpy(zero_copy_only=True)
+    before = pa.total_allocated_bytes()
+    views = [b.column("ids").flatten().to_numpy(zero_copy_only=True) for b in pa.ipc.open_stream(mapped)]
+    assert pa.total_allocated_bytes() == before and np.concatenate(views)[:70].tolist() == list(range(70))
+
+
+def test_any_sequence_by_its_number(tmp_path):
+    uri = f"file://{tmp_path}/y/b.arrows"
+    shard = ShardWriter(uri, np.uint32, 5, 3)
+    values = np.arange(101, dtype=np.uint32) * 7
+    for part in np.split(values, [1, 2, 60]):
+        shard.add(part.tobytes())
+    shard.close()
+    reader = ShardReader(uri)
+    assert (reader.n_batches, reader.rows, reader.n_sequences) == (7, 3, 21)
+    padded = np.append(values, np.zeros(4, np.uint32)).reshape(21, 5)
+    for number in [20, 0, *range(19, -1, -1), 7, 7]:
+        ids, mask = reader.sequence_at(number)
+        assert ids.tolist() == padded[number].tolist()
+        assert mask.to_pylist() == [5 * number + k < 101 for k in range(5)]
+    for number in (-1, 21):
+        with pytest.raises(IndexError):
+            reader.sequence_at(number)
+    # Views of the mapped file: reading a sequence allocates nothing that grows with the batch.
+    before = pa.total_allocated_bytes()
+    reader.sequence_at(11)
+    assert pa.total_allocated_bytes() - before < 100
+    assert [p.tolist() for p in reader.read(33, 3)] == [[231, 238, 245]]
+
+
+def test_a_shard_without_ids(tmp_path):
+    shard = ShardWriter(f"file://{tmp_path}/none.arrows", np.uint16, 8, 4)
+    shard.close()
+    reader = ShardReader(f"file://{tmp_path}/none.arrows")
+    assert reader.n_sequences == 0 and list(reader.read(0, 0)) == []
+    with pytest.raises(IndexError):
+        reader.sequence_at(0)
+
+
+def test_names_of_stores():
+    system, path = arrow_system("file:///a/b")
+    assert path == "/a/b" and type(system).__name__ == "LocalFileSystem"
+    with pytest.raises(Exception, match="viewfs"):
+        arrow_system("viewfs://x/y")
