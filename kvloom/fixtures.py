@@ -18,7 +18,7 @@ from kvloom.sources.tables import FrameSource
 
 # --- fixed values -----------------------------------------------------------
 KEY_OF_EVENT = {"click": 1, "error": 2, "purchase": 3, "view": 4}
-OTHER_KEY = 5
+OTHER_KEY, OTHER_NAME = 5, "signup"
 ERROR_TEXTS = ("42", "-100", "3.14", "hello", "", "9223372036854775808", "1e5", "1d")
 PHASE1_START = 1_705_708_800_000  # 2024-01-20 UTC
 # How long the job of the status report takes.
@@ -72,6 +72,16 @@ def ts_kv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events_as_ts_kv(read_table(spark, sf_dir, "events"))
 
 
+def with_text_keys(rows: DataFrame) -> DataFrame:
+    """The rows with text keys: by turns an id, an id with a zero before it, and a name."""
+    names = F.create_map(*[F.lit(v) for name, number in KEY_OF_EVENT.items() for v in (number, name)])
+    number = F.col("key").cast("string")
+    named = F.coalesce(F.try_element_at(names, F.col("key")), F.lit(OTHER_NAME))
+    turn = F.pmod("ts", F.lit(3))
+    text = F.when(turn == 0, number).when(turn == 1, F.concat(F.lit("0"), number)).otherwise(named)
+    return rows.withColumn("key", text)
+
+
 def ts_kv_latest(history: DataFrame) -> DataFrame:
     return latest_per_series(history, ["entity_id", "key"]).select(*SOURCE_COLUMNS)
 

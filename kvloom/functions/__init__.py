@@ -2,7 +2,7 @@
 
 from kvloom.functions.buckets import bucket_start, directory_bucket
 from kvloom.functions.casting import retype_strings, string_as_double, string_as_long
-from kvloom.functions.ids import canonical_uuid, is_canonical, is_time_uuid, lookup_uuid
+from kvloom.functions.ids import canonical_uuid, is_canonical, is_time_uuid, key_id_of, lookup_uuid
 from kvloom.functions.times import ntz_to_millis, utc_text
 
 __all__ = [
@@ -11,6 +11,7 @@ __all__ = [
     "directory_bucket",
     "is_canonical",
     "is_time_uuid",
+    "key_id_of",
     "lookup_uuid",
     "ntz_to_millis",
     "retype_strings",

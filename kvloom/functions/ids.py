@@ -1,4 +1,4 @@
-"""Entity ids as canonical lower-case UUID text."""
+"""Entity ids as canonical lower-case UUID text, and key ids given as text."""
 
 from __future__ import annotations
 
@@ -10,6 +10,8 @@ CANONICAL_FORM = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}
 BARE_FORM = r"^[0-9a-f]{32}\z"
 DECORATION = r"urn:|uuid:|[{}-]"
 HEX_GROUPS = r"^(.{8})(.{4})(.{4})(.{4})(.{12})\z"
+# An integer as text, with ASCII white space around it.
+KEY_ID_FORM = r"^[\x20\x09-\x0D]*([+-]?[0-9]+)[\x20\x09-\x0D]*\z"
 # ----------------------------------------------------------------------------
 
 
@@ -41,3 +43,9 @@ def is_canonical(text: Column) -> Column:
 def is_time_uuid(canonical: Column) -> Column:
     """True for version-1 ids, given canonical text."""
     return F.substring(canonical, 15, 1) == F.lit("1")
+
+
+def key_id_of(text: Column) -> Column:
+    """The key id that a text reads like, null where it is no 32-bit integer."""
+    digits = F.regexp_extract(text, KEY_ID_FORM, 1)
+    return F.when(text.rlike(KEY_ID_FORM), digits.try_cast("int"))

@@ -141,9 +141,13 @@ class RunOptions:
     # A dimension is broadcast only if its measured size is below both bounds.
     broadcast_max_rows: int = 1_000_000
     broadcast_max_bytes: int = 128 << 20
-    # The historical phase is cut into this many ts ranges, each of them a
-    # restart point.
+    # Text keys that read like an id of the key dictionary get its name.
+    hybrid_keys: bool = True
+    # The historical phase is cut into this many slices, each of them a restart
+    # point: ranges of ts, each read from the source ("ts"), or hash ranges of
+    # the entity, staged by one pass over the source ("entity").
     slices: int = 1
+    slice_by: str = "ts"
     # Rows that one file of the history table should have, roughly.
     rows_per_file: int = 5_000_000
     # Live micro-batches re-read this much behind the watermark.
@@ -153,6 +157,8 @@ class RunOptions:
 
     def __post_init__(self):
         check_strategy(self.partitioning)
+        if self.slice_by not in ("ts", "entity"):
+            raise ValueError("slice_by must be ts or entity")
         for name in ("batch_size", "workers", "slices", "rows_per_file"):
             if getattr(self, name) < 1:
                 raise ValueError(f"{name} must be at least 1")

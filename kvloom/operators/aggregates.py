@@ -70,11 +70,7 @@ def entity_progress(
     entities: DataFrame, completed: Dimension, options: RunOptions
 ) -> DataFrame:
     """How many of the given entities are there, pending and done."""
-    flagged = Dimension(
-        completed.df.select("entity_id", F.lit(True).alias("_done")),
-        completed.rows,
-        completed.bytes,
-    )
+    flagged = completed.selecting("entity_id", F.lit(True).alias("_done"))
     return lookup_join(entities, flagged, "entity_id", "left", options).agg(
         F.count("*").alias("total_entities"),
         F.count_if(F.col("_done").isNull()).alias("pending_entities"),

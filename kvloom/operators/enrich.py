@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +12,7 @@ from kvloom.functions import (
     bucket_start,
     is_canonical,
     is_time_uuid,
+    key_id_of,
     lookup_uuid,
     retype_strings,
 )
@@ -27,45 +30,66 @@ from kvloom.operators.joins import lookup_join
 from kvloom.sources.dimensions import Dimension, Dimensions
 
 _RAW_KEY = "_raw_key"
+_KEY_ID = "_key_id"
 _GIVEN_ID = "_given_id"
 _GIVEN_KEY = "_given_key"
 _GIVEN_TEXT = "_given_text"
 
 
 def with_key_names(rows: DataFrame, dims: Dimensions, options: RunOptions) -> DataFrame:
-    """Replace ``key`` by the key's name; an id without a name is its own name."""
-    if isinstance(rows.schema["key"].dataType, T.StringType) or not dims.keys.rows:
+    """Replace ``key`` by the key's name; a key without a name is its own name.
+
+    With ``hybrid_keys`` a text key that reads like an integer is looked up as
+    the id that it reads like, one row at a time: a column may hold ids and
+    names side by side. Without, text keys are names.
+    """
+    text = isinstance(rows.schema["key"].dataType, T.StringType)
+    if not dims.keys.rows or (text and not options.hybrid_keys):
         return rows.withColumn("key", F.col("key").cast("string"))
-    names = Dimension(
-        dims.keys.df.select("key_id", F.col("key").alias("_name")),
-        dims.keys.rows,
-        dims.keys.bytes,
-    )
-    others = [c for c in rows.columns if c != "key"]
+    if text:
+        return _hybrid_key_names(rows, dims, options)
+    names = dims.keys.selecting("key_id", F.col("key").alias("_name"))
     named = lookup_join(rows.withColumnRenamed("key", "key_id"), names, "key_id", "left", options)
     name = F.coalesce(F.col("_name"), F.col("key_id").cast("string"))
     columns = [name.alias("key") if c == "key" else c for c in rows.columns]
     if not dims.shared_names.rows:
         return named.select(*columns)
-    return _one_key_per_name(
-        named.select(*columns, F.col("key_id").alias(_RAW_KEY)), others, dims, options
+    raw_id = F.col("key_id").alias(_RAW_KEY)
+    return _one_key_per_name(named.select(*columns, raw_id), dims.shared_names, options)
+
+
+def _hybrid_key_names(rows: DataFrame, dims: Dimensions, options: RunOptions) -> DataFrame:
+    """Names of text keys. Of rows that end up with one name and share entity
+    and ts, the one that came by id goes before the one that came by name."""
+    names = dims.keys.selecting(F.col("key_id").alias(_KEY_ID), F.col("key").alias("_name"))
+    raw = F.col("key")
+    found = lookup_join(rows.withColumn(_KEY_ID, key_id_of(raw)), names, _KEY_ID, "left", options)
+    name = F.coalesce(F.col("_name"), raw)
+    # Which names come in several spellings: one pass over the keys, added up before the shuffle.
+    forms = lookup_join(
+        rows.select("key").distinct().withColumn(_KEY_ID, key_id_of(raw)), names, _KEY_ID, "left", options
     )
+    several = forms.groupBy(name.alias("key")).count().filter("count > 1").select("key")
+    shared = replace(Dimension.measure(several), held=dims.keys.held)
+    columns = [name.alias("key") if c == "key" else F.col(c) for c in rows.columns]
+    if not shared.rows:
+        return found.select(*columns)
+    order = F.struct(F.col(_KEY_ID).isNotNull(), F.col(_KEY_ID), raw).alias(_RAW_KEY)
+    return _one_key_per_name(found.select(*columns, order), shared, options)
 
 
-def _one_key_per_name(
-    rows: DataFrame, others: list[str], dims: Dimensions, options: RunOptions
-) -> DataFrame:
+def _one_key_per_name(rows: DataFrame, names: Dimension, options: RunOptions) -> DataFrame:
     """Of rows that collide on a shared name keep the one of the highest key id.
 
     Only the rows under shared names are shuffled. Rejected rows reach no target
     table, so none of them takes another's place.
     """
     good = F.col("reason").isNull() if "reason" in rows.columns else F.lit(True)
-    shared = lookup_join(rows, dims.shared_names, "key", "left_semi", options)
+    shared = lookup_join(rows, names, "key", "left_semi", options)
     order = Window.partitionBy("entity_id", "key", "ts").orderBy(F.col(_RAW_KEY).desc())
     kept = shared.filter(good).withColumn("_rank", F.row_number().over(order))
     kept = kept.filter("_rank = 1").drop("_rank")
-    rest = lookup_join(rows, dims.shared_names, "key", "left_anti", options)
+    rest = lookup_join(rows, names, "key", "left_anti", options)
     out = rest.unionByName(kept)
     if "reason" in rows.columns:
         out = out.unionByName(shared.filter(~good))

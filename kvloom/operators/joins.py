@@ -32,20 +32,28 @@ def lookup_join(
       batch: filter the lookup table by them and broadcast what is left, if
       that is within the bounds, too;
     * neither: shuffle both sides, the rows of hot keys over several tasks.
+
+    In the second way the keys are held on the executors until the lookup table
+    is released.
     """
     if lookup.fits_broadcast(options):
         return rows.join(F.broadcast(lookup.df), on, how)
     # One pass over the rows tells which keys occur and how often.
     counts = key_counts(rows, on).persist(StorageLevel.DISK_ONLY)
-    present = counts.select(on)
-    keys = Dimension.measure(present)
-    if keys.fits_broadcast(options):
-        used = Dimension.measure(lookup.df.join(F.broadcast(present), on, "left_semi"))
-        if used.fits_broadcast(options):
-            return rows.join(F.broadcast(used.df), on, how)
-    joined = spread_join(rows, lookup, on, how, counts)
-    counts.unpersist()
-    return joined
+    needed = False
+    try:
+        present = counts.select(on)
+        keys = Dimension.measure(present)
+        if keys.fits_broadcast(options):
+            used = Dimension.measure(lookup.df.join(F.broadcast(present), on, "left_semi"))
+            if used.fits_broadcast(options):
+                needed = True
+                lookup.held.append(counts)
+                return rows.join(F.broadcast(used.df), on, how)
+        return spread_join(rows, lookup, on, how, counts)
+    finally:
+        if not needed:
+            counts.unpersist()
 
 
 def key_counts(rows: DataFrame, on: str) -> DataFrame:

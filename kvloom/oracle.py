@@ -10,6 +10,7 @@ from kvloom.fixtures import (
     JOB_SECONDS,
     MONTHS_APART,
     OTHER_KEY,
+    OTHER_NAME,
     PHASE1_START,
     SAMPLE_ENTITY,
     SECOND_LANDING,
@@ -149,6 +150,30 @@ _LAST_KNOWN = f"""
 
 _LATEST_OF_KNOWN = f"({_LAST_KNOWN.format(where='')})"
 
+# The type that an id had when there were devices only.
+_DEVICE_FIRST = "CASE WHEN entity_id IN (SELECT id FROM device) THEN 'DEVICE' ELSE entity_type END AS entity_type"
+
+_SERIES_TYPES = "entity_type:string entity_id:string key:string"
+_VALUE_TYPES = "bool_v:boolean str_v:string long_v:bigint dbl_v:double json_v:string"
+_TABLES = {
+    "ts_kv_cf": (f"{_SERIES_TYPES} partition:bigint ts:bigint {_VALUE_TYPES}", "SELECT count(*) FROM known"),
+    "ts_kv_partitions_cf": (
+        f"{_SERIES_TYPES} partition:bigint",
+        f"SELECT count(*) FROM (SELECT DISTINCT entity_id, key, {_MONTH} FROM known)",
+    ),
+    "ts_kv_latest_cf": (
+        f"{_SERIES_TYPES} ts:bigint {_VALUE_TYPES}",
+        "SELECT count(*) FROM (SELECT DISTINCT entity_id, key FROM known)",
+    ),
+}
+_TARGET_SCHEMA = " UNION ALL ".join(
+    f"SELECT '{table}' AS table_name, CAST({position} AS INTEGER) AS position,"
+    f" '{column.split(':')[0]}' AS column_name, '{column.split(':')[1]}' AS data_type,"
+    f" CAST(({count}) AS BIGINT) AS stored_rows"
+    for table, (columns, count) in _TABLES.items()
+    for position, column in enumerate(columns.split(), 1)
+)
+
 _STATUS = f""", totals AS (
   SELECT (SELECT count(*) FROM ts_kv) AS n, (SELECT count(*) FROM known) AS migrated,
     (SELECT count(*) FROM ({_refused()})) AS skipped,
@@ -222,6 +247,15 @@ def oracle_queries() -> dict[str, str]:
             f" AND (ts, entity_id, key) > ({middle + 500_000_000}, '{entity}', 2)"
             f" ORDER BY ts, entity_id, key LIMIT {_PAGE}"
         ),
+        "changed_page_cut": _with(
+            f"SELECT {_SOURCE} FROM ts_kv WHERE {live}"
+            f" AND (ts, entity_id, key) > ({middle}, '{entity}', 2)"
+            " ORDER BY ts, entity_id, key LIMIT 100"
+        ),
+        "entity_page_cut": _with(
+            f"SELECT {_SOURCE} FROM ts_kv WHERE entity_id = '{entity}'"
+            f" AND (key, ts) > (1, {middle}) ORDER BY key, ts LIMIT 20"
+        ),
         "entities_after": _with(
             f"SELECT DISTINCT entity_id FROM ts_kv WHERE entity_id > '{entity}' ORDER BY entity_id"
         ),
@@ -246,6 +280,11 @@ def oracle_queries() -> dict[str, str]:
         "key_names_raw": _with(
             f"SELECT entity_id, CAST(key AS VARCHAR) AS key, ts, {_VALUES} FROM ts_kv"
         ),
+        "key_names_hybrid": _with(
+            f"SELECT entity_id, CASE WHEN key = '{OTHER_KEY}' AND ts % 3 = 1 THEN '0{OTHER_KEY}'"
+            f" WHEN key = '{OTHER_KEY}' AND ts % 3 = 2 THEN '{OTHER_NAME}' ELSE key END AS key,"
+            f" ts, {_VALUES} FROM named"
+        ),
         "canonical_ids": (
             f"SELECT DISTINCT upper({_uuid('user_id')}) AS given, {_uuid('user_id')} AS entity_id,"
             " true AS time_based FROM events"
@@ -314,6 +353,7 @@ def oracle_queries() -> dict[str, str]:
         "live_out_of_order": _with(_history(live)),
         "live_out_of_order_latest": _with(_LAST_KNOWN.format(where=f"WHERE {live}")),
         "live_from_cursor": _with(_history(live)),
+        "stream_latest_state": _with(_LAST_KNOWN.format(where=f"WHERE {live}")),
         "live_from_zero": _with(_history()),
         "job_latest_from_history": _with(_LAST_KNOWN.format(where="")),
         "late_upsert_history": _with(_late_history()),
@@ -327,8 +367,15 @@ def oracle_queries() -> dict[str, str]:
         "compacted_history": _with(_changed_history()),
         "compacted_rejected": _with(f"{_refused()} UNION ALL {_refused(live, _NEWER)}"),
         "job_rejected_cast": refused,
+        "rejected_replay": _with(f"SELECT {_DEVICE_FIRST}, entity_id, key, {_MONTH} AS partition, ts, {_VALUES} FROM known"),
+        "rejected_replay_latest": _with(
+            f"SELECT {_DEVICE_FIRST}, entity_id, key, ts, {_VALUES} FROM {_LATEST_OF_KNOWN}"
+        ),
+        "rejected_replay_left": refused,
+        "resume_by_entity": _with(_history()),
         "resume_history": _with(_history(pending)),
         "status_report": _with(_STATUS),
+        "target_schema": _with(_TARGET_SCHEMA),
         "target_columns": _with(
             "SELECT 'ts_kv_cf' AS table_name, column_name, CAST(n AS BIGINT) AS filled FROM ("
             "UNPIVOT (SELECT count(entity_type) AS entity_type, count(entity_id) AS entity_id,"

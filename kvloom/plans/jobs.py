@@ -6,17 +6,26 @@ import time
 from collections.abc import Callable
 from dataclasses import replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from kvloom.model import LATE, LIVE_START_MARGIN_MS, RunOptions
+from pyspark.sql import types as T
+
+from kvloom.model import (
+    HISTORY_KEY,
+    LATE,
+    LIVE_START_MARGIN_MS,
+    UNKNOWN_ENTITY,
+    VALUE_COLUMNS,
+    RunOptions,
+)
 from kvloom.operators.aggregates import latest_from_history
 from kvloom.operators.enrich import history_rows, latest_rows, shape_history, with_entity_types
 from kvloom.operators.joins import lookup_join
 from kvloom.plans.extent import Extent
 from kvloom.plans.progress import Progress, ProgressLog, Slice
-from kvloom.plans.manifest import Batch
-from kvloom.plans.target import Target
+from kvloom.plans.manifest import REPLAY, Batch
+from kvloom.plans.target import Target, write_sequence
 from kvloom.sources.dimensions import Dimension, Dimensions, load_dimensions
 from kvloom.sources.queries import changed_since
 from kvloom.sources.tables import SourceTables
@@ -45,8 +54,11 @@ def run_historical(
     """Preload and historical phase: all source rows into the three tables.
 
     A resumed run keeps its number, its start time and its slices; it redoes
-    the slices that are not finished and leaves out completed entities. The
-    phase moves on only after everything is written.
+    the slices that are not finished and leaves out completed entities. Sliced
+    by entity, the source is read once and staged: entities are complete slice
+    by slice, and a resumed run reads what is staged. Rows that came after the
+    staging belong to the live phase, which begins before it. The phase moves
+    on only after everything is written.
     """
     now = now_millis if now_ms is None else (lambda: now_ms)
     log = ProgressLog(target.spark, target.root)
@@ -59,9 +71,10 @@ def run_historical(
             saved_ms=now(),
             partitioning=options.partitioning,
             cast_strings=options.cast_strings,
+            slice_by=options.slice_by,
         )
         log.save(state)
-    check_settings(state, options)
+    check_settings(state, options, "slice_by")
     dims = load_dimensions(source, keep=True)
     try:
         return _write_historical(source, target, options, log, state, dims, now)
@@ -69,13 +82,13 @@ def run_historical(
         dims.release()
 
 
-def check_settings(state: Progress, options: RunOptions) -> None:
+def check_settings(state: Progress, options: RunOptions, *more: str) -> None:
     """Raise if a run is to go on with other settings than it began with.
 
     The bucket is part of the primary key: rows under two partitionings would
     be there twice.
     """
-    for name in ("partitioning", "cast_strings"):
+    for name in ("partitioning", "cast_strings", *more):
         kept, given = getattr(state, name), getattr(options, name)
         if kept != given:
             raise ValueError(f"the run has {name}={kept!r}; it cannot go on with {given!r}")
@@ -91,12 +104,22 @@ def _write_historical(
     now: Callable[[], int],
 ) -> Progress:
     rows = source.history()
-    extent = Extent.of(rows, options.slices)
+    by_entity = state.slice_by == "entity"
+    if by_entity:
+        if not state.staged:
+            # The only pass over the source; a stopped one is made anew.
+            target.stage(rows, state.run, options.slices)
+            state = log.save(state.next(staged=True, saved_ms=now()))
+        extent = Extent.of(target.staged(rows, state.run))
+        planned = tuple(Slice(i) for i in range(options.slices))
+    else:
+        extent = Extent.of(rows, options.slices)
+        planned = extent.cut()
     state = state.next(
         phase="phase1",
         phase1_start_ts=state.phase1_start_ts or now(),
         total_rows=extent.rows,
-        slices=state.slices or extent.cut(),
+        slices=state.slices or planned,
         saved_ms=now(),
     )
     log.save(state)
@@ -108,8 +131,12 @@ def _write_historical(
     if not todo and _new_entities(rows, dims, completed, options):
         todo = [Slice(len(state.slices), planned=False)]
     for part in todo:
-        shaped = shape_history(within(rows, part), dims, options)
-        if completed is not None and completed.rows:
+        mine = within(rows, part)
+        if by_entity and part.planned:
+            # All rows of its entities, and of no others: none of them is complete yet.
+            mine = target.staged(rows, state.run, part.slice)
+        shaped = shape_history(mine, dims, options)
+        if completed is not None and completed.rows and not (by_entity and part.planned):
             shaped = lookup_join(shaped, completed, "entity_id", "left_anti", options)
         batch = Batch("history", state.run, part.slice)
         target.write_history(
@@ -120,6 +147,12 @@ def _write_historical(
         done = replace(part, done=True, rows=target.written(batch)[0])
         state = state.next(saved_ms=now()).with_slice(done)
         state = replace(state, migrated_rows=sum(s.rows for s in state.slices))
+        if by_entity:
+            state = replace(state, **_completed_counts(target, state))
+        dims.entities.release()
+        dims.keys.release()
+        if completed is not None:
+            completed.release()
         if part is not todo[-1]:
             log.save(state)
 
@@ -142,6 +175,12 @@ def _new_entities(
     return not lookup_join(known, completed, "entity_id", "left_anti", options).isEmpty()
 
 
+def _completed_counts(target: Target, state: Progress) -> dict[str, object]:
+    """Complete entities and the highest of them, after a slice."""
+    found = target.completed(state).agg(F.count("*").alias("n"), F.max("entity_id").alias("last")).first()
+    return {"completed_entities": found["n"], "last_entity_id": found["last"]}
+
+
 def _entity_counts(target: Target, state: Progress) -> dict[str, object]:
     """What the tables of a run tell about skipped and completed entities."""
     refused = target.refused(state.run).select("entity_id", "key", "ts")
@@ -283,6 +322,45 @@ def apply_live_batch(
     )
 
 
+def replay_rejected(source: SourceTables, target: Target, options: RunOptions) -> int:
+    """Take in rows that were rejected because their entity was unknown and is known now.
+
+    Of several versions of a rejected row the one that came last is taken, and none where the table
+    has the row already. They are a batch of their own, before any live batch that changes them later.
+    Returns how many rows came in; run again, none do. Not to be run beside a batch.
+    """
+    log = ProgressLog(target.spark, target.root)
+    state = log.find()
+    if state is None:
+        return 0
+    check_settings(state, options)
+    # Keys were rejected as text; those of a source with integer keys are ids.
+    if not isinstance(source.history().schema["key"].dataType, T.StringType):
+        options = options.override(hybrid_keys=True)
+    dims = load_dimensions(source, keep=True)
+    try:
+        refused = target.refusals().filter(F.col("reason") == UNKNOWN_ENTITY)
+        ids = dims.entities.selecting("entity_id")
+        known = lookup_join(refused, ids, "entity_id", "left_semi", options)
+        last = F.max_by(F.struct(*VALUE_COLUMNS), write_sequence()).alias("_row")
+        series = ["entity_id", "key", "ts"]
+        rows = known.groupBy(*series).agg(last).select(*series, "_row.*").persist(StorageLevel.DISK_ONLY)
+        touched = Dimension.measure(rows.select("entity_id").distinct())
+        if not touched.rows:
+            return 0
+        shaped = shape_history(rows, dims, options)
+        # Of the history, the rows of these entities only.
+        there = lookup_join(target.history(), touched, "entity_id", "left_semi", options)
+        missing = shaped.join(there.select(*HISTORY_KEY), HISTORY_KEY, "left_anti")
+        batch = Batch(REPLAY, state.run, target.next_batch(REPLAY))
+        target.write_replay(missing, rows, batch, options.partitioning)
+        rows.unpersist()
+        touched.release()
+        return target.written(batch)[0]
+    finally:
+        dims.release()
+
+
 def poll_live(
     source: SourceTables,
     target: Target,

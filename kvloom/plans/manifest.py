@@ -27,7 +27,7 @@ _ENTRY += [(name, _LONG) for name in ("bucket", "rows", "low", "high")]
 _WRITTEN = T.StructType([T.StructField(*f) for f in [*_ENTRY, *[(f"of_{n}", t) for n, t in _BATCH]]])
 _STORED = T.StructType([*_WRITTEN, *[T.StructField(*f) for f in _BATCH]])
 
-LIVE, HISTORICAL, COMPACTED = "live", "history", "compacted"
+LIVE, HISTORICAL, COMPACTED, REPLAY = "live", "history", "compacted", "replay"
 
 
 @dataclass(frozen=True)
@@ -113,7 +113,8 @@ class Overlap:
 def overlaps(entries: list[Entry]) -> list[Overlap]:
     """The directories that more than one write may have the same rows in.
 
-    The batches of one historical run share no key. So a directory needs no merging unless a live
+    The batches of one historical run share no key, and what was replayed shares none with what was
+    there before it. So a directory needs no merging unless a live
     batch has rows in it, or a second historical run, or something besides a compacted batch.
     """
     by_directory: dict[tuple, list[Entry]] = defaultdict(list)

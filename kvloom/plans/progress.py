@@ -44,6 +44,8 @@ SCHEMA = T.StructType(
         T.StructField("partitioning", T.StringType()),
         T.StructField("cast_strings", T.BooleanType()),
         T.StructField("checkpoint", T.StringType()),
+        T.StructField("slice_by", T.StringType()),
+        T.StructField("staged", T.BooleanType()),
         T.StructField("slices", T.ArrayType(_SLICE)),
     ]
 )
@@ -59,7 +61,8 @@ _STORED = T.StructType(
 
 @dataclass(frozen=True)
 class Slice:
-    """One ts range of the historical phase, ``low <= ts < high``; None is open.
+    """One part of the historical phase: a range of ts, ``low <= ts < high``, where None is open,
+    or, of a run that slices by entity, all rows of the entities whose hash has its number.
 
     A slice that is not planned was added for entities that came later. ``rows``
     is the number of history rows found in the table once the slice is done.
@@ -101,6 +104,9 @@ class Progress:
     partitioning: str = "MONTHS"
     cast_strings: bool = False
     checkpoint: str | None = None
+    slice_by: str = "ts"
+    # The rows of a run that slices by entity are in its staging table.
+    staged: bool = False
     slices: tuple[Slice, ...] = ()
 
     def slices_left(self) -> bool:
@@ -149,6 +155,8 @@ class ProgressLog:
         if newest is None:
             return None
         values = {f.name: newest[f.name] for f in fields(Progress)}
+        # Records of earlier versions have no such columns.
+        values["slice_by"], values["staged"] = values["slice_by"] or "ts", bool(values["staged"])
         values["slices"] = tuple(Slice(**s.asDict()) for s in newest["slices"] or ())
         return Progress(**values)
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kvloom.functions import directory_bucket
+from kvloom.functions import directory_bucket, lookup_uuid
 from kvloom.model import (
     HISTORY_COLUMNS,
     HISTORY_KEY,
@@ -35,8 +35,10 @@ from kvloom.model import (
     LATEST_COLUMNS,
     LATEST_KEY,
     LATEST_SCHEMA,
+    UNKNOWN_ENTITY,
     RunOptions,
 )
+from kvloom.operators.aggregates import latest_from_history
 from kvloom.operators.enrich import index_rows
 from kvloom.plans import manifest as m
 from kvloom.plans.extent import Extent
@@ -46,6 +48,9 @@ from kvloom.plans.progress import Progress, ProgressLog, Slice
 HISTORY = "ts_kv_cf"
 INDEX = "ts_kv_partitions_cf"
 LATEST = "ts_kv_latest_cf"
+REPLAYED = "replayed"
+STAGING = "staging"
+SLICE = "_slice"
 
 _BATCH_FIELDS = [
     T.StructField("stage", T.StringType()),
@@ -63,6 +68,8 @@ _STORED = {
     HISTORY: T.StructType([*HISTORY_SCHEMA, _REASON, *_BATCH_FIELDS, _OUTCOME, _BUCKET]),
     INDEX: T.StructType([*INDEX_SCHEMA, *_BATCH_FIELDS]),
     LATEST: T.StructType([*LATEST_SCHEMA, *_BATCH_FIELDS]),
+    # Rejected rows that have come in after all, by the key that they were rejected with.
+    REPLAYED: T.StructType([*[HISTORY_SCHEMA[c] for c in ("entity_id", "key", "ts")], *_BATCH_FIELDS]),
 }
 _HISTORY_DIRECTORIES = ["outcome", "entity_type", "bucket"]
 # Tasks that a directory is spread over without adaptive execution.
@@ -92,6 +99,8 @@ class Target:
     def init_schema(self) -> DataFrame:
         """Create the tables that do not exist yet; report tables and columns."""
         for table, schema in _STORED.items():
+            if table == REPLAYED:
+                continue
             # Without rows this leaves the bare folder; an existing one stays.
             directories = _BATCH + (["outcome", "entity_type", "bucket"] if table == HISTORY else [])
             empty = self.spark.createDataFrame([], schema)
@@ -181,6 +190,33 @@ class Target:
         rows.write.mode("overwrite").parquet(f"{self.root}/{table}/{batch.path()}")
         self.manifest.commit(table, batch, [Entry(table, batch)], instead)
 
+    # -- staging -------------------------------------------------------------
+
+    def stage(self, rows: DataFrame, run: int, slices: int) -> None:
+        """Keep source rows by hash ranges of their entity: one shuffle, then each range is read alone.
+
+        Spellings of one id are in one range. A range with a hot entity is written by several tasks,
+        as many as its measured size asks for.
+        """
+        entity = lookup_uuid(F.col("entity_id").cast("string"))
+        placed = rows.withColumn(SLICE, F.pmod(F.xxhash64(entity), F.lit(slices)).cast("int"))
+        if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+            gathered = placed.hint("rebalance", SLICE)
+        else:
+            spread = F.pmod(F.xxhash64("entity_id", "key", "ts"), F.lit(_SPREAD))
+            gathered = placed.repartition(SLICE, spread)
+        gathered.sortWithinPartitions(SLICE, "entity_id", "key", "ts").write.mode("overwrite").partitionBy(
+            SLICE
+        ).parquet(f"{self.root}/{STAGING}/run={run}")
+
+    def staged(self, rows: DataFrame, run: int, part: int | None = None) -> DataFrame:
+        """Staged rows of all slices or of one, in the columns of ``rows``."""
+        schema = T.StructType([*rows.schema, T.StructField(SLICE, T.IntegerType())])
+        kept = self.spark.read.schema(schema).parquet(f"{self.root}/{STAGING}/run={run}")
+        if part is not None:
+            kept = kept.filter(F.col(SLICE) == part)
+        return kept.drop(SLICE)
+
     # -- stored rows ---------------------------------------------------------
 
     def stored(self, table: str, path: str = "") -> DataFrame:
@@ -208,25 +244,49 @@ class Target:
         """Rejected rows of all batches, as they came.
 
         A row that later batches meet again is there once; rows that are equal
-        within a batch, as those without an id may be, all count.
+        within a batch, as those without an id may be, all count. Rows that
+        were replayed are left out.
         """
-        rows = self.stored(HISTORY).filter(F.col("outcome") == "rejected")
+        rows = self.refusals()
         columns = [c for c in HISTORY_COLUMNS if c not in ("entity_type", "partition")]
         times = rows.groupBy(*columns, "reason", *_BATCH).agg(F.count("*").alias("_times"))
         most = times.groupBy(*columns, "reason").agg(F.max("_times").cast("int").alias("_times"))
         repeated = F.explode(F.array_repeat(F.lit(0), F.col("_times"))).alias("_copy")
         return most.select(*columns, "reason", repeated).drop("_copy")
 
+    def refusals(self) -> DataFrame:
+        """Rejected rows with the batch that met them, but for those replayed."""
+        rows = self.stored(HISTORY).filter(F.col("outcome") == "rejected")
+        closed = self.manifest.entries(REPLAYED)
+        if not closed:
+            return rows
+        replayed = self.committed(REPLAYED, closed).select("entity_id", "key", "ts").distinct()
+        known = F.col("reason") == UNKNOWN_ENTITY
+        left = rows.filter(known).join(replayed, ["entity_id", "key", "ts"], "left_anti")
+        return rows.filter(~known).unionByName(left)
+
+    def write_replay(self, shaped: DataFrame, closed: DataFrame, batch: Batch, strategy: str) -> None:
+        """Store rows that were rejected before, and close their rejects.
+
+        The rows count when everything else about them is stored, and their rejects are closed last:
+        after a stop at any point, replaying again completes it.
+        """
+        self._write_directories(shaped, batch, strategy, 1)
+        self.write_index(batch)
+        self.write_latest(latest_from_history(self.written_history(batch)), batch)
+        self.manifest.commit(HISTORY, batch, self._directories(batch))
+        self._write_whole(REPLAYED, closed.select("entity_id", "key", "ts"), batch)
+
     def completed(self, state: Progress) -> DataFrame:
         """Entities all of whose rows a historical run has written.
 
-        Slices cut by ts, so an entity is complete once all planned slices are.
-        The entities of a later slice, cut out for entities that came after,
-        are complete with that slice.
+        Where slices cut by ts, an entity is complete once all planned slices
+        are. Where they cut by entity, those of a slice are complete with it,
+        as are those of a later slice, cut out for entities that came after.
         """
         done = [s.slice for s in state.slices if s.done]
         rows = self.stored(INDEX, f"stage=history/run={state.run}")
-        if state.slices_left():
+        if state.slice_by == "ts" and state.slices_left():
             rows = rows.filter(F.lit(False))
         return rows.filter(F.col("batch").isin(done)).select("entity_id").distinct()
 
@@ -351,7 +411,7 @@ class Target:
             if not replaced:
                 continue
             rewritten += len(crowded)
-            batch = Batch(m.COMPACTED, 1, self._next_compaction(table))
+            batch = Batch(m.COMPACTED, 1, self.next_batch(m.COMPACTED, table))
             if table == HISTORY:
                 current = self._current(replaced).withColumn("reason", F.lit(None).cast("string"))
                 rows = max(
@@ -367,9 +427,9 @@ class Target:
                 self._write_whole(LATEST, self.latest(), batch, replaced)
         return rewritten
 
-    def _next_compaction(self, table: str) -> int:
-        """A number that no compaction of the table has, not even one that was stopped."""
-        rows = self.stored(table, "").filter(F.col("stage") == m.COMPACTED)
+    def next_batch(self, stage: str, table: str = HISTORY) -> int:
+        """A number that no batch of the stage has, not even one that was stopped."""
+        rows = self.stored(table).filter(F.col("stage") == stage)
         return (rows.agg(F.max("batch")).first()[0] or 0) + 1
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,11 +21,12 @@ from kvloom.operators import aggregates as agg
 from kvloom.operators import enrich
 from kvloom.plans import jobs
 from kvloom.plans.progress import ProgressLog, status_report
-from kvloom.plans.target import Batch, Target
+from kvloom.plans.target import HISTORY, INDEX, LATEST, Batch, Target
 from kvloom.scratch import scratch_folder
 from kvloom.sources import Dimension, entity_map, key_map, load_dimensions
 from kvloom.sources import queries as sq
 from kvloom.streaming.cursor import cursor_stream
+from kvloom.streaming.latest import ROCKS_DB, start_latest
 from kvloom.streaming.live import start_live
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,6 +170,30 @@ def live_from_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.history()
 
 
+def stream_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest rows after the start watermark, kept as state; the later landing comes first."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS_DB)
+    source = _source(spark, sf_dir)
+    folder = scratch_folder(spark, "state")
+    target = Target(spark, f"{folder}/target")
+    rows = source.history()
+    late = F.col("ts") > fx.SECOND_LANDING
+    for part in (rows.filter(late), rows.filter(~late)):
+        part.write.mode("append").parquet(f"{folder}/landing")
+        start_latest(
+            session.readStream.schema(rows.schema).parquet(f"{folder}/landing"),
+            source,
+            target,
+            _OPTIONS,
+            f"{folder}/checkpoint",
+            watermark=fx.START_WATERMARK,
+            available_now=True,
+            now_ms=fx.AS_OF,
+        ).awaitTermination()
+    return target.latest()
+
+
 def _marked(rows: DataFrame, which, mark: str = "!") -> DataFrame:
     """The rows with other values than before where the condition holds."""
     newer = F.concat(F.coalesce("str_v", F.lit("")), F.lit(mark))
@@ -266,6 +292,49 @@ def resume_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.written_history(Batch("history", state.run, state.slices[-1].slice))
 
 
+def _replayed_rejects(read: Callable) -> Query:
+    """A run without the asset table, then its rejects again, twice, when the assets are there."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        target = Target(spark, scratch_folder(spark, "rejects"))
+        jobs.run_historical(_source(spark, sf_dir, "asset"), target, _OPTIONS)
+        for _ in range(2):
+            jobs.replay_rejected(_source(spark, sf_dir), target, _OPTIONS)
+        return read(target)
+
+    return query
+
+
+class _Stopping(Target):
+    """A target at which a run stops in the middle of its slices."""
+
+    def write_index(self, batch: Batch) -> None:
+        if batch.batch == 2:
+            raise InterruptedError
+        super().write_index(batch)
+
+
+def resume_by_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run sliced by entity that stops in its third slice and goes on from what it staged."""
+    folder = scratch_folder(spark, "by_entity")
+    source = _source(spark, sf_dir)
+    options = _OPTIONS.override(slices=4, slice_by="entity")
+    try:
+        jobs.run_historical(source, _Stopping(spark, folder), options)
+    except InterruptedError:
+        # The source has no rows any more: what follows is read from the staging table.
+        empty = source.replacing(ts_kv=source.history().limit(0))
+        jobs.run_historical(empty, Target(spark, folder), options, resume=True)
+    return Target(spark, folder).history()
+
+
+def key_names_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of text keys, some of which are ids."""
+    source = _source(spark, sf_dir)
+    rows = fx.with_text_keys(source.history())
+    return enrich.with_key_names(rows, load_dimensions(source), _OPTIONS)
+
+
 def _target_columns(target: Target) -> DataFrame:
     """How many rows of ``ts_kv_cf`` have a value, column by column."""
     filled = target.history().agg(*[F.count(c).alias(c) for c in HISTORY_COLUMNS])
@@ -274,6 +343,19 @@ def _target_columns(target: Target) -> DataFrame:
     )
 
 
+def target_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables and columns of the target, with the rows that a job left in each table."""
+    target = Target(spark, scratch_folder(spark, "schema"))
+    report = target.init_schema()
+    jobs.run_historical(_source(spark, sf_dir), target, _OPTIONS)
+    views = {HISTORY: target.history(), INDEX: target.partition_index(), LATEST: target.latest()}
+    counts = [
+        rows.agg(F.lit(table).alias("table_name"), F.count("*").alias("stored_rows"))
+        for table, rows in views.items()
+    ]
+    return report.join(reduce(DataFrame.union, counts), "table_name")
+
+
 def registered() -> dict[str, Query]:
     entity = fx.SAMPLE_ENTITY
     rows = fx.ts_kv
@@ -307,6 +389,13 @@ def registered() -> dict[str, Query]:
         "changed_page": lambda s, d: sq.changed_page(
             rows(s, d), fx.START_WATERMARK, _OPTIONS, after=(_MIDDLE + 500_000_000, entity, 2)
         ),
+        # Page sizes that cut at every size of the test tables.
+        "changed_page_cut": lambda s, d: sq.changed_page(
+            rows(s, d), fx.START_WATERMARK, _OPTIONS.override(batch_size=100), after=(_MIDDLE, entity, 2)
+        ),
+        "entity_page_cut": lambda s, d: sq.entity_page(
+            rows(s, d), entity, _OPTIONS.override(batch_size=20), after=(1, _MIDDLE)
+        ),
         "entities_after": lambda s, d: sq.entities_after(rows(s, d), entity),
         "latest_for_entities": latest_for_entities,
         **{f"bucket_{s.lower()}": _bucket(s) for s in STRATEGIES},
@@ -316,6 +405,7 @@ def registered() -> dict[str, Query]:
             lambda r, dims: enrich.with_key_names(r, dims, _OPTIONS)
         ),
         "key_names_raw": key_names_raw,
+        "key_names_hybrid": key_names_hybrid,
         "canonical_ids": canonical_ids,
         "history_rows": _history_with(),
         "history_rows_large_lookup": _history_with(broadcast_max_rows=0, broadcast_max_bytes=0),
@@ -361,6 +451,7 @@ def registered() -> dict[str, Query]:
         "live_out_of_order": _live(Target.history, newer_first=True),
         "live_out_of_order_latest": _live(Target.latest, newer_first=True),
         "live_from_cursor": live_from_cursor,
+        "stream_latest_state": stream_latest_state,
         "live_from_zero": _live(Target.history, watermark=0),
         "upsert_replay": upsert_replay,
         "late_upsert_history": late_upsert_history,
@@ -369,7 +460,12 @@ def registered() -> dict[str, Query]:
         "compacted_levels_index": _in_levels(Target.partition_index),
         "compacted_history": _compacted(Target.history),
         "compacted_rejected": _compacted(Target.rejected),
+        "rejected_replay": _replayed_rejects(Target.history),
+        "rejected_replay_latest": _replayed_rejects(Target.latest),
+        "rejected_replay_left": _replayed_rejects(Target.rejected),
         "resume_history": resume_history,
+        "resume_by_entity": resume_by_entity,
+        "target_schema": target_schema,
         "target_columns": _job(_target_columns),
         "status_report": report_of_a_job,
     }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -34,6 +34,17 @@ class Dimension:
     df: DataFrame
     rows: int
     bytes: int
+    # What joins with this table hold on the executors until it is released.
+    held: list[DataFrame] = field(default_factory=list, compare=False, repr=False)
+
+    def selecting(self, *columns) -> Dimension:
+        """The same rows with these columns; what is held for it is held for this table."""
+        return Dimension(self.df.select(*columns), self.rows, self.bytes, self.held)
+
+    def release(self) -> None:
+        """Give up what joins hold; for when the rows that they made are written."""
+        while self.held:
+            self.held.pop().unpersist()
 
     @staticmethod
     def measure(df: DataFrame) -> Dimension:
@@ -86,8 +97,9 @@ class Dimensions:
     shared_names: Dimension
 
     def release(self) -> None:
-        """Give up what ``load_dimensions(keep=True)`` holds."""
+        """Give up what ``load_dimensions(keep=True)`` and joins hold."""
         for part in (self.entities, self.keys, self.shared_names):
+            part.release()
             part.df.unpersist()
 
 

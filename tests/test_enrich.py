@@ -34,10 +34,45 @@ def test_text_keys(spark):
 
 def test_text_keys_do_not_use_a_dictionary(spark):
     src = source(spark, [], ts_kv=ts_kv(spark, [row(eid(1), "1", TS, long_v=1)], True))
-    got = enrich.history_rows(src.history(), load_dimensions(src), OPTIONS)
+    names = OPTIONS.override(hybrid_keys=False)
+    got = enrich.history_rows(src.history(), load_dimensions(src), names)
     assert as_set(got, "key") == {("1",)}
 
 
+def test_hybrid_keys_are_resolved_one_by_one(spark):
+    """Text that reads like an id of the dictionary gets its name, other text stays as it is."""
+    given = {
+        "1": "temperature", "01": "temperature", " +2\n": "humidity", "temperature": "temperature",
+        "7": "7", "-1": "-1", "1.0": "1.0", "1e0": "1e0", "99999999999": "99999999999", "": "",
+        "１": "１", "\xa01": "\xa01", None: None,
+    }
+    rows = [row(eid(1), key, TS + n, long_v=n) for n, key in enumerate(given)]
+    src = source(spark, [], ts_kv=ts_kv(spark, rows, True), ts_kv_latest=ts_kv(spark, rows, True))
+    dims = load_dimensions(src)
+    want = {(n, name) for n, name in enumerate(given.values())}
+    for options in (OPTIONS, SHUFFLE):
+        assert as_set(enrich.history_rows(src.history(), dims, options), "long_v", "key") == want
+        assert as_set(enrich.latest_rows(src.latest(), dims, options), "long_v", "key") == want
+
+
+def test_spellings_of_one_key_keep_the_row_that_came_by_id(spark):
+    rows = [
+        row(eid(1), "temperature", TS, long_v=1),
+        row(eid(1), "1", TS, long_v=2),
+        row(eid(1), "humidity", TS, long_v=3),
+        row(eid(1), "2", TS + 1, long_v=4),
+        row(eid(2), "temperature", TS, long_v=5),
+        row(eid(99), "1", TS, long_v=6),
+    ]
+    src = source(spark, [], ts_kv=ts_kv(spark, rows, True))
+    dims = load_dimensions(src)
+    for options in (OPTIONS, SHUFFLE):
+        got = enrich.history_rows(src.history(), dims, options)
+        assert sorted(r["long_v"] for r in got.collect()) == [2, 3, 4, 5]
+    rejected = enrich.rejected_rows(src.history(), dims, OPTIONS)
+    assert as_set(rejected, "entity_id", "key") == {(eid(99), "1")}
+
+
 def test_shared_name_keeps_highest_key_id(spark):
     keys = [(1, "t"), (2, "t"), (7, "5")]
     rows = [

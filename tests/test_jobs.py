@@ -102,6 +102,85 @@ def test_resume_after_a_failure(spark, target, monkeypatch):
     assert target.stored(HISTORY).filter("outcome = 'accepted'").count() == 80
 
 
+def test_entities_are_complete_slice_by_slice(spark, target, monkeypatch):
+    everyone = rows_of(*range(1, 10), days=range(6)) + rows_of(99, days=[1, 2])
+    # One id in two spellings, and one that is none.
+    everyone += [row(eid(3).upper(), 1, TS + 77 * DAY, long_v=77), row("no id", 1, TS)]
+    src = source(spark, everyone)
+    options = OPTIONS.override(slices=4, slice_by="entity")
+    write_index = Target.write_index
+
+    def failing(self, batch):
+        if batch.batch == 2:
+            raise RuntimeError("lost")
+        write_index(self, batch)
+
+    monkeypatch.setattr(Target, "write_index", failing)
+    with pytest.raises(RuntimeError):
+        jobs.run_historical(src, target, options, now_ms=TS)
+    stopped = state_of(target)
+    assert stopped.staged and [s.done for s in stopped.slices] == [True, True, False, False]
+    complete = as_set(target.completed(stopped))
+    assert 0 < len(complete) == stopped.completed_entities < 9
+    # All rows of a complete entity are there, though the run is in its middle.
+    written = target.history().groupBy("entity_id").count().collect()
+    assert {(r["entity_id"],) for r in written if r["count"] >= 6} >= complete
+
+    monkeypatch.setattr(Target, "write_index", write_index)
+    nothing = src.replacing(ts_kv=ts_kv(spark, []))
+    state = jobs.run_historical(nothing, target, options, resume=True)
+    assert (state.migrated_rows, state.completed_entities, state.last_entity_id) == (55, 9, eid(9))
+    assert (state.total_rows, state.skipped_rows, state.skipped_entities) == (58, 3, 2)
+    dims = load_dimensions(src)
+    assert as_set(target.history()) == as_set(jobs.history_rows(src.history(), dims, OPTIONS))
+    assert target.history().filter(f"entity_id = '{eid(3)}'").count() == 7
+
+    # Entities that come later are taken by a slice of their own, from the source.
+    grown = source(spark, everyone, device=spark.createDataFrame([(eid(n),) for n in (*range(1, 10), 99)], "id string"))
+    state = jobs.run_historical(grown, target, options, resume=True)
+    assert (state.migrated_rows, state.completed_entities) == (57, 10)
+    with pytest.raises(ValueError):
+        jobs.run_historical(src, target, OPTIONS, resume=True)
+
+
+def test_rejects_are_replayed_once_their_entity_is_known(spark, target, monkeypatch):
+    given = rows_of(1, days=range(3)) + rows_of(20, 21, days=range(3)) + [row("no id", 1, TS), row(eid(20), 9, TS)]
+    src = source(spark, given)
+    jobs.run_historical(src, target, OPTIONS)
+    run = jobs.start_live_run(target, OPTIONS, None, watermark=0).run
+    # The same rejects came again with other values.
+    newer = source(spark, [row(eid(20), 1, TS, str_v="newer"), row(eid(20), 2, TS + 9 * DAY, str_v="late")])
+    jobs.apply_live_batch(newer.history(), src, target, OPTIONS, run, 0)
+    assert jobs.replay_rejected(src, target, OPTIONS) == 0
+    grown = src.replacing(device=spark.createDataFrame([(eid(n),) for n in (1, 20)], "id string"))
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    for step in ("write_index", "write_latest", "_write_whole"):
+        with monkeypatch.context() as patch:
+            patch.setattr(Target, step, stop)
+            with pytest.raises(RuntimeError):
+                jobs.replay_rejected(grown, target, OPTIONS)
+        assert target.history().count() == 3
+    assert jobs.replay_rejected(grown, target, OPTIONS) == 5
+    assert jobs.replay_rejected(grown, target, OPTIONS) == 0
+    mine = target.history().filter(f"entity_id = '{eid(20)}'")
+    assert as_set(mine, "key", "ts", "str_v", "long_v") == {
+        ("temperature", TS, "newer", None), ("humidity", TS + DAY, None, 1), ("temperature", TS + 2 * DAY, None, 2),
+        ("humidity", TS + 9 * DAY, "late", None), ("9", TS, None, None),
+    }
+    assert as_set(target.rejected(), "entity_id") == {(eid(21),), ("no id",)} and target.rejected().count() == 4
+    latest = as_set(target.latest().filter(f"entity_id = '{eid(20)}'"), "key", "ts")
+    assert latest == {("temperature", TS + 2 * DAY), ("humidity", TS + 9 * DAY), ("9", TS)}
+    assert target.partition_index().filter(f"entity_id = '{eid(20)}'").count() == 3
+    # Live rows that come later go before what was replayed.
+    again = source(spark, [row(eid(20), 1, TS, str_v="newest")])
+    jobs.apply_live_batch(again.history(), grown, target, OPTIONS, run, 1)
+    jobs.apply_live_batch(again.history(), grown, target, OPTIONS, run, 1)
+    assert "newest" in {r["str_v"] for r in target.history().collect()}
+
+
 def test_resume_of_a_complete_run_takes_new_entities_only(spark, target):
     unknown = rows_of(99, days=[1, 2])
     jobs.run_historical(source(spark, rows_of(1) + unknown), target, OPTIONS)

@@ -84,3 +84,20 @@ def test_keys_present_in_few_rows_reduce_the_lookup(spark, lookup):
     assert "SortMergeJoin" not in plan(joined) and "ShuffledHashJoin" not in plan(joined)
     assert as_set(joined, "v", "name") == {("a", "n2"), ("b", "hot"), ("c", "hot"), ("d", None)}
     assert as_set(lookup_join(rows, lookup, "k", "left_anti", options), "v") == {("d",)}
+
+
+def test_what_a_join_holds_is_released_with_the_lookup_table(spark):
+    def held():
+        return set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+
+    rows = spark.range(400).selectExpr("cast(id % 10 as int) AS k", "id AS v")
+    large = Dimension.measure(spark.range(5000).selectExpr("cast(id as int) AS k", "id AS name"))
+    before = held()
+    for _ in range(3):
+        joined = lookup_join(rows, large, "k", "inner", RunOptions(broadcast_max_rows=100))
+        assert "BroadcastHashJoin" in plan(joined) and joined.count() == 400
+    assert len(held() - before) == 1  # one plan, kept once
+    large.release()
+    assert held() <= before and large.held == []
+    lookup_join(rows, large, "k", "inner", RunOptions(broadcast_max_rows=5)).count()
+    assert held() <= before and large.held == []

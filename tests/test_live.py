@@ -3,6 +3,7 @@ from helpers import as_set, eid, row, source, ts_kv
 from kvloom.model import RunOptions, source_schema
 from kvloom.plans import jobs
 from kvloom.plans.target import HISTORY, Target
+from kvloom.streaming.latest import ROCKS_DB, start_latest
 from kvloom.streaming.live import start_live
 
 OPTIONS = RunOptions()
@@ -75,3 +76,38 @@ def test_entities_created_later_are_seen(spark, tmp_path):
     land(spark, folder, [row(eid(2), 1, TS + 2)])
     run(spark, folder, target, src, checkpoint)
     assert as_set(target.history(), "entity_id", "ts") == {(eid(1), TS + 1), (eid(2), TS + 2)}
+
+
+def test_latest_state_outlives_batches_and_restarts(spark, tmp_path):
+    session = spark.newSession()
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS_DB)
+    target, src = Target(spark, str(tmp_path / "target")), source(spark, [])
+    folder, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
+
+    def landed(*rows):
+        land(spark, folder, rows)
+        stream = session.readStream.schema(source_schema()).parquet(folder)
+        start_latest(stream, src, target, OPTIONS, checkpoint, TS, available_now=True).awaitTermination()
+        return as_set(target.latest(), "entity_id", "key", "ts", "long_v")
+
+    one, two = (eid(1), "temperature"), (eid(2), "humidity")
+    assert landed(row(eid(1), 1, TS + 5, long_v=5), row(eid(1), 1, TS, long_v=0), row(eid(9), 1, TS - 1)) == {
+        (*one, TS + 5, 5)
+    }
+    # Late rows change nothing; of equal ts the row that came last stays; unknown entities stay out.
+    assert landed(row(eid(1), 1, TS + 3, long_v=3), row(eid(2), 2, TS + 1, long_v=1), row(eid(77), 1, TS + 9)) == {
+        (*one, TS + 5, 5),
+        (*two, TS + 1, 1),
+    }
+    assert landed(row(eid(1), 1, TS + 5, long_v=55), row(eid(2), 2, TS + 8, long_v=8)) == {
+        (*one, TS + 5, 55),
+        (*two, TS + 8, 8),
+    }
+    state = [p for p in (tmp_path / "checkpoint" / "state").rglob("*.zip")]
+    assert state, "RocksDB writes its snapshots as zip files"
+    # What the table has could be lost: the state alone brings the newest row back with the next one.
+    other = Target(spark, str(tmp_path / "other"))
+    land(spark, folder, [row(eid(1), 1, TS + 1, long_v=1)])
+    stream = session.readStream.schema(source_schema()).parquet(folder)
+    start_latest(stream, src, other, OPTIONS, checkpoint, TS, available_now=True).awaitTermination()
+    assert as_set(other.latest(), "entity_id", "ts", "long_v") == {(eid(1), TS + 5, 55)}
