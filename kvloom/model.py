@@ -150,6 +150,10 @@ class RunOptions:
     slice_by: str = "ts"
     # Rows that one file of the history table should have, roughly.
     rows_per_file: int = 5_000_000
+    # Entities that one file is expected to have, and bytes of a row group: for
+    # the bloom filters that pages of an entity are looked up by.
+    entities_per_file: int = 100_000
+    row_group_bytes: int = 32 << 20
     # Live micro-batches re-read this much behind the watermark.
     overlap_ms: int = 0
     # Streamed rows at or below the start watermark are kept as LATE rejects.
@@ -159,7 +163,7 @@ class RunOptions:
         check_strategy(self.partitioning)
         if self.slice_by not in ("ts", "entity"):
             raise ValueError("slice_by must be ts or entity")
-        for name in ("batch_size", "workers", "slices", "rows_per_file"):
+        for name in ("batch_size", "workers", "slices", "rows_per_file", "entities_per_file", "row_group_bytes"):
             if getattr(self, name) < 1:
                 raise ValueError(f"{name} must be at least 1")
 

@@ -204,7 +204,26 @@ def oracle_queries() -> dict[str, str]:
     live = f"ts > {START_WATERMARK}"
     refused = _with(_refused())
     pending = "entity_id NOT IN (SELECT entity_id FROM completed)"
+    progress = _with(
+        "SELECT CAST(count(*) AS BIGINT) AS total_entities,"
+        f" CAST(count(*) FILTER ({pending}) AS BIGINT) AS pending_entities,"
+        f" CAST(count(*) FILTER (NOT {pending}) AS BIGINT) AS done_entities"
+        " FROM (SELECT DISTINCT entity_id FROM ts_kv)"
+    )
+    page = _with(
+        f"SELECT {_SOURCE} FROM ts_kv WHERE entity_id = '{entity}'"
+        f" AND (key, ts) > (2, {middle}) ORDER BY key, ts LIMIT {_PAGE}"
+    )
     return {
+        "entity_progress_bitmaps": progress,
+        "stored_entity_page": page,
+        "stored_entity_key_page": _with(
+            f"SELECT {_SOURCE} FROM ts_kv WHERE entity_id = '{entity}' AND key = 1"
+            f" AND ts > {middle} ORDER BY ts LIMIT {_PAGE}"
+        ),
+        "stored_entities_after": _with(
+            f"SELECT DISTINCT entity_id FROM ts_kv WHERE entity_id > '{entity}' ORDER BY entity_id"
+        ),
         "entity_map": _with("SELECT entity_id, entity_type FROM entity_map"),
         "key_map": _with("SELECT key_id, key FROM key_map"),
         "key_map_fallback": _with("SELECT key_id, key FROM key_map"),

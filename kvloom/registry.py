@@ -18,13 +18,14 @@ from kvloom.functions import (
 )
 from kvloom.model import HISTORY_COLUMNS, SOURCE_COLUMNS, STRATEGIES, RunOptions
 from kvloom.operators import aggregates as agg
-from kvloom.operators import enrich
+from kvloom.operators import bitmaps, enrich
 from kvloom.plans import jobs
 from kvloom.plans.progress import ProgressLog, status_report
 from kvloom.plans.target import HISTORY, INDEX, LATEST, Batch, Target
 from kvloom.scratch import scratch_folder
-from kvloom.sources import Dimension, entity_map, key_map, load_dimensions
+from kvloom.sources import Dimension, ParquetSource, entity_map, key_map, load_dimensions
 from kvloom.sources import queries as sq
+from kvloom.sources.clustered import store_clustered
 from kvloom.streaming.cursor import cursor_stream
 from kvloom.streaming.latest import ROCKS_DB, start_latest
 from kvloom.streaming.live import start_live
@@ -100,6 +101,27 @@ def _on_completed(make: Callable) -> Query:
     return query
 
 
+def _stored_by_entity(read: Callable) -> Query:
+    """A query over the source rows when they are stored for access by entity."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = scratch_folder(spark, "clustered")
+        store_clustered(fx.ts_kv(spark, sf_dir), f"{folder}/ts_kv", _OPTIONS.override(rows_per_file=300))
+        return read(ParquetSource(spark, folder).history())
+
+    return query
+
+
+def entity_progress_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities of three slices of the completed rows, out of all entities of the source."""
+    rows = fx.ts_kv(spark, sf_dir)
+    ordinals = Dimension.measure(bitmaps.entity_ordinals(rows))
+    done = rows.join(fx.completed_entities(spark, sf_dir), "entity_id", "left_semi")
+    parts = [done.filter(F.pmod("ts", F.lit(3)) == n) for n in range(3)]
+    found = [bitmaps.slice_bitmaps(part, ordinals, _OPTIONS) for part in parts]
+    return bitmaps.progress_of(reduce(DataFrame.union, found), ordinals.rows)
+
+
 def _watermark(rows: DataFrame, dims) -> DataFrame:
     changed = sq.changed_since(rows, fx.START_WATERMARK)
     return agg.advance_watermark(changed, dims, _OPTIONS, fx.START_WATERMARK)
@@ -396,6 +418,13 @@ def registered() -> dict[str, Query]:
         "entity_page_cut": lambda s, d: sq.entity_page(
             rows(s, d), entity, _OPTIONS.override(batch_size=20), after=(1, _MIDDLE)
         ),
+        "stored_entity_page": _stored_by_entity(
+            lambda r: sq.entity_page(r, entity, _OPTIONS, after=(2, _MIDDLE))
+        ),
+        "stored_entity_key_page": _stored_by_entity(
+            lambda r: sq.entity_key_page(r, entity, 1, _OPTIONS, _MIDDLE)
+        ),
+        "stored_entities_after": _stored_by_entity(lambda r: sq.entities_after(r, entity)),
         "entities_after": lambda s, d: sq.entities_after(rows(s, d), entity),
         "latest_for_entities": latest_for_entities,
         **{f"bucket_{s.lower()}": _bucket(s) for s in STRATEGIES},
@@ -429,6 +458,7 @@ def registered() -> dict[str, Query]:
         ),
         "pending_entities": _on_completed(agg.pending_entities),
         "entity_progress": _on_completed(agg.entity_progress),
+        "entity_progress_bitmaps": entity_progress_bitmaps,
         "migrated_counts": _on_history(
             lambda r, dims: agg.migrated_counts(enrich.history_rows(r, dims, _OPTIONS))
         ),
