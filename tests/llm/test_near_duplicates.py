@@ -173,6 +173,59 @@ def test_links_that_the_descent_does_not_find(spark, monkeypatch):
     assert max(r.n_links for r in check_vectors(spark, rows)) > 0 and found
 
 
+def without_the_exact_pass(monkeypatch):
+    def refused(*_):
+        raise AssertionError("the audit should have proved the descent")
+
+    monkeypatch.setattr(vectors, "joined", refused)
+
+
+def test_the_descent_alone_finds_groups(spark, monkeypatch):
+    """Enough audited links, none missed: no comparison of all vectors follows."""
+    without_the_exact_pass(monkeypatch)
+    rnd = np.random.default_rng(5)
+    rows = []
+    for i in range(1500):
+        center = np.random.default_rng(i % 100).standard_normal(24)
+        rows.append((i, (center + 0.04 * rnd.standard_normal(24)).tolist(), None, None))
+    assert {r.n_links for r in check_vectors(spark, rows)} == {14}
+
+
+def test_saturated_lists_are_enlarged(spark, monkeypatch):
+    """Two groups whose lists are full of their own: links across come from lists outside them."""
+    without_the_exact_pass(monkeypatch)
+    monkeypatch.setattr(vectors, "EVERY", 1)
+    rows = []
+    for i in range(80):
+        v = np.zeros(83)
+        v[0], v[1 + i % 2], v[3 + i] = np.sqrt(0.955), np.sqrt(0.035), np.sqrt(0.01)
+        rows.append((i, v.tolist(), None, None))
+    found = check_vectors(spark, rows)
+    assert {(r.n_links, r.component_id) for r in found} == {(79, 0)}
+
+
+def test_an_audit_counts_links_and_misses(spark):
+    rows = [(i, np.random.default_rng(i // 3).standard_normal(8).astype("<f4").tobytes(), i % 2 == 0, i // 3 * 3) for i in range(60)]
+    rows[4] = (*rows[4][:3], 4)
+    nodes = spark.createDataFrame(rows, "id long, vec binary, query boolean, label long").repartition(4)
+    for part_bytes in (10**6, 200):
+        links, missed, edges = vectors.audit(nodes, "<f4", 8, 0.95, part_bytes)
+        # Query 4 lost both others, and nobody else asks among these three.
+        assert (links, missed) == (60, 2)
+        assert {tuple(sorted(e)) for e in edges.collect()} == {(3, 4)}
+
+
+def test_very_large_and_very_small_components(spark):
+    rows = []
+    for i in range(12):
+        center = np.random.default_rng(i % 4).standard_normal(6)
+        rows.append((i, (center * [1e200, 1e-200, 1.0][i % 3]).tolist(), None, None))
+    frame = spark.createDataFrame([(i, v) for i, v, *_ in rows], "vec_id long, embedding array<double>")
+    assert {(r.vec_id % 4, r.n_links, r.component_id) for r in near_vectors(frame).collect()} == {
+        (i, 2, i) for i in range(4)
+    }
+
+
 def test_forest_of_labels():
     forest = Forest(np.array([5, 9, 9, 1, 7, 3]))
     forest.join(np.array([0, 0, 3, 5]), np.array([1, 2, 4, 5]))
