@@ -15,14 +15,18 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kvloom.llm.bpe import slices
 from kvloom.llm.common import documents, id_remainder
 
-#: The field is fitted on at most so many labelled documents of at most so many characters.
+#: The field is fitted on at most so many labelled documents, no more of them than reach so many
+#: characters together; whole documents of any length are taken.
 SAMPLE_DOCS = 3_000
-SAMPLE_CHARS = 20_000
+SAMPLE_CHARS = 20_000_000
+#: Lines that a chain has in the fit; the lines of a longer document are several chains.
+CHAIN_LINES = 500
 #: Steps and rate of the fit, and the weight of the penalty on squared weights.
 STEPS, RATE, PENALTY = 250, 0.05, 1e-3
 _LOWER, _UPPER, _DIGIT, _SPACE, _STOP, _PUNCT, _SYMBOL, _LINE = range(8)
@@ -190,7 +194,29 @@ class LineField:
         return np.clip(np.where(total > 0, weighted / np.maximum(total, 1), self.prior), 0, 1)
 
 
-def fit_field(texts: list[str], labels: list[int]) -> LineField:
+def slopes(
+    x: np.ndarray, y: np.ndarray, owner: np.ndarray, share: np.ndarray, weights: np.ndarray, pair: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient of the conditional log-likelihood of labels `y`, each chain weighted by its share.
+
+    The share is the same for all lines of a chain; labels within a chain are equal.
+    """
+    later = np.concatenate([[False], owner[1:] == owner[:-1]])
+    seen = np.array([[(later & (y == 0)) @ share, 0], [0, (later & (y == 1)) @ share]])
+    good, both = chain_marginals(x @ weights, owner, pair)
+    return x.T @ ((y - good) * share), seen - np.tensordot(share, both, 1)
+
+
+def chains(owner: np.ndarray, most: int) -> np.ndarray:
+    """A number for each run of at most so many lines of one text; it ascends."""
+    if not len(owner):
+        return owner
+    first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+    place = np.arange(len(owner)) - np.repeat(first, np.diff(first, append=len(owner)))
+    return np.cumsum(place % most == 0)
+
+
+def fit_field(texts: list[str], labels: list[int], chain_lines: int = CHAIN_LINES) -> LineField:
     """Maximum conditional likelihood by gradient steps; every label sequence is constant."""
     owner, _, own = line_features(texts)
     label = np.array(labels, float)
@@ -199,18 +225,14 @@ def fit_field(texts: list[str], labels: list[int]) -> LineField:
     weights, pair = np.zeros(x.shape[1]), np.zeros((2, 2))
     if len(owner) and 0 < prior < 1:
         y = label[owner]
-        later = np.concatenate([[False], owner[1:] == owner[:-1]])
         # A text counts the same whatever its number of lines.
         share = 1 / np.bincount(owner)[owner] / len(np.unique(owner))
-        seen = np.array([[(later & (y == 0)) @ share, 0], [0, (later & (y == 1)) @ share]])
+        chain = chains(owner, chain_lines)
         state = [np.zeros(x.shape[1]), np.zeros(x.shape[1]), np.zeros((2, 2)), np.zeros((2, 2))]
         for step in range(1, STEPS + 1):
-            good, both = chain_marginals(x @ weights, owner, pair)
-            slopes = (
-                x.T @ ((y - good) * share) - PENALTY * weights,
-                seen - np.tensordot(share, both, 1) - PENALTY * pair,
-            )
-            for i, (value, slope) in enumerate(zip((weights, pair), slopes)):
+            up = slopes(x, y, chain, share, weights, pair)
+            for i, (value, rise) in enumerate(zip((weights, pair), up)):
+                slope = rise - PENALTY * value
                 state[2 * i] = 0.9 * state[2 * i] + 0.1 * slope
                 state[2 * i + 1] = 0.999 * state[2 * i + 1] + 0.001 * slope**2
                 mean, square = state[2 * i] / (1 - 0.9**step), state[2 * i + 1] / (1 - 0.999**step)
@@ -224,7 +246,9 @@ def train_quality(
     """Fit on the labelled documents of the lowest hashes of doc_id, within the two bounds.
 
     `labels` has doc_id and quality; rows without either are not used, of several labels of one
-    document the lowest counts. Without rows of both labels every quality is the prior.
+    document the lowest counts, of several texts the first in order. Without rows of both labels, or
+    without any, every quality is the prior. The last document within the bound of characters is
+    taken whole, so one very long document may go beyond it.
     """
     chosen = (
         labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
@@ -233,10 +257,17 @@ def train_quality(
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most_docs)
     )
-    rows = (
+    labelled = (
         docs.select("doc_id", "text")
-        .filter(F.length("text") <= most_chars)
+        .filter("text IS NOT NULL")
         .join(F.broadcast(chosen), "doc_id")  # at most `most_docs` rows
+    )
+    sizes = labelled.groupBy("doc_id").agg(F.max(F.length("text")).alias("size"))
+    upto = W.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(W.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("size").over(upto), F.lit(0))
+    within = sizes.withColumn("before", before).filter(F.col("before") < most_chars)
+    rows = (
+        labelled.join(F.broadcast(within.select("doc_id")), "doc_id")
         .groupBy("doc_id")
         .agg(F.min("text").alias("text"), F.min("quality").alias("quality"))
         .orderBy("doc_id")
@@ -249,7 +280,8 @@ def score_quality(docs: DataFrame, field: LineField, threshold: float = 0.3) ->
     """doc_id, score, predicted (1 if the score is at least the threshold).
 
     A null or blank text gets the share of good documents in the sample. Repeated rows and null
-    ids stay; other columns are not returned.
+    ids stay; other columns are not returned, whatever their names. The lines of a very long text are
+    one chain, in memory at once. No rows give no rows.
     """
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 import itertools
 import math
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -120,6 +121,89 @@ def test_line_features_do_not_depend_on_the_batch():
     assert (np.bincount(owner, minlength=5) == [3, 0, 0, 1, 1]).all()
 
 
+def plain_features(line):
+    """The features of a line, one after the other, from its characters."""
+    kinds = {c: unicodedata.category(c) for c in line}
+    n = lambda *starts: sum(kinds[c].startswith(starts) for c in line)
+    words = line.split()
+    stops = sum(c in ".,;:?'\"-" for c in line)
+    letters, upper, spaces = n("L", "M"), n("Lu", "Lt"), sum(c.isspace() for c in line)
+    digits, punctuation = n("N"), n("P") - sum(c in ".,;:?'\"-" for c in line)
+    symbols = len(line) - letters - digits - n("P") - spaces
+    w, size = len(words), len(line)
+    return [
+        math.log1p(size) / 5,
+        letters / size,
+        upper / max(letters, 1),
+        digits / size,
+        stops / w,
+        min(punctuation / w, 3),
+        min(symbols / w, 3),
+        line.count("|") / w,
+        len(set(words)) / w,
+        min(sum(a == b for a, b in zip(words, words[1:])) / w, 1) * 2,
+        min(letters / w, 30) / 10,
+        math.log1p(w) / 3,
+        float(upper > 0 and stops > 0),
+    ]
+
+
+def test_line_features_one_by_one(documents):
+    texts = [r.text for r in documents.limit(40).collect()]
+    texts += ["A line, a Line.", "x x x | x || 42 %%% $1.50", "ÄÖ über 日本 ½ ― “so”", "tab\there  and   there"]
+    owner, length, rows = quality.line_features(texts)
+    expected = [
+        (i, len(line), plain_features(line)) for i, t in enumerate(texts) for line in t.split("\n") if line.split()
+    ]
+    assert owner.tolist() == [i for i, _, _ in expected] and length.tolist() == [n for _, n, _ in expected]
+    assert np.allclose(rows, [f for _, _, f in expected])
+
+
+def test_the_gradient_is_that_of_the_likelihood():
+    """Slopes against differences of the likelihood, which sums over all label sequences."""
+    rnd = np.random.default_rng(6)
+    sizes, labels = [1, 3, 4, 2], np.array([1.0, 0.0, 1.0, 0.0])
+    owner = np.repeat(np.arange(4), sizes)
+    x, y = rnd.standard_normal((10, 3)), labels[owner]
+    share = (1 / np.array(sizes))[owner] / 4
+    weights, pair = rnd.standard_normal(3), rnd.standard_normal((2, 2))
+
+    def likelihood(weights, pair):
+        total = 0.0
+        for i, size in enumerate(sizes):
+            score = x[owner == i] @ weights
+
+            def energy(line):
+                return score @ np.array(line) + sum(pair[a, b] for a, b in zip(line, line[1:]))
+
+            z = math.log(sum(math.exp(energy(line)) for line in itertools.product((0, 1), repeat=size)))
+            total += (energy([int(labels[i])] * size) - z) / size / 4
+        return total
+
+    by_weight, by_pair = quality.slopes(x, y, owner, share, weights, pair)
+    for value, slope in ((weights, by_weight), (pair, by_pair)):
+        for at in np.ndindex(value.shape):
+            step = np.zeros_like(value)
+            step[at] = 1e-6
+            ends = [(weights + s, pair) if value is weights else (weights, pair + s) for s in (step, -step)]
+            assert math.isclose(slope[at], (likelihood(*ends[0]) - likelihood(*ends[1])) / 2e-6, abs_tol=1e-6)
+
+
+def test_long_documents_are_fitted_in_several_chains(spark):
+    assert quality.chains(np.array([0, 0, 0, 2, 2, 5]), 2).tolist() == [1, 1, 2, 3, 3, 4]
+    assert quality.chains(np.zeros(0, int), 2).tolist() == []
+    good = "The cat sat on the mat, and it was warm.\n"
+    rows = [(i, good * (1 + i % 3) if i % 2 else "buy!!! now $$$ | 99\n" * (1 + i % 4)) for i in range(40)]
+    rows += [(100, good * 5000), (102, "win $$$ | 7 7 7\n" * 5000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 = 1 OR doc_id = 100 AS int) AS quality")
+    field = train_quality(docs, labels)
+    found = {r.doc_id: r.score for r in score_quality(docs, field).collect()}
+    assert all((score > 0.5) == (i % 2 == 1 or i == 100) for i, score in found.items())
+    # A bound of characters leaves out whole documents, not long ones.
+    assert train_quality(docs, labels, most_chars=1).prior in (0.0, 1.0)
+
+
 def test_held_out_quality(spark):
     sf_dir = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
