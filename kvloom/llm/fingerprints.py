@@ -195,7 +195,8 @@ def fingerprint_documents(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     edited_fingerprint, near_edited, near_next. A null text is an empty one. A text without words
     has an empty fingerprint, like only to another such. The next document is the one of the next
     smaller id, after the last the first; equal ids go by text, null ids come last. Repeated rows
-    stay, other columns are not returned; no rows in, no rows out.
+    stay, other columns are not returned, whatever their names; no rows in, no rows out. A very long
+    text is one row like any other: its words are spread over rows and added up before they meet.
     """
     rows = with_next(docs)
     n = F.length("text")

@@ -90,7 +90,9 @@ def ngram_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def train_profiles(docs: DataFrame, length: int = PROFILE) -> DataFrame:
     """lang, gram, rank: the most frequent n-grams of all rows that have text and lang.
 
-    Tasks add n-grams up before the shuffle. Equal counts go by the n-gram's number.
+    Tasks add n-grams up before the shuffle. Equal counts go by the n-gram's number. Repeated rows
+    count as often as they stand there, a very long text counts whole. Without such rows there are no
+    profiles.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -164,8 +164,9 @@ def mix_sources(
 
     `docs` has doc_id, text, source. A null or empty text has size 0 and takes nothing; sources
     without words have target 0; a null source is one of its own, after all others. Rows with one
-    doc_id are taken or left together. Columns of `docs` named as the new ones are replaced. No
-    rows in, no rows out.
+    doc_id, repeated rows among them, are taken or left together. Columns of `docs` named as the new
+    ones are replaced. Of a very long text only the number of its words is used; it is taken whole,
+    so a source may miss its target by as much. No rows in, no rows out.
     """
     sized, names = with_sizes(docs)
     plan = plan_mix(kept_table(sized.select("source", "size", "hash"), "sizes"), weights, most_copies)

@@ -170,7 +170,9 @@ def score_texts(
 
     `docs` has doc_id, text and held_out. A null text is an empty one: it has one token, its end.
     Repeated rows count as often as they stand there; null ids stay; a row for which `training`
-    is null is not learned from; other columns are not returned. Without training texts all counts are 0 and every token has probability 1.
+    is null is not learned from; other columns are not returned, whatever their names. Without
+    training texts all counts are 0 and every token has probability 1. A very long text is a block of
+    its own, walked whole, with some fifty times its size in memory. No rows give no rows.
     """
     rows = docs.select(
         F.col("doc_id").cast("long"),
