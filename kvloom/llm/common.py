@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,18 @@ def kept_table(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(folder)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of `kept_table` that other kept tables were made of and nothing else will read."""
+    for table in tables:
+        for file in table.inputFiles()[:1]:
+            spark = table.sparkSession
+            folder = file.rpartition("/")[0]
+            if not re.search(r"-[0-9a-f]{32}$", folder):
+                raise ValueError(f"{folder} is no folder of a kept table")
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def id_remainder(doc_id: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo the divisor; of a null id as of an empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % divisor

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kvloom.llm.common import kept_table
+from kvloom.llm.common import discard, kept_table
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -14,11 +14,13 @@ def components(edges: DataFrame) -> DataFrame:
     `edges` has a and b. In each round every node moves to the smallest of itself and its
     neighbours, and to where that one moves; edges are drawn anew between what is left and those
     within one node go. A node that is not the smallest around it always moves, so the number of
-    nodes with edges at least halves. Every round is written, so that no lineage grows.
+    nodes with edges at least halves. Every round is written, so that no lineage grows, and deleted
+    when the next one is there.
     """
     edges = kept_table(edges.select("a", "b").filter("a <> b").distinct(), "edges")
     labels = None
     while edges.limit(1).count():
+        before = [edges] if labels is None else [edges, labels]
         both = edges.union(edges.select("b", "a"))
         least = kept_table(
             both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least"
@@ -43,6 +45,7 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct(),
             "edges",
         )
+        discard(least, moves, *before)
     if labels is None:
         return edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
     return labels

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kvloom.llm import blocks as B
-from kvloom.llm.common import documents, kept_table
+from kvloom.llm.common import discard, documents, kept_table
 from kvloom.llm.graph import components
 
 #: Groups in each collection and minhashes in a group: 100 tables out of 40 minhashes. At a
@@ -156,7 +156,9 @@ def candidate_leaders(blocks: B.Blocks, width: int, groups: int, in_group: int)
         )
 
     answers = kept_table(B.answer(B.ask(blocks, questions), reply), "leaders")
-    return kept_table(B.with_answers(blocks, answers, finish, schema), "members")
+    members = kept_table(B.with_answers(blocks, answers, finish, schema), "members")
+    discard(answers)
+    return members
 
 
 def confirmed(
@@ -164,7 +166,8 @@ def confirmed(
 ) -> DataFrame:
     """Those pairs (a, b) with of * intersection >= above * union on the full sets.
 
-    The set of each b goes once to every block that has an a to compare with it.
+    `pairs` has a, b and the block_id of a. The set of each b goes once to every block that has an a
+    to compare with it.
     """
     places = members.select("doc_id", "block_id").distinct()
     needed = pairs.select(F.col("b").alias("doc_id")).distinct().join(places, "doc_id")
@@ -191,8 +194,7 @@ def confirmed(
         "sets",
     )
     sent = (
-        pairs.join(places.withColumnRenamed("doc_id", "a"), "a")
-        .groupBy("block_id", "b")
+        pairs.groupBy("block_id", "b")
         .agg(F.collect_set("a").alias("others"))  # at most the documents of a block
         .join(sets, "b")
     )
@@ -218,23 +220,26 @@ def confirmed(
                         found.append((a, b))
         return B.as_table(found, "a long, b long")
 
-    return kept_table(
+    links = kept_table(
         blocks.rows.groupBy("block_id")
         .cogroup(sent.groupBy("block_id"))
         .applyInArrow(compare, "a long, b long"),
         "links",
     )
+    discard(sets)
+    return links
 
 
 _OPEN, _OTHER = 1, 2
 
 
 def met_leaders(members: DataFrame, found: DataFrame) -> DataFrame:
-    """a, ca, b: each document with its component, and every leader that it met."""
-    placed = members.select(F.col("doc_id").alias("a"), "leaders").join(
+    """a, block_id, ca, b: each document with its component, and every leader that it met."""
+    placed = members.select(F.col("doc_id").alias("a"), "block_id", "leaders").join(
         found.select(F.col("id").alias("a"), "component"), "a", "left"
     )
-    return placed.select("a", F.coalesce("component", "a").alias("ca"), F.explode("leaders").alias("b"))
+    component = F.coalesce("component", "a").alias("ca")
+    return placed.select("a", "block_id", component, F.explode("leaders").alias("b"))
 
 
 def apart(met: DataFrame, found: DataFrame) -> DataFrame:
@@ -336,13 +341,15 @@ def unresolved_pairs(
     one_open = (F.col("x_kind") == _OPEN) | (F.col("kind") == _OPEN)
     both_left = F.least(F.col("x_n") - F.col("x_place"), F.col("n") - F.col("place"))
     possible = (above + of) * both_left >= above * (F.col("x_n") + F.col("n"))
-    return kept_table(
+    rest = kept_table(
         smaller.join(postings, "shingle")
         .filter(ordered & one_open & (F.col("x_component") != F.col("component")) & possible)
         .select(F.greatest("x_id", "id").alias("a"), F.least("x_id", "id").alias("b"))
         .distinct(),
         "rest",
     )
+    discard(marks, answers, postings)
+    return rest
 
 
 def near_duplicates(
@@ -366,15 +373,15 @@ def near_duplicates(
     blocks = B.make_blocks(named.filter("doc_id IS NOT NULL"), block_bytes)
     members = candidate_leaders(blocks, width, groups, in_group)
     first = members.filter("size(leaders) > 0").select(
-        F.col("doc_id").alias("a"), F.array_min("leaders").alias("b")
+        F.col("doc_id").alias("a"), F.array_min("leaders").alias("b"), "block_id"
     )
     links = confirmed(blocks, members, kept_table(first.distinct(), "pairs"), width, above, of)
     found = components(links)
     met = met_leaders(members, found)
     open_ = apart(met, found)
     if open_.limit(1).count():
-        pairs = met.join(open_, ["ca", "b"], "left_semi").select("a", "b").distinct()
-        pairs = kept_table(pairs.join(first, ["a", "b"], "left_anti"), "pairs")
+        pairs = met.join(open_, ["ca", "b"], "left_semi").select("a", "b", "block_id").distinct()
+        pairs = kept_table(pairs.join(first, ["a", "b", "block_id"], "left_anti"), "pairs")
         links = links.union(confirmed(blocks, members, pairs, width, above, of).select("a", "b"))
         found = components(links)
         met = met_leaders(members, found)
@@ -382,6 +389,8 @@ def near_duplicates(
         if open_.limit(1).count():
             rest = unresolved_pairs(blocks, members, met, open_, width, above, of)
             if rest.limit(1).count():
+                places = members.select(F.col("doc_id").alias("a"), "block_id").distinct()
+                rest = rest.join(places, "a")
                 links = links.union(confirmed(blocks, members, rest, width, above, of).select("a", "b"))
                 found = components(links)
     out = members.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
