@@ -10,7 +10,9 @@ document:
    What follows looks at first occurrences alone, that is at the dictionary, whatever the number
    of copies.
 1. Anchors: the smallest rolling hash in a window anchors it, so equal windows have equal anchors.
-   Windows whose anchor stands at a single place of the dictionary are nowhere else.
+   As an anchor may stand in very many surroundings, it is told apart by the bytes before it, where
+   the window has enough of those, or else by the bytes after it. Windows whose anchor stands in
+   such surroundings at a single place of the dictionary are nowhere else.
 2. Suffixes: the other windows, as the bytes from the first to the last one of an anchor, are
    brought together by anchor. There the suffixes that start them are put in corpus order as far as
    `length` bytes; equal ones are neighbours, and the smallest document of such a run has it first.
@@ -126,14 +128,16 @@ class Parse:
         return np.cumsum(change[:-1], dtype=np.int8) > 0
 
     def anchored(self, candidates: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Runs of candidate windows of one anchor: first and last start, hash of the anchor."""
+        """Runs of candidate windows of one anchor and side: first and last start, hash of both."""
         out = []
         n_anchors = self.length - ANCHOR + 1
+        around = (self.length - ANCHOR) // 2
         for low in range(0, len(self.data), SEGMENT):
             here = np.flatnonzero(candidates[low : low + SEGMENT])
             if not len(here):
                 continue
-            value = rolling(self.data[low : low + SEGMENT + self.length - 1], ANCHOR)
+            data = self.data[low : low + SEGMENT + self.length - 1]
+            value = rolling(data, ANCHOR)
             # The smallest hash, of equal ones the leftmost.
             place = np.arange(len(value), dtype=np.uint64)
             least = (value >> np.uint64(32) << np.uint64(32)) | place
@@ -144,11 +148,15 @@ class Parse:
             if size < n_anchors:
                 least = np.minimum(least[: len(least) - (n_anchors - size)], least[n_anchors - size :])
             anchor = (least[here] & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            # A window has so many bytes before its anchor, or else as many after it.
+            before = anchor - here >= around
             new = np.ones(len(here), bool)
-            new[1:] = (anchor[1:] != anchor[:-1]) | (here[1:] != here[:-1] + 1)
+            new[1:] = (anchor[1:] != anchor[:-1]) | (here[1:] != here[:-1] + 1) | (before[1:] != before[:-1])
             first = np.flatnonzero(new)
             last = np.append(first[1:], len(here)) - 1
-            out.append((low + here[first], low + here[last], value[anchor[first]]))
+            side = before[first]
+            wide = rolling(data, ANCHOR + around)[anchor[first] - np.where(side, around, 0)]
+            out.append((low + here[first], low + here[last], B.mixed(wide + side.astype(np.uint64))))
         if not out:
             return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
         return tuple(np.concatenate(v) for v in zip(*out))
