@@ -25,15 +25,18 @@ VOCABULARY = "word_bpe_49k.json"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a letter, of whatever language; those without any go, and no others.
+    """Documents that some profile knows; those without a letter go, and those as far from every
+    profile as can be: none of their n-grams is in any.
 
     The profiles are learned from the documents themselves, but for the third that the operator's
-    query holds out. Without a labelled text among them there are none, and the same documents stay.
+    query holds out. Without a labelled text among them there are none, and letters alone decide.
+    Null and empty texts go, repeated rows stay, a very long text counts whole.
     """
     plain = plain_names(docs, ("doc_id", "text", "lang"))
     training = plain.filter(id_remainder("doc_id", 3) != 1)
     found = identify(plain, train_profiles(training), letterless=None)
-    return found.filter("lang_pred IS NOT NULL").select(*plain.columns).toDF(*docs.columns)
+    known = found.filter("lang_pred IS NOT NULL AND (score > 0 OR lang_pred = 'und')")
+    return known.select(*plain.columns).toDF(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,14 +61,18 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of 50 bytes and more that an earlier document has, too.
 
-    Documents of which nothing is left stay, with an empty text; mixing takes nothing of them.
+    Documents of which nothing is left stay, with an empty text; mixing takes nothing of them. Rows of
+    one id take nothing from each other, and a null id is later than all others.
     """
     plain = plain_names(docs, ("doc_id", "text", "n_chars"))
     return remove_repeats(plain, output="texts").toDF(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: not at all, or up to three times."""
+    """Documents as often as the mix takes them: not at all, or up to three times.
+
+    A null source is one of its own. Rows of one id, repeated ones too, are taken or left together.
+    """
     plain = plain_names(docs, ("doc_id", "text", "source"))
     taken = mix_sources(plain)
     times = F.array_repeat(F.lit(0), (F.col("taken") / F.col("size")).cast("int"))
@@ -74,7 +81,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids and the text decoded from them."""
+    """doc_id, n_tokens, ids and the text decoded from them, for every row; null texts have no ids."""
     import public_tokenizers
 
     return encode_decode(docs, public_tokenizers.path(VOCABULARY), output="ids")
