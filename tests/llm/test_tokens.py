@@ -1,6 +1,7 @@
 """BPE and token sequences against the tokenizers library."""
 
 import hashlib
+import json
 import random
 import zlib
 
@@ -64,6 +65,34 @@ def test_chunks_encode_like_whole_texts():
         assert np.frombuffer(ids, np.uint16).tolist() == expected, repr(text)
 
 
+def test_long_chunks_and_a_pool_that_starts_anew():
+    library, encoder = Tokenizer.from_file(BYTES), ChunkEncoder(BYTES)
+    assert encoder.merges is not None
+    encoder.room.most = 3_000
+    texts = [f"a {'x' * n} b{'日' * n}c {n}'s\ny  " for n in (1, 999, 1000, 1001, 4000)] + odd_texts()[:300]
+    for k in range(0, len(texts), 7):
+        for text, ids in zip(texts[k : k + 7], encoder(texts[k : k + 7])):
+            expected = library.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(ids, np.uint16).tolist() == expected, repr(text[:50])
+    assert encoder.room.held <= 12_000 and len(encoder.places) == len(encoder.numbers) + 1
+
+
+def test_merges_out_of_order_are_left_to_the_library(tmp_path):
+    with open(BYTES, encoding="utf-8") as file:
+        spec = json.load(file)
+    vocab = spec["model"]["vocab"]
+    (a, b), (c, d) = (tuple(m.split(" ")) if isinstance(m, str) else m for m in spec["model"]["merges"][3:5])
+    vocab[a + b], vocab[c + d] = vocab[c + d], vocab[a + b]
+    path = str(tmp_path / "other.json")
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(spec, file)
+    library, encoder = Tokenizer.from_file(path), ChunkEncoder(path)
+    assert encoder.merges is None
+    texts = odd_texts()[:200]
+    for text, ids in zip(texts, encoder(texts)):
+        assert np.frombuffer(ids, np.uint16).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
 def test_sequences_read_back(documents, awkward):
     library = Tokenizer.from_file(BYTES)
     for docs in (documents, awkward):
@@ -96,6 +125,7 @@ def test_shards_are_views_of_equal_batches(tmp_path):
     batches = list(pa.ipc.open_stream(mapped))
     assert [b.num_rows for b in batches] == [4, 4, 4]
     assert sum(b.column("mask").flatten().true_count for b in batches) == 70
+    mapped.seek(0)
     before = pa.total_allocated_bytes()
     views = [b.column("ids").flatten().to_numpy(zero_copy_only=True) for b in pa.ipc.open_stream(mapped)]
     assert pa.total_allocated_bytes() == before and np.concatenate(views)[:70].tolist() == list(range(70))
@@ -137,5 +167,5 @@ def test_a_shard_without_ids(tmp_path):
 def test_names_of_stores():
     system, path = arrow_system("file:///a/b")
     assert path == "/a/b" and type(system).__name__ == "LocalFileSystem"
-    with pytest.raises(Exception, match="viewfs"):
-        arrow_system("viewfs://x/y")
+    with pytest.raises(pa.ArrowInvalid, match="nosuch"):
+        arrow_system("nosuch://x/y")
