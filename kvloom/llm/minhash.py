@@ -255,7 +255,8 @@ def apart(met: DataFrame, found: DataFrame) -> DataFrame:
 def unresolved_pairs(
     blocks: B.Blocks, members: DataFrame, met: DataFrame, open_: DataFrame, width: int, above: int, of: int
 ) -> DataFrame:
-    """Pairs (a, b) of different components that may be linked though no leader connects them.
+    """Pairs (a, b) of different components that may be linked though no leader connects them, and
+    the block_id of a.
 
     `met` has a, its component ca and each leader b that it met; `open_` the (ca, b) that are apart.
     The frequency of a shingle among the documents in question puts the shingles of each set in one
@@ -264,6 +265,7 @@ def unresolved_pairs(
     are left in both; in the smaller set, that is among its first n - 2 * above / (above + of) * n.
     """
     ranges = blocks.ranges
+    posting = "shingle long, id long, block_id long, component long, kind int, n long, place long"
     asked_of = met.join(open_.select("b").distinct(), "b", "left_semi").select("a", "ca").distinct()
     waiting = met.join(open_, ["ca", "b"], "left_semi").select("a", F.lit(_OPEN).alias("open")).distinct()
     state = asked_of.join(waiting, "a", "left")
@@ -312,6 +314,7 @@ def unresolved_pairs(
         who, sets = sets_of(table, told)
         keys, _ = counted(sets)
         frequency = B.told(told, 0, np.uint16)
+        block_id = table.column("block_id")[0].as_py() if table.num_rows else -1
         rows = []
         for (i, kind, component), found in zip(who, sets):
             n = len(found)
@@ -319,8 +322,8 @@ def unresolved_pairs(
             front = np.lexsort((found, often))[: n - -(-above * n // of) + 1]
             for p in np.flatnonzero(often[front] > 1).tolist():
                 shingle = int(found[front[p]].view(np.int64))
-                rows.append((shingle, i, component, kind, n, p))
-        return B.as_table(rows, "shingle long, id long, component long, kind int, n long, place long")
+                rows.append((shingle, i, block_id, component, kind, n, p))
+        return B.as_table(rows, posting)
 
     asked = B.with_answers(blocks, marks, questions, B.QUESTION)
     answers = kept_table(B.answer(asked, reply), "frequencies")
@@ -329,12 +332,12 @@ def unresolved_pairs(
             blocks,
             answers.unionByName(marks),
             rare,
-            "shingle long, id long, component long, kind int, n long, place long",
+            posting,
         ),
         "postings",
     )
     # Of two sets the smaller one, of equal ones that of the smaller id, is looked for near its front.
-    columns = ("id", "component", "kind", "n", "place")
+    columns = ("id", "block_id", "component", "kind", "n", "place")
     near = (above + of) * (F.col("n") - F.col("place")) >= 2 * above * F.col("n")
     smaller = postings.filter(near).select("shingle", *[F.col(c).alias(f"x_{c}") for c in columns])
     ordered = F.struct("x_n", "x_id") < F.struct("n", "id")
@@ -344,7 +347,11 @@ def unresolved_pairs(
     rest = kept_table(
         smaller.join(postings, "shingle")
         .filter(ordered & one_open & (F.col("x_component") != F.col("component")) & possible)
-        .select(F.greatest("x_id", "id").alias("a"), F.least("x_id", "id").alias("b"))
+        .select(
+            F.greatest("x_id", "id").alias("a"),
+            F.least("x_id", "id").alias("b"),
+            F.when(F.col("x_id") > F.col("id"), F.col("x_block_id")).otherwise(F.col("block_id")).alias("block_id"),
+        )
         .distinct(),
         "rest",
     )
@@ -389,8 +396,6 @@ def near_duplicates(
         if open_.limit(1).count():
             rest = unresolved_pairs(blocks, members, met, open_, width, above, of)
             if rest.limit(1).count():
-                places = members.select(F.col("doc_id").alias("a"), "block_id").distinct()
-                rest = rest.join(places, "a")
                 links = links.union(confirmed(blocks, members, rest, width, above, of).select("a", "b"))
                 found = components(links)
     out = members.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
