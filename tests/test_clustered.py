@@ -86,6 +86,28 @@ def test_files_are_ranges_in_order_with_filters(stored):
     assert sum(low[0] <= eid(50) <= high[0] for low, high in bounds) > 1
 
 
+def test_small_files_need_no_ranges_of_their_own(spark, tmp_path):
+    """1,000 files of 10 rows: the driver is sent a sample for 200 ranges, not for all files."""
+    rows = [row(eid(n % 70), n % 3, TS + n, long_v=n) for n in range(10_000)]
+    folder = f"{tmp_path}/ts_kv"
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("clustered", "clustered")
+    try:
+        store_clustered(ts_kv(spark, rows), folder, RunOptions(rows_per_file=10))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for j in tracker.getJobIdsForGroup("clustered") for s in tracker.getJobInfo(j).stageIds]
+    infos = [tracker.getStageInfo(s) for s in stages]
+    assert max(i.numTasks for i in infos if i) <= 200
+    files = sorted(tmp_path.glob("ts_kv/*.parquet"))
+    tables = [pq.read_table(f, columns=["entity_id", "key", "ts"]).to_pylist() for f in files]
+    places = [[(r["entity_id"], r["key"], r["ts"]) for r in t] for t in tables]
+    assert len(places) >= 1000 and max(map(len, places)) <= 10
+    assert all(p == sorted(p) for p in places)
+    places.sort()
+    assert [p for part in places for p in part] == sorted((r[0], r[1], r[2]) for r in rows)
+
+
 def test_ordinals_are_dense(spark):
     ids = spark.createDataFrame([(eid(n % 70),) for n in range(200)] + [(None,)], "entity_id string")
     found = bitmaps.entity_ordinals(ids.repartition(7))
