@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kvloom.model import LATEST_COLUMNS, LATEST_KEY, VALUE_COLUMNS, RunOptions
@@ -11,13 +11,23 @@ from kvloom.operators.joins import lookup_join
 from kvloom.sources.dimensions import Dimension, Dimensions
 
 
+def first_by(rows: DataFrame, key: list[str], values: list[str], order: Column) -> DataFrame:
+    """Per key the values of the row that is highest in the given order.
+
+    Values with texts are aggregated over sorted rows. A hash before the key makes nearly all
+    comparisons of that sort one of two integers; ids often begin alike.
+    """
+    highest = F.max_by(F.struct(*values), order).alias("_row")
+    grouped = rows.groupBy(F.xxhash64(*key).alias("_hash"), *key).agg(highest)
+    return grouped.select(*key, "_row.*")
+
+
 def latest_per_series(rows: DataFrame, series: list[str]) -> DataFrame:
     """The row with the highest ``ts`` of each series.
 
     Map tasks combine first, so a hot series sends one row per task.
     """
-    newest = F.max_by(F.struct("ts", *VALUE_COLUMNS), F.col("ts"))
-    return rows.groupBy(*series).agg(newest.alias("_row")).select(*series, "_row.*")
+    return first_by(rows, series, ["ts", *VALUE_COLUMNS], F.col("ts"))
 
 
 def latest_from_history(history: DataFrame) -> DataFrame:

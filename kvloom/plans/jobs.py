@@ -6,7 +6,6 @@ import time
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +18,7 @@ from kvloom.model import (
     VALUE_COLUMNS,
     RunOptions,
 )
-from kvloom.operators.aggregates import latest_from_history
+from kvloom.operators.aggregates import first_by, latest_from_history
 from kvloom.operators.enrich import history_rows, latest_rows, shape_history, with_entity_types
 from kvloom.operators.joins import lookup_join
 from kvloom.plans.extent import Extent
@@ -342,9 +341,9 @@ def replay_rejected(source: SourceTables, target: Target, options: RunOptions) -
         refused = target.refusals().filter(F.col("reason") == UNKNOWN_ENTITY)
         ids = dims.entities.selecting("entity_id")
         known = lookup_join(refused, ids, "entity_id", "left_semi", options)
-        last = F.max_by(F.struct(*VALUE_COLUMNS), write_sequence()).alias("_row")
-        series = ["entity_id", "key", "ts"]
-        rows = known.groupBy(*series).agg(last).select(*series, "_row.*").persist(StorageLevel.DISK_ONLY)
+        batch = Batch(REPLAY, state.run, target.next_batch(REPLAY))
+        last = first_by(known, ["entity_id", "key", "ts"], VALUE_COLUMNS, write_sequence())
+        rows = target.stage_replay(last, batch)
         touched = Dimension.measure(rows.select("entity_id").distinct())
         if not touched.rows:
             return 0
@@ -352,9 +351,7 @@ def replay_rejected(source: SourceTables, target: Target, options: RunOptions) -
         # Of the history, the rows of these entities only.
         there = lookup_join(target.history(), touched, "entity_id", "left_semi", options)
         missing = shaped.join(there.select(*HISTORY_KEY), HISTORY_KEY, "left_anti")
-        batch = Batch(REPLAY, state.run, target.next_batch(REPLAY))
         target.write_replay(missing, rows, batch, options.partitioning)
-        rows.unpersist()
         touched.release()
         return target.written(batch)[0]
     finally:

@@ -38,7 +38,7 @@ from kvloom.model import (
     UNKNOWN_ENTITY,
     RunOptions,
 )
-from kvloom.operators.aggregates import latest_from_history
+from kvloom.operators.aggregates import first_by, latest_from_history
 from kvloom.operators.enrich import index_rows
 from kvloom.plans import manifest as m
 from kvloom.plans.extent import Extent
@@ -217,6 +217,12 @@ class Target:
             kept = kept.filter(F.col(SLICE) == part)
         return kept.drop(SLICE)
 
+    def stage_replay(self, rows: DataFrame, batch: Batch) -> DataFrame:
+        """Keep the rows of a replay, which reads them several times; a stopped one is made anew."""
+        path = f"{self.root}/{STAGING}/{batch.path()}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     # -- stored rows ---------------------------------------------------------
 
     def stored(self, table: str, path: str = "") -> DataFrame:
@@ -335,9 +341,7 @@ class Target:
         ones the row written last."""
         rows = self.committed(LATEST, self.manifest.entries(LATEST))
         others = [c for c in LATEST_COLUMNS if c not in LATEST_KEY]
-        order = F.struct(F.col("ts"), write_sequence())
-        newest = F.max_by(F.struct(*others), order).alias("_row")
-        return rows.groupBy(*LATEST_KEY).agg(newest).select(*LATEST_KEY, "_row.*")
+        return first_by(rows, LATEST_KEY, others, F.struct(F.col("ts"), write_sequence()))
 
     def series_slice(
         self, entity_type: str, entity_id: str, key: str, partition: int, strategy: str
@@ -450,5 +454,4 @@ def _within(rows: DataFrame, overlaps: list[Overlap]) -> Column:
 def _last_written(rows: DataFrame) -> DataFrame:
     """Per primary key of ``ts_kv_cf`` the row of the latest batch; combined before the shuffle."""
     others = [c for c in HISTORY_COLUMNS if c not in HISTORY_KEY]
-    newest = F.max_by(F.struct(*others), write_sequence()).alias("_row")
-    return rows.groupBy(*HISTORY_KEY).agg(newest).select(*HISTORY_KEY, "_row.*").select(*HISTORY_COLUMNS)
+    return first_by(rows, HISTORY_KEY, others, write_sequence()).select(*HISTORY_COLUMNS)

@@ -6,6 +6,7 @@ from helpers import as_set, eid, row, source, ts_kv
 from pyspark.sql import functions as F
 
 from kvloom.model import HISTORY_COLUMNS, RunOptions
+from kvloom.operators.aggregates import latest_per_series
 from kvloom.plans import jobs
 from kvloom.plans.extent import Extent
 from kvloom.plans.progress import Progress, ProgressLog, Slice, status_report
@@ -181,6 +182,28 @@ def test_rejects_are_replayed_once_their_entity_is_known(spark, target, monkeypa
     assert "newest" in {r["str_v"] for r in target.history().collect()}
 
 
+def test_rows_are_ordered_by_a_hash_before_their_key(spark):
+    rows = ts_kv(spark, [row(eid(1), 1, TS, str_v="a"), row(eid(1), 1, TS + 1, json_v="b"), row(None, 2, TS)])
+    newest = latest_per_series(rows, ["entity_id", "key"])
+    assert as_set(newest) == {(eid(1), 1, TS + 1, None, None, None, None, "b"), (None, 2, TS, None, None, None, None, None)}
+    assert newest.columns == rows.columns
+    sorts = [p for p in newest._jdf.queryExecution().executedPlan().toString().splitlines() if " Sort [" in p]
+    assert sorts and not any("Sort [entity_id" in p for p in sorts)
+
+
+def test_a_replay_makes_its_rows_once(spark, target, monkeypatch):
+    jobs.run_historical(source(spark, rows_of(1, 20)), target, OPTIONS)
+    grown = source(spark, [], device=spark.createDataFrame([(eid(n),) for n in (1, 20)], "id string"))
+    closed = []
+    write = Target.write_replay
+    monkeypatch.setattr(Target, "write_replay", lambda self, *a: (closed.append(a[1]), write(self, *a)))
+    assert jobs.replay_rejected(grown, target, OPTIONS) == 40
+    # What is read several times lies in files; nothing is made again from the rejects.
+    assert all("/staging/stage=replay/" in f for f in closed[0].inputFiles())
+    assert "Aggregate" not in closed[0]._jdf.queryExecution().executedPlan().toString()
+    assert jobs.replay_rejected(grown, target, OPTIONS) == 0 and target.rejected().isEmpty()
+
+
 def test_resume_of_a_complete_run_takes_new_entities_only(spark, target):
     unknown = rows_of(99, days=[1, 2])
     jobs.run_historical(source(spark, rows_of(1) + unknown), target, OPTIONS)
