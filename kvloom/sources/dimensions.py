@@ -142,8 +142,11 @@ def key_map(source: SourceTables) -> DataFrame:
         if found is not None:
             return (
                 found.select(F.col("key_id").cast("int").alias("key_id"), "key")
+                # Equal entries go before the rows are sorted for the maximum of a text. Spark
+                # would leave this step out before max, not before max_by.
+                .distinct()
                 .groupBy("key_id")
-                .agg(F.max("key").alias("key"))
+                .agg(F.max_by("key", "key").alias("key"))
             )
     log.info("no key dictionary, keys are used as they are")
     return source.spark.createDataFrame([], KEY_MAP_SCHEMA)

@@ -49,6 +49,15 @@ def test_key_map_fallback_chain(spark):
     assert as_set(key_map(FrameSource(spark, {}))) == set()
 
 
+def test_key_map_sorts_distinct_entries_only(spark):
+    entries = [(1, "a"), (1, "b"), (1, "a"), (2, None), (3, None), (3, "c")]
+    keys = key_map(FrameSource(spark, {"key_dictionary": spark.createDataFrame(entries, "key_id int, key string")}))
+    assert as_set(keys) == {(1, "b"), (2, None), (3, "c")}
+    # A dictionary derived from many rows is reduced by hash before anything is sorted.
+    plan = keys._jdf.queryExecution().sparkPlan().toString()
+    assert "HashAggregate" in plan and plan.rindex("HashAggregate") > plan.rindex("SortAggregate")
+
+
 def test_dimension_sizes(spark):
     dims = load_dimensions(source(spark, ROWS))
     assert (dims.entities.rows, dims.keys.rows, dims.shared_names.rows) == (9, 2, 0)
